@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from platewise.columns import METADATA_PREFIX, PLATE, SITE, WELL, column
+from platewise.columns import PLATE, SITE, WELL, column
 from platewise.functions.text import base_name, path_order
 from platewise.operators.ranking import with_chunk_number
 
@@ -115,16 +115,12 @@ def chunked_sets(sets: DataFrame, size: int) -> DataFrame:
     return with_chunk_number(sets, size, [PLATE], [WELL, SITE])
 
 
-def chunk_manifest(chunked: DataFrame) -> DataFrame:
+def chunk_manifest(chunked: DataFrame, ordered: bool = True) -> DataFrame:
     """The distinct raw image names each chunk needs, sorted within the chunk."""
     names = [column(c) for c in chunked.columns if c.startswith(NAME_PREFIX)]
-    return (
+    manifest = (
         chunked.select(PLATE, "chunk", F.explode(F.array(*names)).alias("FileName"))
         .where(F.col("FileName").isNotNull())
         .distinct()
-        .orderBy(PLATE, "chunk", "FileName")
     )
-
-
-def metadata_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c.startswith(METADATA_PREFIX)]
+    return manifest.orderBy(PLATE, "chunk", "FileName") if ordered else manifest

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, DataFrameWriter
 
-from platewise.columns import PLATE, SITE, WELL
+from platewise.columns import PLATE, SITE, WELL, column, columns
 from platewise.operators.images import chunk_manifest, chunked_sets
 from platewise.operators.index import NUCLEI_X, NUCLEI_Y
+from platewise.session import materialize
 
 
 class RowCountMismatch(ValueError):
@@ -27,13 +27,13 @@ def write_csv(df: DataFrame, path: str) -> str:
 def write_locations(locations: DataFrame, path: str) -> str:
     """Nuclei centres with a bare header, in one folder per plate, well and site.
 
-    Rows of one site are brought together first so that a site is few files; a
-    site with very many rows is still split by the writer's record limit.
+    Rebalancing brings the rows of a site together, so that a site is one file,
+    and splits a site that is too large for one task.
     """
     keys = [PLATE, WELL, SITE]
     (
         locations.select(*keys, NUCLEI_X, NUCLEI_Y)
-        .repartition(*keys, F.pmod(F.xxhash64(NUCLEI_X, NUCLEI_Y), F.lit(4)))
+        .hint("rebalance", *columns(keys))
         .write.mode("overwrite")
         .partitionBy(*keys)
         .option("header", "true")
@@ -45,24 +45,29 @@ def write_locations(locations: DataFrame, path: str) -> str:
 def write_chunks(sets: DataFrame, path: str, size: int) -> int:
     """Image sets and image manifests per plate and chunk; returns the number of chunks.
 
-    ``load_data`` holds the sets as CSV, ``images`` the sorted file names.
+    ``load_data`` holds the sets as CSV, ``images`` the sorted file names, both
+    in folders ``plate=…/chunk=…``.
     """
-    chunked = chunked_sets(sets, size)
-    chunked.withColumnRenamed(PLATE, "plate").withColumn(PLATE, F.col("plate")).repartition(
-        "plate", "chunk"
-    ).sortWithinPartitions("plate", "chunk", WELL, SITE).write.mode("overwrite").partitionBy(
-        "plate", "chunk"
-    ).option("header", "true").csv(f"{path}/load_data")
-    chunk_manifest(chunked).select(F.col(PLATE).alias("plate"), "chunk", "FileName").repartition(
-        "plate", "chunk"
-    ).sortWithinPartitions("plate", "chunk", "FileName").write.mode("overwrite").partitionBy(
-        "plate", "chunk"
-    ).text(f"{path}/images")
-    return chunked.select(PLATE, "chunk").distinct().count()
+    chunked = materialize(chunked_sets(sets, size), "chunks")
+    folders = ["plate", "chunk"]
+    tables = chunked.withColumn("plate", column(PLATE))
+    names = chunk_manifest(chunked, ordered=False).withColumnRenamed(PLATE, "plate")
+
+    def per_chunk(df: DataFrame, order: list[str]) -> DataFrameWriter:
+        together = df.repartition(*folders).sortWithinPartitions(*folders, *order)
+        return together.write.mode("overwrite").partitionBy(*folders)
+
+    per_chunk(tables, [WELL, SITE]).option("header", "true").csv(f"{path}/load_data")
+    per_chunk(names, ["FileName"]).text(f"{path}/images")
+    return chunked.select(*folders[1:], PLATE).distinct().count()
 
 
 def write_lossless(df: DataFrame, path: str) -> int:
-    """Write parquet and check that every input row is in the output."""
+    """Write parquet and check that every input row is in the output.
+
+    Both counts are column-free scans. A count taken during the write would be
+    cheaper but is not reliable when tasks are repeated.
+    """
     expected = df.count()
     write_parquet(df, path)
     written = df.sparkSession.read.parquet(path).count()

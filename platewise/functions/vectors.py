@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _ZERO = 0.0
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    Inside an array function's lambda Spark would compute it per element.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def total(vector: Column) -> Column:
     return F.aggregate(vector, F.lit(_ZERO), lambda acc, x: acc + x)
 
@@ -21,11 +31,22 @@ def mean_absolute(vector: Column) -> Column:
     sizes = F.transform(
         F.filter(vector, lambda x: x.isNotNull() & ~F.isnan(x)), lambda x: F.abs(x)
     )
-    return F.when(F.size(sizes) > 0, mean(sizes))
+    return let(sizes, lambda s: F.when(F.size(s) > 0, mean(s)))
+
+
+def centred(vector: Column) -> Column:
+    """The values minus their mean."""
+    return let(mean(vector), lambda m: F.transform(vector, lambda x: x - m))
+
+
+def standardised(vector: Column) -> Column:
+    """Centred values over their population deviation, null where that is 0."""
 
+    def scaled(c: Column) -> Column:
+        deviation = norm(c) / F.sqrt(F.size(c))
+        return let(deviation, lambda s: F.when(s > 0, F.transform(c, lambda x: x / s)))
 
-def centred(vector: Column, centre: Column) -> Column:
-    return F.transform(vector, lambda x: x - centre)
+    return let(centred(vector), scaled)
 
 
 def norm(vector: Column) -> Column:

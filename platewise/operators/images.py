@@ -91,7 +91,7 @@ def image_sets(
 
 def incomplete_sets(images: DataFrame) -> DataFrame:
     """Image sets that lack a channel, with the missing ones as ``w1, w4``."""
-    seen = F.bit_or(F.shiftleft(F.lit(1), F.col("ChannelNumber")))
+    seen = F.bit_or(F.expr("shiftleft(1, ChannelNumber)"))
     lacking = images.groupBy(*_site_columns()).agg(seen.alias("__seen"))
     flags = [
         F.when(F.col("__seen").bitwiseAND(F.lit(1 << n)) == 0, F.lit(f"w{n}")) for n in CHANNELS

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platewise.columns import (
@@ -96,11 +96,15 @@ def plate_grid(values: DataFrame) -> DataFrame:
     n_rows, n_cols = grid_shape(placed).first()
     if n_rows is None:
         raise ValueError("no parseable wells")
+
+    def upto(n: int) -> Column:
+        return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+
     positions = (
         placed.select("plate")
         .distinct()
-        .withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).cast("long"))
-        .withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(n_cols - 1))).cast("long"))
+        .withColumn("row", F.explode(upto(n_rows)))
+        .withColumn("col", F.explode(upto(n_cols)))
     )
     settled = placed.groupBy("plate", "row", "col").agg(F.max_by("value", "well").alias("value"))
     return join_null_safe(positions, settled, ["plate", "row", "col"], "left")

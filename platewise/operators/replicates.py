@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platewise.columns import COMPOUND, CONTROL_COMPOUND, column, columns
-from platewise.functions.vectors import centred, dot, mean, norm
+from platewise.functions.vectors import dot, let, standardised
 from platewise.operators import quantiles as Q
 from platewise.operators.features import VECTOR, FeatureTable, require
 from platewise.operators.joins import join_null_safe
@@ -37,13 +37,9 @@ def row_zscores(table: FeatureTable, keep: Sequence[str]) -> DataFrame:
 
     The dot product of two rows over the number of features is their Pearson r.
     """
-    centre = centred(F.col(VECTOR), mean(F.col(VECTOR)))
-    shifted = table.rows.select(*columns(keep), centre.alias("__centred"))
-    deviation = norm(F.col("__centred")) / F.sqrt(F.size("__centred"))
-    scaled = shifted.withColumn("__sd", deviation).where(F.col("__sd") > 0)
-    return scaled.select(
-        *columns(keep), F.transform("__centred", lambda x: x / F.col("__sd")).alias(ZSCORES)
-    )
+    # Exploding the one vector drops the null ones, which a filter would compute twice.
+    scaled = let(standardised(F.col(VECTOR)), lambda z: F.when(z.isNotNull(), F.array(z)))
+    return table.rows.select(*columns(keep), F.explode(scaled).alias(ZSCORES))
 
 
 def replicate_scores(

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import functions as F
 
 from platewise.columns import PLATE, SITE, WELL, column, columns
 from platewise.operators.images import chunk_manifest, chunked_sets
 from platewise.operators.index import NUCLEI_X, NUCLEI_Y
-from platewise.session import materialize
+from platewise.operators.joins import join_null_safe
+from platewise.session import materialize, small_side
+
+# Rows of one key that go into one file.
+FILE_ROWS = 1_000_000
 
 
 class RowCountMismatch(ValueError):
@@ -24,21 +29,31 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_locations(locations: DataFrame, path: str) -> str:
-    """Nuclei centres with a bare header, in one folder per plate, well and site.
+def _one_file_per_key(df: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """Bring the rows of a key into one task, and those of a very large key into several."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = df.groupBy(*columns(keys)).agg(F.count("*").alias("__rows"))
+    large = materialize(
+        sizes.where(F.col("__rows") > FILE_ROWS).select(
+            *columns(keys), F.ceil(F.col("__rows") / FILE_ROWS).alias("__files")
+        ),
+        "large-keys",
+    )
+    count = large.count()
+    if not count:
+        return df.repartition(tasks, *columns(keys))
+    files = F.coalesce(F.col("__files"), F.lit(1).cast("long"))
+    share = F.pmod(F.xxhash64(*columns(spread)), files)
+    split = join_null_safe(df, small_side(large, count), keys, "left").withColumn("__share", share)
+    return split.repartition(tasks, *columns(keys), "__share").drop("__files", "__share")
 
-    Rebalancing brings the rows of a site together, so that a site is one file,
-    and splits a site that is too large for one task.
-    """
+
+def write_locations(locations: DataFrame, path: str) -> str:
+    """Nuclei centres with a bare header, in one folder per plate, well and site."""
     keys = [PLATE, WELL, SITE]
-    (
-        locations.select(*keys, NUCLEI_X, NUCLEI_Y)
-        .hint("rebalance", *columns(keys))
-        .write.mode("overwrite")
-        .partitionBy(*keys)
-        .option("header", "true")
-        .csv(path)
-    )
+    nuclei = locations.select(*keys, NUCLEI_X, NUCLEI_Y)
+    together = _one_file_per_key(nuclei, keys, [NUCLEI_X, NUCLEI_Y])
+    together.write.mode("overwrite").partitionBy(*keys).option("header", "true").csv(path)
     return path
 
 

@@ -55,11 +55,11 @@ TABLES = {
     "images": """
         SELECT "Metadata_Plate", path, "FileName",
                regexp_extract("FileName", pattern, 1) AS "Well",
-               regexp_extract("FileName", pattern, 2)::INT AS "Site",
-               regexp_extract("FileName", pattern, 3)::INT AS "ChannelNumber"
+               try_cast(regexp_extract("FileName", pattern, 2) AS INT) AS "Site",
+               try_cast(regexp_extract("FileName", pattern, 3) AS INT) AS "ChannelNumber"
         FROM files, (SELECT '^[^_]+_([A-P][0-9]{2})_s([0-9]{1,2})_w([0-9])' AS pattern)
         WHERE NOT contains(lower("FileName"), '_thumb') AND regexp_matches("FileName", pattern)
-          AND regexp_extract("FileName", pattern, 3)::INT BETWEEN 1 AND 5""",
+          AND regexp_extract("FileName", pattern, 3) IN ('1', '2', '3', '4', '5')""",
     "sets": """
         SELECT "Metadata_Plate", "Well" AS "Metadata_Well", "Site" AS "Metadata_Site", """
     + ", ".join(
@@ -396,10 +396,10 @@ def all_sql() -> dict[str, str]:
             counted AS (SELECT series, least(floor((value - lo) / w), 38)::INT AS bin, count(*) AS n
                         FROM series, bounds GROUP BY 1, 2),
             totals AS (SELECT series, count(*) AS total FROM series GROUP BY series)
-            SELECT series, b.bin, {r6('lo + b.bin * w')} AS left_edge, coalesce(n, 0) AS count,
+            SELECT totals.series, b.bin, {r6('lo + b.bin * w')} AS left_edge, coalesce(n, 0) AS count,
                    {r6('coalesce(n, 0) / (total * w)')} AS density
             FROM bounds, totals, (SELECT unnest(range(39))::INT AS bin) b
-            LEFT JOIN counted USING (series, bin)""".lstrip(),
+            LEFT JOIN counted ON counted.series = totals.series AND counted.bin = b.bin""".lstrip(),
         ),
         "o4_top_activity": with_tables(
             "profiles",

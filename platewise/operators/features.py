@@ -61,8 +61,8 @@ def clean_features(
     driver sees one row of statistics per feature, never the data.
     """
     metadata, numeric = split_metadata_features(df)
-    features = list(features) if features is not None else numeric
     keep = list(keep) if keep is not None else metadata
+    features = list(features) if features is not None else [c for c in numeric if c not in keep]
     if not features:
         return df.select(*columns(keep))
     seen = sorted(_statistics(df, features), key=lambda s: s.position)

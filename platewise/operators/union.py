@@ -10,8 +10,18 @@ from pyspark.sql import types as T
 
 from platewise.columns import column
 
-_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_EXACT = (T.ByteType, T.ShortType)
+# Numbers from narrow to wide, and the decimal digits an integer may need.
+_NUMBERS = (
+    T.BooleanType,
+    T.ByteType,
+    T.ShortType,
+    T.IntegerType,
+    T.LongType,
+    T.DecimalType,
+    T.FloatType,
+    T.DoubleType,
+)
+_DIGITS = {T.BooleanType: 1, T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 
 def leaf_names(kind: T.DataType, name: str = "") -> set[str]:
@@ -38,21 +48,31 @@ def require_same_leaves(schemas: Mapping[str, T.StructType]) -> None:
             )
 
 
+def _as_decimal(kind: T.DataType) -> T.DecimalType:
+    return kind if isinstance(kind, T.DecimalType) else T.DecimalType(_DIGITS[type(kind)], 0)
+
+
+def _wider_number(left: T.DataType, right: T.DataType) -> T.DataType:
+    widest = max(left, right, key=lambda t: _NUMBERS.index(type(t)))
+    if not isinstance(widest, T.DecimalType):
+        return widest
+    a, b = _as_decimal(left), _as_decimal(right)
+    scale = max(a.scale, b.scale)
+    whole = max(a.precision - a.scale, b.precision - b.scale)
+    return T.DecimalType(min(whole + scale, 38), scale)
+
+
 def wider_type(left: T.DataType, right: T.DataType) -> T.DataType:
-    """The type that holds both; text when nothing narrower does."""
-    if left == right:
+    """The type that takes both: the wider number or time, text for anything else."""
+    if left == right or isinstance(right, T.NullType):
         return left
+    if isinstance(left, T.NullType):
+        return right
     pair = (left, right)
-    if all(isinstance(t, _INTEGERS) for t in pair):
-        return max(pair, key=lambda t: _INTEGERS.index(type(t)))
-    if all(isinstance(t, (*_INTEGERS, T.FloatType, T.DoubleType)) for t in pair):
-        narrow = all(isinstance(t, (*_EXACT, T.FloatType)) for t in pair)
-        return T.FloatType() if narrow else T.DoubleType()
+    if all(isinstance(t, _NUMBERS) for t in pair):
+        return _wider_number(left, right)
     if all(isinstance(t, (T.DateType, T.TimestampType)) for t in pair):
         return T.TimestampType()
-    nulls = [t for t in pair if not isinstance(t, T.NullType)]
-    if len(nulls) == 1:
-        return nulls[0]
     if any(isinstance(t, (T.StructType, T.ArrayType, T.MapType)) for t in pair):
         raise ValueError(f"no common type for {left.simpleString()} and {right.simpleString()}")
     return T.StringType()

@@ -39,14 +39,7 @@ def cohort_table(cohort: DataFrame) -> FeatureTable:
     ident = F.concat_ws("/", *[c for c in (PLATE, WELL) if c in named], F.monotonically_increasing_id())
     # Written out with the id, which must not change between readings.
     numbered = materialize(text.withColumn(ROW_ID, ident), "cohort")
-    features = [c for c in split_features(numbered)]
-    return feature_table(numbered, [ROW_ID, *named], features)
-
-
-def split_features(df: DataFrame) -> list[str]:
-    from platewise.columns import split_metadata_features
-
-    return [c for c in split_metadata_features(df)[1] if c != ROW_ID]
+    return feature_table(numbered, [ROW_ID, *named])
 
 
 def build_report(
@@ -98,7 +91,7 @@ def build_report(
             raise InsufficientData(f"no consensus with a {COMPOUND} column")
         text = consensus.withColumn(COMPOUND, F.col(COMPOUND).cast("string"))
         report.similarity = compound_similarity(
-            feature_table(text, [COMPOUND], split_features(text)), control=control, top_n=top_n
+            feature_table(text, [COMPOUND]), control=control, top_n=top_n
         )
 
     attempt("similarity", similar)

@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 
 def base_name(path: Column) -> Column:
     """Last component of a path."""
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def path_order(path: Column) -> Column:
-    """Sort key that compares paths component by component."""
-    return F.split(path, "/")
+    """Sort key that compares paths component by component.
+
+    The separator becomes the smallest character, so that a folder sorts before
+    longer names that begin alike.
+    """
+    return F.translate(path, "/", "\0")
 
 
 def replace_extension(name: Column, extension: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def constant_vector(values: Sequence[float]) -> Column:
+    """A vector that is the same for every row."""
+    return F.expr("array(" + ", ".join(f"double('{v!r}')" for v in values) + ")").cast(
+        "array<double>"
+    )
+
+
 def total(vector: Column) -> Column:
     return F.aggregate(vector, F.lit(_ZERO), lambda acc, x: acc + x)
 

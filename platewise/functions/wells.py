@@ -5,24 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: row letters, then the column number with optional leading zeros.
-WELL_PATTERN = r"^\s*([A-Za-z]+)\s*0*([0-9]+)\s*$"
+# Fixed value: row letters, then the column number with optional leading zeros. The
+# lengths keep both numbers within a long.
+WELL_PATTERN = r"^\s*([A-Za-z]{1,13})\s*0*([0-9]{1,18})\s*$"
 
 
 def letters_to_row(letters: Column) -> Column:
-    """Row letters read as a base-26 number from 0: ``A`` 0, ``H`` 7, ``AA`` 26.
-
-    More letters than a long can number give null.
-    """
-    letters = F.when(F.length(letters) <= 13, letters)
+    """Row letters read as a base-26 number from 0: ``A`` 0, ``H`` 7, ``AA`` 26."""
     digits = F.transform(F.split(F.upper(letters), ""), lambda c: F.ascii(c) - 64)
     number = F.aggregate(digits, F.lit(0).cast("long"), lambda total, d: total * 26 + d)
     return number - 1
 
 
 def _group(well: Column, group: int) -> Column:
-    found = F.regexp_extract(well.cast("string"), WELL_PATTERN, group)
-    return F.when(found != "", found)
+    return F.nullif(F.regexp_extract(well.cast("string"), WELL_PATTERN, group), F.lit(""))
 
 
 def well_row(well: Column) -> Column:
@@ -32,4 +28,4 @@ def well_row(well: Column) -> Column:
 
 def well_column(well: Column) -> Column:
     """0-based plate column, null when the name is not a well."""
-    return _group(well, 2).try_cast("long") - 1
+    return _group(well, 2).cast("long") - 1

@@ -13,7 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platewise.columns import column, columns, infer_features, measured, require_columns
+from platewise.columns import (
+    array_of,
+    column,
+    columns,
+    infer_features,
+    measured,
+    quoted,
+    require_columns,
+)
 from platewise.operators.joins import join_null_safe
 from platewise.operators.quantiles import MAX_GROUP_ROWS, percentile_by_key
 from platewise.session import materialize, small_side
@@ -37,27 +45,27 @@ def resolve_features(
 
 def _median_in_blocks(df: DataFrame, strata: Sequence[str], features: Sequence[str]) -> DataFrame:
     if len(features) <= BLOCK_FEATURES:
-        medians = [F.median(measured(name)).alias(name) for name in features]
+        medians = [F.expr(f"median({measured(name)}) AS {quoted(name)}") for name in features]
         return df.groupBy(*columns(strata)).agg(*medians)
 
     starts = range(0, len(features), BLOCK_FEATURES)
-    padding = [F.lit(None).cast("double")] * (-len(features) % BLOCK_FEATURES)
+    padding = ["CAST(NULL AS DOUBLE)"] * (-len(features) % BLOCK_FEATURES)
     cells = [measured(name) for name in features] + padding
-    blocks = F.array(*[F.array(*cells[s : s + BLOCK_FEATURES]) for s in starts])
+    blocks = array_of(f"array({', '.join(cells[s : s + BLOCK_FEATURES])})" for s in starts)
     keys = {name: f"__key_{i}" for i, name in enumerate(strata)}
     exploded = df.select(
         *[column(name).alias(key) for name, key in keys.items()],
         F.posexplode(blocks).alias("__block", "__values"),
     )
-    medians = F.array(*[F.median(F.col("__values")[i]) for i in range(BLOCK_FEATURES)])
+    medians = array_of(f"median(__values[{i}])" for i in range(BLOCK_FEATURES))
     per_block = exploded.groupBy(*keys.values(), "__block").agg(medians.alias("__medians"))
     gathered = per_block.groupBy(*keys.values()).agg(
         F.sort_array(F.collect_list(F.struct("__block", "__medians"))).alias("__blocks")
     )
     flat = gathered.withColumn("__flat", F.flatten(F.col("__blocks.__medians")))
-    return flat.select(
-        *[F.col(key).alias(name) for name, key in keys.items()],
-        *[F.col("__flat")[i].alias(name) for i, name in enumerate(features)],
+    return flat.selectExpr(
+        *[f"{key} AS {quoted(name)}" for name, key in keys.items()],
+        *[f"__flat[{i}] AS {quoted(name)}" for i, name in enumerate(features)],
     )
 
 
@@ -67,7 +75,7 @@ def _median_by_narrowing(
     keys = {name: f"__key_{i}" for i, name in enumerate(strata)}
     long = df.select(
         *[column(name).alias(key) for name, key in keys.items()],
-        F.posexplode(F.array(*[measured(name) for name in features])).alias("__feature", "__x"),
+        F.posexplode(array_of(map(measured, features))).alias("__feature", "__x"),
     )
     medians = percentile_by_key(
         long, [*keys.values(), "__feature"], "__x", 0.5, "__median", max_group_rows=max_group_rows
@@ -77,9 +85,9 @@ def _median_by_narrowing(
         .pivot("__feature", list(range(len(features))))
         .agg(F.first("__median"))
     )
-    return wide.select(
-        *[F.col(key).alias(name) for name, key in keys.items()],
-        *[column(str(i)).alias(name) for i, name in enumerate(features)],
+    return wide.selectExpr(
+        *[f"{key} AS {quoted(name)}" for name, key in keys.items()],
+        *[f"`{i}` AS {quoted(name)}" for i, name in enumerate(features)],
     )
 
 
@@ -89,15 +97,18 @@ def aggregate_median(
     features: Sequence[str] | None = None,
     *,
     ordered: bool = True,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """One row per group with the exact median of every feature, as double.
 
     NaN and null are skipped, infinities count as values, a null key is a group
     of its own and the groups come ordered with nulls last. Reads the key
-    columns once beforehand to find groups above ``max_group_rows``.
+    columns once beforehand to find groups above ``max_group_rows``, by default
+    as many rows as fill a buffer with one block of features.
     """
     features = resolve_features(df, strata, features)
+    if max_group_rows is None:
+        max_group_rows = MAX_GROUP_ROWS // min(len(features), BLOCK_FEATURES)
     sizes = df.groupBy(*columns(strata)).agg(F.count("*").alias("__rows"))
     hot = materialize(
         sizes.where(F.col("__rows") > max_group_rows).select(*columns(strata)), "hot-groups"

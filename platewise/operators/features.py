@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platewise.columns import column, columns, finite, split_metadata_features
+from platewise.columns import array_of, columns, finite, quoted, split_metadata_features
+from platewise.functions.vectors import constant_vector
 from platewise.operators.quantiles import MAX_GROUP_ROWS, percentile_by_key
 from platewise.session import materialize
 
@@ -28,7 +29,7 @@ class FeatureTable:
 
 
 def _long(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    values = F.array(*[finite(name) for name in features])
+    values = array_of(map(finite, features))
     return df.select(F.posexplode(values).alias("position", "value"))
 
 
@@ -64,7 +65,7 @@ def clean_features(
     keep = list(keep) if keep is not None else metadata
     features = list(features) if features is not None else [c for c in numeric if c not in keep]
     if not features:
-        return df.select(*columns(keep))
+        return df.selectExpr(*map(quoted, keep))
     seen = sorted(_statistics(df, features), key=lambda s: s.position)
     usable = [s for s in seen if s.present and s.low < s.high]
     gaps = [features[s.position] for s in usable if s.present < s.rows]
@@ -75,11 +76,12 @@ def clean_features(
         )
         fill = {gaps[row.position]: row["median"] for row in medians.collect()}
 
-    def filled(name: str) -> Column:
-        return F.coalesce(finite(name), F.lit(fill[name])) if name in fill else finite(name)
+    def filled(name: str) -> str:
+        value = finite(name)
+        return f"coalesce({value}, double('{fill[name]!r}'))" if name in fill else value
 
     kept = [features[s.position] for s in usable]
-    return df.select(*columns(keep), *[filled(name).alias(name) for name in kept])
+    return df.selectExpr(*map(quoted, keep), *[f"{filled(n)} AS {quoted(n)}" for n in kept])
 
 
 def feature_table(
@@ -92,7 +94,7 @@ def feature_table(
     """Cleaned features gathered into one vector per row, written out once for reuse."""
     cleaned = clean_features(df, features, keep=keep, max_group_rows=max_group_rows)
     names = cleaned.columns[len(list(keep)) :]
-    vector = F.array(*columns(names)).cast("array<double>").alias(VECTOR)
+    vector = array_of(map(quoted, names)).cast("array<double>").alias(VECTOR)
     return FeatureTable(materialize(cleaned.select(*columns(keep), vector), "features"), names)
 
 
@@ -106,8 +108,8 @@ def standardise(table: FeatureTable) -> FeatureTable:
         .collect()
     )
     # One pair per feature: as wide as the schema, not as long as the data.
-    means = F.lit([m["mean"] for m in moments]).cast("array<double>")
-    sds = F.lit([m.sd or 1.0 for m in moments]).cast("array<double>")
+    means = constant_vector([m["mean"] for m in moments])
+    sds = constant_vector([m.sd or 1.0 for m in moments])
     centred = F.zip_with(VECTOR, means, lambda x, m: x - m)
     scaled = table.rows.withColumn(VECTOR, F.zip_with(centred, sds, lambda x, s: x / s))
     return FeatureTable(scaled, table.names)
@@ -116,8 +118,8 @@ def standardise(table: FeatureTable) -> FeatureTable:
 def spread(table: FeatureTable) -> DataFrame:
     """The vector back as one column per feature."""
     others = [c for c in table.rows.columns if c != VECTOR]
-    return table.rows.select(
-        *columns(others), *[F.col(VECTOR)[i].alias(n) for i, n in enumerate(table.names)]
+    return table.rows.selectExpr(
+        *map(quoted, others), *[f"{VECTOR}[{i}] AS {quoted(n)}" for i, n in enumerate(table.names)]
     )
 
 

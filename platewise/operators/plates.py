@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from platewise.columns import (
     PLATE,
     WELL,
+    array_of,
     column,
     columns,
     detect_well_column,
+    quoted,
     split_metadata_features,
 )
 from platewise.functions.vectors import mean_absolute
 from platewise.functions.wells import well_column, well_row
 from platewise.operators.joins import join_null_safe
 from platewise.operators.quantiles import MAX_GROUP_ROWS, percentile_by_key
+from platewise.session import materialize
 
 # Rows and columns of 96-, 384- and 1536-well plates.
 STANDARD_PLATES = ((8, 12), (16, 24), (32, 48))
@@ -38,7 +41,7 @@ def mean_absolute_features(
     """Mean of the absolute feature values of each row, missing ones skipped."""
     if features is None:
         features = split_metadata_features(profiles)[1]
-    values = F.array(*[column(name).cast("double") for name in features])
+    values = array_of(f"CAST({quoted(name)} AS DOUBLE)" for name in features)
     return profiles.select(*columns(keep), mean_absolute(values).alias("value"))
 
 
@@ -71,19 +74,27 @@ def parse_wells(df: DataFrame, well: str = "well") -> DataFrame:
 
 def on_grid(df: DataFrame, well: str = "well") -> DataFrame:
     """``parse_wells`` without the rows that have no place on a plate."""
-    return parse_wells(df, well).where(F.col("row").isNotNull() & F.col("col").isNotNull())
+    return parse_wells(df, well).where(_on_plate())
 
 
-def grid_shape(placed: DataFrame) -> DataFrame:
-    """One row: the smallest standard plate holding every well, else an exact fit."""
-    rows, cols = F.max("row"), F.max("col")
+def _on_plate() -> Column:
+    return F.col("row").isNotNull() & F.col("col").isNotNull()
+
+
+def grid_shape(parsed: DataFrame) -> DataFrame:
+    """One row: the smallest standard plate holding every well, else an exact fit.
+
+    Takes the result of ``parse_wells`` or ``on_grid``. The former is cheaper
+    behind an aggregation, as Spark would move a filter on the well before it.
+    """
+    rows, cols = F.max(F.when(_on_plate(), F.col("row"))), F.max(F.when(_on_plate(), F.col("col")))
     fits = F.struct((rows + 1).alias("n_rows"), (cols + 1).alias("n_cols"))
     for n_rows, n_cols in reversed(STANDARD_PLATES):
         plate = F.struct(
             F.lit(n_rows).cast("long").alias("n_rows"), F.lit(n_cols).cast("long").alias("n_cols")
         )
         fits = F.when((rows < n_rows) & (cols < n_cols), plate).otherwise(fits)
-    return placed.agg(fits.alias("shape")).select("shape.*")
+    return parsed.agg(fits.alias("shape")).select("shape.*")
 
 
 def plate_grid(values: DataFrame) -> DataFrame:
@@ -92,7 +103,10 @@ def plate_grid(values: DataFrame) -> DataFrame:
     ``values`` holds plate, well and value. Two spellings of one position, such
     as ``A1`` and ``A01``, are settled by the later name.
     """
-    placed = on_grid(values)
+    # One row per well, read twice: for the shape and for the values. The filter comes
+    # after writing, lest Spark move it before the aggregation that made the values.
+    parsed = materialize(parse_wells(values.select("plate", "well", "value")), "well-values")
+    placed = parsed.where(_on_plate())
     n_rows, n_cols = grid_shape(placed).first()
     if n_rows is None:
         raise ValueError("no parseable wells")
@@ -112,8 +126,11 @@ def plate_grid(values: DataFrame) -> DataFrame:
 
 def colour_maximum(values: DataFrame, *, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """One row: 99th percentile over all wells of all plates, 1 where that is 0."""
+    pooled = parse_wells(values).select(
+        F.when(_on_plate(), F.col("value").cast("double")).alias("value")
+    )
     top = percentile_by_key(
-        on_grid(values).select(F.col("value").cast("double").alias("value")),
+        materialize(pooled, "well-values"),
         [],
         "value",
         COLOUR_PERCENTILE,

@@ -21,7 +21,8 @@ from platewise.columns import column, columns
 from platewise.operators.joins import join_null_safe
 from platewise.session import materialize, small_side
 
-MAX_GROUP_ROWS = 100_000
+# Values of one key that Spark's own aggregate may buffer, about 200 MB.
+MAX_GROUP_ROWS = 2_000_000
 BINS = 1024
 MAX_ROUNDS = 40
 

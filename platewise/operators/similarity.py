@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise.columns import COMPOUND, CONTROL_COMPOUND, column, columns
-from platewise.functions.vectors import distance
+from platewise.functions.vectors import constant_vector, distance
 from platewise.operators.features import VECTOR, FeatureTable, require
 from platewise.operators.pairs import BLOCK_ROWS, block_count, per_cell, to_cells, vectors
 from platewise.operators.replicates import ZSCORES, row_zscores
@@ -41,7 +41,7 @@ def activity(
     table: FeatureTable, compound: str = COMPOUND, control: str = CONTROL_COMPOUND
 ) -> DataFrame:
     """Each row with its distance to the control; control rows rank below all others."""
-    reference = F.lit(control_reference(table, compound, control)).cast("array<double>")
+    reference = constant_vector(control_reference(table, compound, control))
     measured = distance(F.col(VECTOR), reference)
     return table.rows.withColumn(
         ACTIVITY, F.when(column(compound) == control, F.lit(float("-inf"))).otherwise(measured)

@@ -7,9 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from platewise.columns import PLATE, WELL, column, columns
+from platewise.columns import PLATE, WELL, quoted
 
 COMPARTMENTS = ("Cells", "Nuclei", "Cytoplasm")
 SOURCE = "source"
@@ -32,12 +31,11 @@ def cast_types(df: DataFrame, cast_map: Mapping[str, str] | None = FLOAT32) -> D
     """Cast columns by type name; single-cell features are kept as float by default."""
     if not cast_map:
         return df
-    return df.select(
+    kinds = {f.name: cast_map.get(f.dataType.typeName()) for f in df.schema}
+    return df.selectExpr(
         *[
-            column(f.name).cast(cast_map[f.dataType.typeName()]).alias(f.name)
-            if f.dataType.typeName() in cast_map
-            else column(f.name)
-            for f in df.schema
+            f"CAST({quoted(name)} AS {kind}) AS {quoted(name)}" if kind else quoted(name)
+            for name, kind in kinds.items()
         ]
     )
 
@@ -85,14 +83,13 @@ def join_compartments(
         cytoplasm = cytoplasm.join(good, SOURCE, "left_semi")
 
     def prefixed(df: DataFrame, name: str) -> DataFrame:
-        kept = [c for c in df.columns if c not in (SOURCE, keys.image)]
-        return df.select(
-            SOURCE,
-            keys.image,
-            *[
-                column(c).alias(c if c.startswith(name + "_") else f"{name}_{c}")
-                for c in kept
-            ],
+        start = name + "_"
+        return df.withColumnsRenamed(
+            {
+                c: start + c
+                for c in df.columns
+                if c not in (SOURCE, keys.image) and not c.startswith(start)
+            }
         )
 
     anchor = prefixed(cytoplasm, "Cytoplasm")
@@ -109,13 +106,8 @@ def join_compartments(
     named = [c for c in about.columns if c not in (SOURCE, keys.image)]
     joined = joined.join(about, [SOURCE, keys.image], "left")
     rest = [c for c in joined.columns if c not in (SOURCE, keys.image, *named)]
-    return joined.select(
-        column(SOURCE),
-        column(keys.image).alias(f"Metadata_{keys.image}"),
-        *columns(named),
-        *columns(rest),
+    return joined.selectExpr(
+        SOURCE,
+        f"{quoted(keys.image)} AS {quoted(f'Metadata_{keys.image}')}",
+        *map(quoted, [*named, *rest]),
     )
-
-
-def float_features(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))]

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from platewise.columns import column
+from platewise.columns import quoted
 
 # Numbers from narrow to wide, and the decimal digits an integer may need.
 _NUMBERS = (
@@ -99,7 +99,9 @@ def strict_union(parts: Mapping[str, DataFrame]) -> DataFrame:
     require_same_leaves(schemas)
     types = common_types(list(schemas.values()))
     aligned = [
-        df.select(*[column(name).cast(kind).alias(name) for name, kind in types.items()])
+        df.selectExpr(
+            *[f"CAST({quoted(n)} AS {kind.simpleString()}) AS {quoted(n)}" for n, kind in types.items()]
+        )
         for df in parts.values()
     ]
     return reduce(DataFrame.unionAll, aligned)

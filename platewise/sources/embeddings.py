@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.columns import columns
+from platewise.columns import quoted
 
 
 def read_npz(
@@ -65,9 +65,9 @@ def spread_embedding(
 ) -> DataFrame:
     """Embedding vector to columns ``<prefix>_1..n`` behind the named metadata entries."""
     kept = [c for c in df.columns if c not in ("embedding", "metadata")]
-    about = [F.col("metadata")[key].alias(name) for name, key in (metadata or {}).items()]
-    values = [F.col("embedding")[i].alias(f"{prefix}_{i + 1}") for i in range(width)]
-    return df.select(*about, *columns(kept), *values)
+    about = [f"metadata['{key}'] AS {quoted(name)}" for key, name in (metadata or {}).items()]
+    values = [f"embedding[{i}] AS {quoted(f'{prefix}_{i + 1}')}" for i in range(width)]
+    return df.selectExpr(*about, *map(quoted, kept), *values)
 
 
 def embedding_width(df: DataFrame) -> int:

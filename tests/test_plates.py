@@ -16,7 +16,7 @@ def test_parse_wells(spark):
     assert got == {
         "A01": (0, 0), "b02": (1, 1), " H 12 ": (7, 11), "P24": (15, 23), "AA007": (26, 6),
         "A00": (0, -1), "A": none, "12": none, "": none, "A1x": none, None: none,
-        "A" * 14 + "1": (None, 0),
+        "A" * 14 + "1": none,
     }
     assert P.on_grid(df).count() == 6
 

@@ -191,6 +191,11 @@ def all_sql() -> dict[str, str]:
             body=f"""SELECT nullif("Metadata_Plate", 'N') AS "Metadata_Plate",
             {_MEDIANS[1]}, {_MEDIANS[0]} FROM cells GROUP BY 1""",
         ),
+        "a1_median_hot_groups": with_tables(
+            "cells",
+            body=f"""SELECT "Metadata_Plate", {_MEDIANS[1]}, {_MEDIANS[0]}
+            FROM cells GROUP BY ALL""",
+        ),
         "p1_infer_features_median": with_tables(
             "cells", body=f'SELECT "Metadata_Well", {", ".join(_MEDIANS)} FROM cells GROUP BY ALL'
         ),

@@ -71,6 +71,13 @@ def a1_median_null_group(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(aggregate_median(cells, [PLATE], ["Nuclei_Price", "Cells_Quantity"]))
 
 
+def a1_median_hot_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """The same medians by the path of groups that are too large for one buffer."""
+    features = ["Nuclei_Price", "Cells_Quantity"]
+    cells = D.cells(spark, sf)
+    return rounded(aggregate_median(cells, [PLATE], features, max_group_rows=1000))
+
+
 def p1_infer_features_median(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(aggregate_median(D.cells(spark, sf), [WELL]))
 
@@ -118,7 +125,7 @@ def f2_row_letters(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def a9_grid_shape(spark: SparkSession, sf: str) -> DataFrame:
-    return P.grid_shape(P.on_grid(_well_counts(spark, sf)))
+    return P.grid_shape(P.parse_wells(_well_counts(spark, sf)))
 
 
 def j7_plate_grid(spark: SparkSession, sf: str) -> DataFrame:
@@ -361,6 +368,7 @@ _ALL = [
     a1_grouped_median,
     a1_median_nan_skip,
     a1_median_null_group,
+    a1_median_hot_groups,
     p1_infer_features_median,
     a1_median_wide,
     a2_cells_per_well,

@@ -26,7 +26,8 @@ from platewise.operators.joins import join_null_safe
 from platewise.operators.quantiles import MAX_GROUP_ROWS, percentile_by_key
 from platewise.session import materialize, small_side
 
-BLOCK_FEATURES = 64
+# Blocks of 32, 64 and 128 take the same time; the smallest has the smallest buffers.
+BLOCK_FEATURES = 32
 
 
 def resolve_features(

@@ -18,7 +18,10 @@ from platewise.columns import column, columns
 from platewise.operators.joins import join_null_safe
 from platewise.session import small_side
 
+# Rows of a group that are one matrix product, and block size of larger groups. Larger
+# blocks mean fewer copies of each row: a group of n rows copies each n / block times.
 BLOCK_ROWS = 2048
+LARGE_BLOCK_ROWS = 8192
 CELL = ["__cell_a", "__cell_b"]
 
 

@@ -15,7 +15,14 @@ from platewise.functions.vectors import dot, let, standardised
 from platewise.operators import quantiles as Q
 from platewise.operators.features import VECTOR, FeatureTable, require
 from platewise.operators.joins import join_null_safe
-from platewise.operators.pairs import BLOCK_ROWS, block_count, correlations, per_cell, to_cells
+from platewise.operators.pairs import (
+    BLOCK_ROWS,
+    LARGE_BLOCK_ROWS,
+    block_count,
+    correlations,
+    per_cell,
+    to_cells,
+)
 from platewise.operators.ranking import with_row_number
 from platewise.session import materialize, small_side
 
@@ -49,25 +56,27 @@ def replicate_scores(
     control: str = CONTROL_COMPOUND,
     *,
     block_rows: int = BLOCK_ROWS,
+    large_block_rows: int = LARGE_BLOCK_ROWS,
     max_values: int = Q.MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Median Pearson r over the pairs of wells of each compound but the control.
 
-    Compounds need two wells. A compound within one block is one matrix product.
-    A larger one is cut into blocks, and its median is found by counting the
+    Compounds need two wells. Up to ``block_rows`` wells are one matrix product.
+    A larger compound is cut into blocks, and its median is found by counting the
     correlations per bin in each pair of blocks and narrowing the bracket.
+    ``zscores`` is read once per round; give it materialised.
     """
+    wells = F.col("__wells")
+    small = wells <= block_rows
     sizes = (
         zscores.where(~column(compound).eqNullSafe(F.lit(control)))
         .groupBy(column(compound))
         .agg(F.count("*").alias("__wells"))
         .where(F.col("__wells") >= 2)
-        .withColumn("__blocks", block_count(F.col("__wells"), block_rows))
+        .withColumn("__blocks", F.when(small, 1).otherwise(block_count(wells, large_block_rows)))
     )
     sizes = materialize(sizes, "replicates")
-    groups, large_groups = sizes.agg(
-        F.count("*"), F.count_if(F.col("__blocks") > 1)
-    ).first()
+    groups, large_groups = sizes.agg(F.count("*"), F.count_if(~small)).first()
     keys = [compound]
     label = zscores.schema[compound].dataType.simpleString()
     schema = f"`{compound}` {label}"
@@ -82,14 +91,13 @@ def replicate_scores(
         return pa.table({compound: cell.column(compound)[:1], SCORE: [float(np.median(r))]})
 
     scores = per_cell(
-        cells_of(F.col("__blocks") == 1, groups), keys, median_of_cell, f"{schema}, {SCORE} double"
+        cells_of(small, groups), keys, median_of_cell, f"{schema}, {SCORE} double"
     )
     if not large_groups:
         return scores
 
-    cells = materialize(cells_of(F.col("__blocks") > 1, large_groups), "cells")
-    wells = F.col("__wells")
-    ranks = sizes.where(F.col("__blocks") > 1).select(
+    cells = cells_of(~small, large_groups)
+    ranks = sizes.where(~small).select(
         column(compound),
         (wells * (wells - 1) / 2).cast("long").alias("__n"),
         F.lit(-1.001).alias("__lo"),

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise.columns import COMPOUND, CONTROL_COMPOUND, column, columns
-from platewise.functions.vectors import constant_vector, distance
+from platewise.functions.vectors import constant_vector, distance, standardised
 from platewise.operators.features import VECTOR, FeatureTable, require
 from platewise.operators.pairs import BLOCK_ROWS, block_count, per_cell, to_cells, vectors
-from platewise.operators.replicates import ZSCORES, row_zscores
+from platewise.operators.replicates import ZSCORES
 from platewise.session import materialize
 
 ACTIVITY = "activity"
@@ -64,19 +64,14 @@ def similarity(
     The matrix itself is the result. It is computed in pairs of row blocks, so no
     task holds more than two blocks of vectors.
     """
-    ids = selected.rows.select(column(row_id))
-    total = ids.count()
+    total = selected.rows.count()
     require(total >= 2, f"only {total} profiles, two are needed")
-    kept = row_zscores(selected, [row_id])
-    flat = FeatureTable(selected.rows, selected.names).rows.select(column(row_id), VECTOR).join(
-        kept, row_id, "left"
-    )
-    # Rows without variance travel as null vectors; their correlations are null.
-    zeros = F.array_repeat(F.lit(None).cast("double"), len(selected.names))
-    rows = flat.select(
+    # Rows without variance travel as vectors of nulls; their correlations are null.
+    nothing = F.array_repeat(F.lit(None).cast("double"), len(selected.names))
+    rows = selected.rows.select(
         F.lit(0).alias("__group"),
         column(row_id),
-        F.coalesce(F.col(ZSCORES), zeros).alias(ZSCORES),
+        F.coalesce(standardised(F.col(VECTOR)), nothing).alias(ZSCORES),
     )
     blocks = rows.sparkSession.range(1).select(
         F.lit(0).alias("__group"), block_count(F.lit(total), block_rows).alias("__blocks")

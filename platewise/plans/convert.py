@@ -13,13 +13,12 @@ from platewise.operators.singlecell import (
     CompartmentKeys,
     cast_types,
     join_compartments,
-    split_sources,
 )
 from platewise.session import materialize
 from platewise.sinks.tables import write_lossless, write_parquet
 from platewise.sources.embeddings import embedding_width, read_npz, spread_embedding
 from platewise.sources.parquet import read_parts
-from platewise.sources.sqlite import read_compartments
+from platewise.sources.sqlite import read_compartments, source_status
 
 
 @dataclass(frozen=True)
@@ -45,17 +44,15 @@ def convert_compartments(
 
     Nothing is written when every source lacks a compartment.
     """
-    image, tables, sources = read_compartments(spark, source)
-    # The row store is read once; the joins and counts then read columns.
-    image = materialize(image, "image")
-    tables = {name: materialize(df, name.lower()) for name, df in tables.items()}
-    status = split_sources(tables, sources).orderBy(SOURCE).collect()
+    status = sorted(source_status(spark, source).collect())
     result = CompartmentConversion(
         [row[SOURCE] for row in status if row.complete],
         [row[SOURCE] for row in status if not row.complete],
     )
     if result.produced_output:
-        write_parquet(cast_types(join_compartments(image, tables, keys), cast_map), dest)
+        image, tables = read_compartments(spark, source)
+        cells = join_compartments(image, tables, keys, skip_incomplete=False)
+        write_parquet(cast_types(cells, cast_map), dest)
     return result
 
 

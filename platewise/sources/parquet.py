@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.columns import PLATE
 from platewise.functions.text import plate_from_file_name
-from platewise.operators.union import loose_union, strict_union
+from platewise.operators.union import loose_union, require_same_leaves, strict_union
+from platewise.session import materialize
 
 
 def parquet_columns(spark: SparkSession, path: str) -> list[str]:
@@ -26,8 +27,8 @@ def find_parts(spark: SparkSession, folder: str) -> DataFrame:
     return listed.load(folder).select("path")
 
 
-def part_layouts(parts: DataFrame) -> DataFrame:
-    """Parts grouped by the schema in their footers, which executors read."""
+def part_footers(parts: DataFrame) -> DataFrame:
+    """Each part with the schema in its footer, which executors read."""
 
     def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -42,22 +43,40 @@ def part_layouts(parts: DataFrame) -> DataFrame:
                 rows.append((path, str(schema.remove_metadata())))
             yield pd.DataFrame(rows, columns=["path", "layout"])
 
-    read = parts.mapInPandas(footers, "path string, layout string")
-    return read.groupBy("layout").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return parts.mapInPandas(footers, "path string, layout string")
+
+
+def distinct_layouts(footers: DataFrame) -> list[Row]:
+    """Each layout with its first part, in part order."""
+    found = footers.groupBy("layout").agg(F.min("path").alias("example")).collect()
+    return sorted(found, key=lambda row: row.example)
+
+
+def _paths(footers: DataFrame, layout: str) -> list[str]:
+    """The parts of one layout: the list that the scan of these files is made from."""
+    return [row.path for row in footers.where(F.col("layout") == layout).collect()]
 
 
 def read_parts(spark: SparkSession, folder: str) -> DataFrame:
     """All parquet parts under a folder as one table.
 
     The parts must have the same set of columns. Their order may differ, and
-    their types, which are widened. Spark plans one scan per distinct layout,
-    not per part.
+    their types, which are widened. Parts that differ in order at most are one
+    scan of the folder; otherwise there is one scan per distinct layout.
     """
-    layouts = part_layouts(find_parts(spark, folder)).collect()
+    footers = materialize(part_footers(find_parts(spark, folder)), "footers")
+    layouts = distinct_layouts(footers)
     if not layouts:
         raise FileNotFoundError(f"no parquet files under {folder}")
-    ordered = sorted(layouts, key=lambda row: row.paths[0])
-    return strict_union({row.paths[0]: spark.read.parquet(*row.paths) for row in ordered})
+    schemas = {row.example: spark.read.parquet(row.example).schema for row in layouts}
+    require_same_leaves(schemas)
+    kinds = [{f.name: f.dataType for f in schema} for schema in schemas.values()]
+    if all(kind == kinds[0] for kind in kinds):
+        reader = spark.read.schema(schemas[layouts[0].example])
+        return reader.options(pathGlobFilter="*.parquet", recursiveFileLookup="true").parquet(folder)
+    return strict_union(
+        {row.example: spark.read.parquet(*_paths(footers, row.layout)) for row in layouts}
+    )
 
 
 def read_profiles(
@@ -69,8 +88,11 @@ def read_profiles(
     """
     if not paths:
         raise FileNotFoundError("no profiles to load")
-    layouts = part_layouts(spark.createDataFrame([(_uri(p),) for p in paths], "path string"))
-    parts = [spark.read.parquet(*row.paths) for row in sorted(layouts.collect(), key=lambda r: r.paths[0])]
+    listed = spark.createDataFrame([(_uri(p),) for p in paths], "path string")
+    footers = materialize(part_footers(listed), "footers")
+    parts = [
+        spark.read.parquet(*_paths(footers, row.layout)) for row in distinct_layouts(footers)
+    ]
     plate = plate_from_file_name(F.col("_metadata.file_name"))
     named = [
         df if plate_column in df.columns else df.withColumn(plate_column, plate) for df in parts

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import os
 import sqlite3
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import closing
 from pathlib import Path
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -20,6 +20,7 @@ FORMAT = "sqlite_table"
 SPLIT_BYTES = 256 * 1024 * 1024
 BATCH_ROWS = 10_000
 IMAGE_TABLE = "Per_Image"
+COMPARTMENT_TABLES = tuple(f"Per_{name}" for name in COMPARTMENTS)
 
 
 def open_read_only(path: str) -> sqlite3.Connection:
@@ -53,6 +54,14 @@ def _spark_type(declared: str) -> T.DataType:
     return T.StringType()
 
 
+def has_rows(con: sqlite3.Connection, table: str) -> bool:
+    """Whether the table exists and holds a row; reads one row at most."""
+    try:
+        return con.execute(f"SELECT 1 FROM {_quoted(table)} LIMIT 1").fetchone() is not None
+    except sqlite3.OperationalError:
+        return False
+
+
 def table_schema(paths: list[str], table: str) -> T.StructType | None:
     """Columns of the table in the first file that has it."""
     for path in paths:
@@ -73,8 +82,10 @@ class RowRange(InputPartition):
 
 
 class SqliteReader(DataSourceReader):
-    def __init__(self, paths: list[str], table: str, schema: T.StructType):
-        self.paths, self.table, self.schema = paths, table, schema
+    def __init__(
+        self, paths: list[str], table: str, schema: T.StructType, needed: tuple[str, ...] = ()
+    ):
+        self.paths, self.table, self.schema, self.needed = paths, table, schema, needed
 
     def partitions(self) -> list[RowRange]:
         shares = []
@@ -94,7 +105,7 @@ class SqliteReader(DataSourceReader):
                 kinds[field.name] = pa.float64()
         with closing(open_read_only(partition.path)) as con:
             present = {row[1] for row in con.execute(f"PRAGMA table_info({table})")}
-            if not present:
+            if not present or not all(has_rows(con, name) for name in self.needed):
                 return
             low, high = con.execute(f"SELECT min(rowid), max(rowid) FROM {table}").fetchone()
             if low is None:
@@ -135,28 +146,48 @@ class SqliteSource(DataSource):
         return schema
 
     def reader(self, schema: T.StructType) -> SqliteReader:
-        return SqliteReader(find_sqlite(self.options["path"]), self.options["table"], schema)
+        needed = tuple(filter(None, self.options.get("needed", "").split(",")))
+        paths = find_sqlite(self.options["path"])
+        return SqliteReader(paths, self.options["table"], schema, needed)
 
 
-def read_sqlite_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_sqlite_table(
+    spark: SparkSession, path: str, table: str, needed: Sequence[str] = ()
+) -> DataFrame:
     """One table of all SQLite files under ``path``, with the file in ``source``.
 
-    Large files are read in several tasks by row-id range.
+    Files in which a ``needed`` table is absent or empty give no rows. Large
+    files are read in several tasks by row-id range.
     """
     spark.dataSource.register(SqliteSource)
-    return spark.read.format(FORMAT).option("table", table).load(path)
+    options = {"table": table, "needed": ",".join(needed)}
+    return spark.read.format(FORMAT).options(**options).load(path)
+
+
+def source_status(spark: SparkSession, path: str) -> DataFrame:
+    """Each SQLite file with ``complete``: whether every compartment has a row.
+
+    The executors open the files and look for one row per table.
+    """
+    files = spark.createDataFrame([(p,) for p in find_sqlite(path)], f"{SOURCE} string")
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for name in batch[SOURCE]:
+                with closing(open_read_only(name)) as con:
+                    found.append(all(has_rows(con, table) for table in COMPARTMENT_TABLES))
+            yield batch.assign(complete=found)
+
+    return files.mapInPandas(look, f"{SOURCE} string, complete boolean")
 
 
-def read_compartments(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
-    """Image table, compartment tables and the list of sources of a SQLite folder."""
-    paths = find_sqlite(path)
-    sources = spark.createDataFrame([(p,) for p in paths], f"{SOURCE} string")
-    empty = f"{SOURCE} string, ImageNumber bigint, ObjectNumber bigint"
+def read_compartments(
+    spark: SparkSession, path: str
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Image and compartment tables of the complete sources of a SQLite folder."""
 
     def read(table: str) -> DataFrame:
-        if table_schema(paths, table) is None:
-            return spark.createDataFrame([], empty)
-        return read_sqlite_table(spark, path, table)
+        return read_sqlite_table(spark, path, table, COMPARTMENT_TABLES)
 
-    tables = {name: read(f"Per_{name}") for name in COMPARTMENTS}
-    return read(IMAGE_TABLE), tables, sources.select(F.col(SOURCE))
+    return read(IMAGE_TABLE), {name: read(f"Per_{name}") for name in COMPARTMENTS}

@@ -32,14 +32,18 @@ def test_zscores_give_pearson_and_drop_flat_rows(spark, cohort):
     np.testing.assert_allclose(z @ z.T / 7, want, atol=1e-12)
 
 
-@pytest.mark.parametrize("block_rows, max_values", [(2048, 1000), (20, 1000), (20, 30), (7, 1)])
-def test_scores_by_every_path(spark, cohort, block_rows, max_values):
+@pytest.mark.parametrize(
+    "block_rows, large, max_values", [(2048, 8192, 1000), (20, 20, 1000), (20, 50, 30), (7, 9, 1), (20, 8192, 30)]
+)
+def test_scores_by_every_path(spark, cohort, block_rows, large, max_values):
     frame = cohort(plates=6, wells=24, compounds=3, features=12)
     # One compound owns most of the wells, one has a single well.
     frame.loc[30:, COMPOUND] = "HY-001"
     frame.loc[0, COMPOUND] = "alone"
     z = materialize(R.row_zscores(table_of(spark, frame), ["row_id", COMPOUND]))
-    scored = R.replicate_scores(z, "row_id", block_rows=block_rows, max_values=max_values)
+    scored = R.replicate_scores(
+        z, "row_id", block_rows=block_rows, large_block_rows=large, max_values=max_values
+    )
     got = {r[COMPOUND]: r.score for r in scored.collect()}
     _, want = brute_force(frame)
     assert set(got) == set(want)

@@ -256,7 +256,9 @@ def a11_replicate_score(spark: SparkSession, sf: str) -> DataFrame:
 def a11_replicate_score_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The same scores by the path of compounds that do not fit one block."""
     return rounded(
-        R.replicate_scores(_zscores(spark, sf), "vec_id", block_rows=24, max_values=100)
+        R.replicate_scores(
+            _zscores(spark, sf), "vec_id", block_rows=24, large_block_rows=40, max_values=100
+        )
     )
 
 
@@ -315,8 +317,8 @@ def s3_platemap_csv(spark: SparkSession, sf: str) -> DataFrame:
         "Metadata_Compound",
         F.col("Metadata_Batch").alias(" Metadata_Batch"),
     )
-    quoted = padded.write.options(header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
-    quoted.csv(path)
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    padded.write.options(header="true", **kept).csv(path)
     return read_platemap(spark, path)
 
 

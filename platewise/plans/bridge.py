@@ -14,7 +14,7 @@ from platewise.operators.index import (
     MAP_PLATE,
     MAP_WELL,
     build_index,
-    clean_locations,
+    cleanuclei_rows,
     join_platemap,
     order_index,
     single_plate,
@@ -25,24 +25,17 @@ from platewise.sinks.tables import write_csv, write_locations
 from platewise.sources.tables import read_image_table, read_locations, read_platemap
 
 
-@dataclass
-class BridgeResult:
-    plate: str
-    n_sites: int
-    n_locations: int
-    unmatched_wells: list[str] = field(default_factory=list)
-
-    def summary(self) -> str:
-        return f"plate {self.plate}: {self.n_locations} locations, {self.n_sites} index rows"
+@dataclass(frozen=True)
+class PlateIndex:
+    """What was written for a plate, and the index keys its plate map lacks."""
 
-    def warning(self) -> str | None:
-        if not self.unmatched_wells:
-            return None
-        listed = ", ".join(self.unmatched_wells)
-        return f"{len(self.unmatched_wells)} index key(s) had no plate-map match: {listed}"
+    plate: str
+    sites: int
+    nuclei: int
+    unmatched: list[str] = field(default_factory=list)
 
 
-def bridge(
+def write_plate_index(
     spark: SparkSession,
     image_tables: str,
     locations: str | None,
@@ -53,7 +46,7 @@ def bridge(
     plate_col: str | None = MAP_PLATE,
     well_col: str = MAP_WELL,
     cols: Sequence[str] | None = MAP_ANNOTATIONS,
-) -> BridgeResult:
+) -> PlateIndex:
     """Write ``metadata/index`` and ``locations`` of one plate under ``dest``.
 
     ``plate`` is used when the image table has no plate column.
@@ -68,11 +61,11 @@ def bridge(
     annotated = join_platemap(index, annotations, plate_col, well_col, cols)
     write_csv(order_index(annotated), f"{dest}/metadata/index")
 
-    n_locations = 0
+    nuclei_rows = 0
     if locations is not None:
         found = read_locations(spark, locations).withColumn(PLATE, F.lit(plate))
-        nuclei = materialize(clean_locations(found, keep=[PLATE, WELL, SITE]), "locations")
+        nuclei = materialize(cleanuclei_rows(found, keep=[PLATE, WELL, SITE]), "locations")
         write_locations(nuclei, f"{dest}/locations")
-        n_locations = nuclei.count()
+        nuclei_rows = nuclei.count()
     # Keys of one plate's wells: bounded by the plate format.
-    return BridgeResult(plate, annotated.count(), n_locations, [r.key for r in missing.collect()])
+    return PlateIndex(plate, annotated.count(), nuclei_rows, [r.key for r in missing.collect()])

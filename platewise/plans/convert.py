@@ -22,15 +22,11 @@ from platewise.sources.sqlite import read_compartments, source_status
 
 
 @dataclass(frozen=True)
-class CompartmentConversion:
-    """Sources that gave cells and sources without a row in some compartment."""
+class SourceSplit:
+    """Files that gave cells, and files without a row in some compartment."""
 
-    converted: list[str]
-    skipped: list[str]
-
-    @property
-    def produced_output(self) -> bool:
-        return bool(self.converted)
+    complete: list[str]
+    incomplete: list[str]
 
 
 def convert_compartments(
@@ -39,21 +35,21 @@ def convert_compartments(
     dest: str,
     keys: CompartmentKeys = CompartmentKeys(),
     cast_map: Mapping[str, str] | None = FLOAT32,
-) -> CompartmentConversion:
+) -> SourceSplit:
     """Join the compartments of SQLite files into a single-cell parquet table.
 
-    Nothing is written when every source lacks a compartment.
+    Nothing is written when no file is complete.
     """
     status = sorted(source_status(spark, source).collect())
-    result = CompartmentConversion(
+    split = SourceSplit(
         [row[SOURCE] for row in status if row.complete],
         [row[SOURCE] for row in status if not row.complete],
     )
-    if result.produced_output:
+    if split.complete:
         image, tables = read_compartments(spark, source)
         cells = join_compartments(image, tables, keys, skip_incomplete=False)
         write_parquet(cast_types(cells, cast_map), dest)
-    return result
+    return split
 
 
 def concat_parts(spark: SparkSession, parts: str, dest: str) -> int:

@@ -17,17 +17,13 @@ from platewise.sinks.tables import write_chunks, write_csv
 from platewise.sources.listing import list_files
 
 
-@dataclass
-class LoadDataResult:
-    plate: str
-    n_image_sets: int
-    with_illum: bool
-    n_chunks: int = 0
+@dataclass(frozen=True)
+class ImageSetFiles:
+    """What was written for a plate."""
 
-    def summary(self) -> str:
-        kind = "with illum" if self.with_illum else "no illum"
-        chunks = f", {self.n_chunks} chunks" if self.n_chunks else ""
-        return f"plate {self.plate}: {self.n_image_sets} image sets ({kind}){chunks}"
+    plate: str
+    sets: int
+    chunks: int
 
 
 def image_set_table(images: DataFrame, **options) -> DataFrame:
@@ -35,7 +31,7 @@ def image_set_table(images: DataFrame, **options) -> DataFrame:
     return image_sets(require_complete_sets(require_images(images)), **options)
 
 
-def generate_loaddata(
+def write_image_sets(
     spark: SparkSession,
     input_dir: str,
     output: str,
@@ -45,7 +41,7 @@ def generate_loaddata(
     chunk_size: int = 0,
     images_subdir: str = "images",
     illum_subdir: str = "illum",
-) -> LoadDataResult:
+) -> ImageSetFiles:
     """Write a plate's image sets under ``output`` and, if asked, its chunks.
 
     The plate is called like its folder unless named.
@@ -60,4 +56,4 @@ def generate_loaddata(
     )
     write_csv(sets.orderBy("Metadata_Well", "Metadata_Site"), f"{output}/load_data")
     chunks = write_chunks(sets, f"{output}/chunks", chunk_size) if chunk_size > 0 else 0
-    return LoadDataResult(plate, sets.count(), with_illum, chunks)
+    return ImageSetFiles(plate, sets.count(), chunks)

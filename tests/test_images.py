@@ -1,7 +1,7 @@
 import pytest
 
 from platewise.operators import images as I
-from platewise.plans.loaddata import generate_loaddata, image_set_table
+from platewise.plans.loaddata import ImageSetFiles, image_set_table, write_image_sets
 from platewise.sources.listing import list_files
 
 
@@ -82,9 +82,9 @@ def test_listing_keeps_empty_and_underscored_files(spark, plate, depth):
     assert len(found) == len(set(found)) == 12
 
 
-def test_generate_loaddata(spark, plate, tmp_path):
-    result = generate_loaddata(spark, str(plate), str(tmp_path / "out"), chunk_size=1)
-    assert result.summary() == "plate 26159: 2 image sets (no illum), 2 chunks"
+def test_image_sets_from_a_folder(spark, plate, tmp_path):
+    result = write_image_sets(spark, str(plate), str(tmp_path / "out"), chunk_size=1)
+    assert result == ImageSetFiles("26159", 2, 2)
     table = spark.read.option("header", "true").csv(str(tmp_path / "out" / "load_data"))
     assert [r.Metadata_Site for r in table.collect()] == ["1", "2"]
     listed = spark.read.text(str(tmp_path / "out" / "chunks" / "images" / "plate=26159" / "chunk=2"))

@@ -35,8 +35,8 @@ def test_compartments_are_joined_by_parent_and_empty_sources_skipped(spark, tmp_
     make_sqlite(source / "p.3.sqlite", 0)
     make_sqlite(source / "p.4.sqlite", 2, compartments=("Cells", "Nuclei"))
     result = convert_compartments(spark, str(source), str(tmp_path / "out"))
-    assert [p.rsplit("/", 1)[1] for p in result.converted] == ["p.2.sqlite", "p.1.sqlite"]
-    assert [p.rsplit("/", 1)[1] for p in result.skipped] == ["p.3.sqlite", "p.4.sqlite"]
+    assert [p.rsplit("/", 1)[1] for p in result.complete] == ["p.2.sqlite", "p.1.sqlite"]
+    assert [p.rsplit("/", 1)[1] for p in result.incomplete] == ["p.3.sqlite", "p.4.sqlite"]
     out = spark.read.parquet(str(tmp_path / "out"))
     assert {"Metadata_Plate", "Metadata_Well", "Metadata_ImageNumber"} <= set(out.columns)
     assert not [c for c in out.columns if c.startswith("Image_")]
@@ -52,7 +52,7 @@ def test_compartments_are_joined_by_parent_and_empty_sources_skipped(spark, tmp_
 def test_nothing_is_written_when_all_sources_are_empty(spark, tmp_path):
     make_sqlite(tmp_path / "p.sqlite", 0)
     result = convert_compartments(spark, str(tmp_path / "p.sqlite"), str(tmp_path / "out"))
-    assert not result.produced_output and not (tmp_path / "out").exists()
+    assert not result.complete and not (tmp_path / "out").exists()
     with pytest.raises(FileNotFoundError):
         convert_compartments(spark, str(tmp_path / "none"), str(tmp_path / "out"))
 

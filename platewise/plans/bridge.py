@@ -14,7 +14,7 @@ from platewise.operators.index import (
     MAP_PLATE,
     MAP_WELL,
     build_index,
-    cleanuclei_rows,
+    clean_locations,
     join_platemap,
     order_index,
     single_plate,
@@ -64,7 +64,7 @@ def write_plate_index(
     nuclei_rows = 0
     if locations is not None:
         found = read_locations(spark, locations).withColumn(PLATE, F.lit(plate))
-        nuclei = materialize(cleanuclei_rows(found, keep=[PLATE, WELL, SITE]), "locations")
+        nuclei = materialize(clean_locations(found, keep=[PLATE, WELL, SITE]), "locations")
         write_locations(nuclei, f"{dest}/locations")
         nuclei_rows = nuclei.count()
     # Keys of one plate's wells: bounded by the plate format.

@@ -14,10 +14,10 @@ def base_name(path: Column) -> Column:
 def path_order(path: Column) -> Column:
     """Sort key that compares paths component by component.
 
-    The separator becomes the smallest character, so that a folder sorts before
+    The separator becomes a character below all printable ones, so that a folder sorts before
     longer names that begin alike.
     """
-    return F.translate(path, "/", "\0")
+    return F.translate(path, "/", "\x01")
 
 
 def replace_extension(name: Column, extension: str) -> Column:

@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from platewise.llm.exactdedup import exact_dedup
 from platewise.llm.langid import identify_language
+from platewise.llm.mixing import mix_order
 from platewise.llm.simhash import simhash_components
 
+# Target shares of the sources in hundredths; the rest of the sources share OTHER.
+TARGETS = {"src0": 25, "src1": 15, "src2": 10, "src3": 5, "src4": 5}
+OTHER = 40
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -25,6 +30,10 @@ def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_components(_table(spark, sf, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mix_order(_table(spark, sf, "documents"), TARGETS, OTHER)
+
+
 def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(_table(spark, sf, "documents"))
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from platewise.llm.chat import link_tool_calls
 from platewise.llm.exactdedup import exact_dedup
 from platewise.llm.langid import identify_language
 from platewise.llm.mixing import mix_order
@@ -15,6 +17,18 @@ from platewise.llm.simhash import simhash_components
 TARGETS = {"src0": 25, "src1": 15, "src2": 10, "src3": 5, "src4": 5}
 OTHER = 40
 
+# Schemas of the tools that the user turns are read as calls of.
+TOOLS = {
+    "outline": {
+        "depth": {"type": "integer", "required": True, "minimum": 1, "maximum": 5},
+        "text": {"type": "string", "required": True},
+    },
+    "search": {
+        "limit": {"type": "integer", "required": True, "minimum": 1, "maximum": 40},
+        "query": {"type": "string", "required": True, "max_length": 300},
+    },
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -38,5 +52,32 @@ def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(_table(spark, sf, "documents"))
 
 
+def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
+    """User turns as calls, the assistant's next turn as the result."""
+    turns = _table(spark, sf, "conversations")
+    size = F.length("text")
+    outline = F.coalesce(F.contains("text", F.lit("\n")), F.lit(False))
+    # Some depths are text and some limits out of range, so validation has work to do.
+    depth = F.to_json(F.struct((size % 6).alias("depth"), "text"))
+    wrong_depth = F.to_json(F.struct((size % 6).cast("string").alias("depth"), "text"))
+    limit = F.to_json(F.struct(F.col("text").alias("query"), (size % 50).alias("limit")))
+    call = F.concat(F.lit("call_"), F.col("turn").cast("string"))
+    calls = turns.filter(F.col("role") == "user").select(
+        "conv_id",
+        call.alias("call_id"),
+        "turn",
+        F.when(outline, "outline").otherwise("search").alias("tool"),
+        F.when(outline & (size % 7 == 0), wrong_depth).when(outline, depth).otherwise(limit).alias("arguments"),
+        F.when(F.col("turn") >= 2, F.concat(F.lit("call_"), (F.col("turn") - 2).cast("string"))).alias("after"),
+    )
+    results = turns.filter(F.col("role") == "assistant").select(
+        "conv_id",
+        F.concat(F.lit("call_"), (F.col("turn") - 1).cast("string")).alias("call_id"),
+        "turn",
+        F.col("text").alias("content"),
+    )
+    return link_tool_calls(calls, results, TOOLS)
+
+
 def all_queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}

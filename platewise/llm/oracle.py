@@ -17,6 +17,83 @@ FROM texts
 WINDOW same AS (PARTITION BY norm)
 """
 
+OP4_URL_FILTER = """
+WITH cut AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%'
+      THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule
+  FROM parts)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+  WHEN rule IS NOT NULL THEN 'block'
+  WHEN regexp_matches(host, '(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)') THEN 'block'
+  ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+OP10_CHAT = """
+WITH RECURSIVE turns AS (
+  SELECT *, length(text) AS size, contains(text, chr(10)) AS outline FROM conversations),
+calls AS (SELECT * FROM turns WHERE role = 'user'),
+results AS (
+  SELECT conv_id, turn - 1 AS turn, text AS content FROM turns WHERE role = 'assistant'),
+chains AS (
+  SELECT conv_id, turn, 0::BIGINT AS depth FROM calls AS c
+  WHERE NOT EXISTS (SELECT 1 FROM calls AS p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+  UNION ALL
+  SELECT c.conv_id, c.turn, depth + 1
+  FROM chains JOIN calls AS c ON c.conv_id = chains.conv_id AND c.turn = chains.turn + 2),
+linked AS (
+  SELECT c.conv_id, 'call_' || c.turn AS call_id, c.turn,
+         CASE WHEN outline THEN 'outline' ELSE 'search' END AS tool,
+         depth,
+         concat_ws('; ',
+           CASE WHEN depth = 0 AND c.turn >= 2 THEN 'unknown predecessor' END,
+           CASE WHEN NOT outline THEN NULL
+                WHEN size % 7 = 0 THEN 'depth: not integer'
+                WHEN size % 6 < 1 THEN 'depth: too small' END,
+           CASE WHEN outline THEN NULL
+                WHEN size % 50 < 1 THEN 'limit: too small'
+                WHEN size % 50 > 40 THEN 'limit: too large' END,
+           CASE WHEN NOT outline AND size > 300 THEN 'query: too long' END) AS errors,
+         CASE WHEN r.turn IS NULL THEN 0 ELSE 1 END::BIGINT AS results,
+         '{"arguments":' || CASE
+             WHEN outline AND size % 7 = 0 THEN '{"depth":"' || size % 6 || '","text":' || to_json(text)
+             WHEN outline THEN '{"depth":' || size % 6 || ',"text":' || to_json(text)
+             ELSE '{"limit":' || size % 50 || ',"query":' || to_json(text) END
+           || '},"id":"call_' || c.turn || '"'
+           || coalesce(',"result":' || to_json(content), '')
+           || ',"tool":"' || CASE WHEN outline THEN 'outline' ELSE 'search' END || '"}' AS line
+  FROM calls AS c JOIN chains USING (conv_id, turn)
+  LEFT JOIN results AS r ON r.conv_id = c.conv_id AND r.turn = c.turn
+  UNION ALL
+  SELECT conv_id, 'call_' || turn, turn + 1, NULL, NULL, 'no call', 1,
+         '{"id":"call_' || turn || '","result":' || to_json(content) || '}'
+  FROM results AS r
+  WHERE NOT EXISTS (SELECT 1 FROM calls AS c WHERE c.conv_id = r.conv_id AND c.turn = r.turn))
+SELECT conv_id,
+       row_number() OVER (PARTITION BY conv_id ORDER BY depth NULLS LAST, turn, call_id, line) - 1 AS position,
+       call_id, tool, depth, errors = '' AS valid, errors, results, line
+FROM linked
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_EXACT_DEDUP}
+    return {
+        "op4_url_filter": OP4_URL_FILTER,
+        "op8_exact_dedup": OP8_EXACT_DEDUP,
+        "op10_chat": OP10_CHAT,
+    }

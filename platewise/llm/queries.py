@@ -12,11 +12,22 @@ from platewise.llm.exactdedup import exact_dedup
 from platewise.llm.langid import identify_language
 from platewise.llm.mixing import mix_order
 from platewise.llm.simhash import simhash_components
+from platewise.llm.urlfilter import Rule, judge_urls, url_host
 
 # Target shares of the sources in hundredths; the rest of the sources share OTHER.
 TARGETS = {"src0": 25, "src1": 15, "src2": 10, "src3": 5, "src4": 5}
 OTHER = 40
 
+URL_RULES = (
+    Rule("allow", "com", "/"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+    Rule("block", "net", "/fr/"),
+)
+# Words in a host's name that put it on the list.
+LISTED_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam")
+
 # Schemas of the tools that the user turns are read as calls of.
 TOOLS = {
     "outline": {
@@ -48,6 +59,14 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix_order(_table(spark, sf, "documents"), TARGETS, OTHER)
 
 
+def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """The list: every host of the pages with a listed word in its name."""
+    pages = _table(spark, sf, "pages")
+    hosts = pages.select(url_host(F.col("url")).alias("host")).distinct()
+    listed = hosts.filter(F.col("host").rlike(rf"(^|[.-])({'|'.join(LISTED_WORDS)})([.-]|$)"))
+    return judge_urls(pages, URL_RULES, listed)
+
+
 def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(_table(spark, sf, "documents"))
 

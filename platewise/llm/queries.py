@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from platewise.llm.exactdedup import exact_dedup
 from platewise.llm.langid import identify_language
 from platewise.llm.mixing import mix_order
 from platewise.llm.simhash import simhash_components
+from platewise.llm.tokencount import count_tokens
 from platewise.llm.urlfilter import Rule, judge_urls, url_host
 
 # Target shares of the sources in hundredths; the rest of the sources share OTHER.
@@ -71,6 +73,10 @@ def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(_table(spark, sf, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return count_tokens(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
     """User turns as calls, the assistant's next turn as the result."""
     turns = _table(spark, sf, "conversations")

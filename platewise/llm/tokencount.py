@@ -71,8 +71,7 @@ class Transducer:
 
     The encoding of a string is the one sequence of tokens in which every two
     neighbours encode to themselves. So the last token of what was read is the one
-    that ends here and agrees with the last token of what precedes it; whether two
-    tokens agree is worked out by merging them, once.
+    that ends here and agrees with the last token of what precedes it.
     """
 
     def __init__(self, path: str):
@@ -82,82 +81,124 @@ class Transducer:
         suffix = model["end_of_word_suffix"]
         if model["type"] != "BPE" or not suffix or spec["post_processor"]:
             raise ValueError("a byte-pair tokenizer with word ends is needed")
-        self.suffix = suffix
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(model["merges"])}
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        # Names of tokens by number; both parts and the rank of the merge that makes each.
+        self.names = list(model["vocab"])
+        number = {name: i for i, name in enumerate(self.names)}
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
+        self.parts: dict[int, tuple[int, int]] = {}
+        for rank, (left, right) in enumerate(model["merges"]):
+            pair = number[left], number[right]
+            self.ranks[pair] = rank
+            self.made.append(number[left + right])
+            self.parts.setdefault(number[left + right], pair)
+        special = [t["content"] for t in spec["added_tokens"]]
+        self.specials = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
         splits = spec["pre_tokenizer"]["pretokenizers"]
         pattern = next(p["pattern"]["Regex"] for p in splits if p["type"] == "Split")
         self.pattern = regex.compile(pattern.replace(r"\s", SPACE))
-        self.specials = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         byte_of = {letter: byte for byte, letter in enumerate(byte_letters())}
-        self.symbols: list[tuple[str, ...]] = []
-        # A node has its children by byte, END for the word's end, and "token" where one ends.
-        self.trie: dict = {}
-        for name in model["vocab"]:
+        # The trie: children of a node by byte, END for the word's end; the token that ends there.
+        self.children: list[dict[int, int]] = [{}]
+        self.token: list[int] = [-1]
+        self.spelling: dict[int, list[int]] = {}
+        for token, name in enumerate(self.names):
             stem = name.removesuffix(suffix)
             if not stem or any(c not in byte_of for c in stem):
                 continue
-            letters = [*stem]
-            path_ = [byte_of[c] for c in stem]
-            if stem != name:
-                letters[-1] += suffix
-                path_.append(END)
-            node = self.trie
-            for step in path_:
-                node = node.setdefault(step, {})
-            node["token"] = len(self.symbols)
-            self.symbols.append(tuple(letters))
+            letters = [*stem[:-1], stem[-1] + suffix * (stem != name)]
+            self.spelling[token] = [number[c] for c in letters]
+            node = 0
+            for step in [byte_of[c] for c in stem] + [END] * (stem != name):
+                if step not in self.children[node]:
+                    self.children[node][step] = len(self.children)
+                    self.children.append({})
+                    self.token.append(-1)
+                node = self.children[node][step]
+            self.token[node] = token
+        self.whole: dict[int, bool] = {}
+        self.edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.agreeing: dict[tuple[int, int], bool] = {}
         self.start_over()
 
     def start_over(self) -> None:
         self.states: dict[tuple, State] = {}
-        self.start = self._state(((id(self.trie), self.trie, -1, 0),))
-
-    def merge(self, letters: tuple[str, ...]) -> list[str]:
-        """Byte-pair encoding of a few symbols, by the order of merges."""
-        parts = list(letters)
-        while len(parts) > 1:
-            ranked = [(self.ranks.get(pair, len(self.ranks)), i) for i, pair in enumerate(zip(parts, parts[1:]))]
-            rank, place = min(ranked)
-            if rank == len(self.ranks):
+        self.agreeing.clear()
+        self.start = self._state(((0, -1, 0),))
+
+    def merge(self, tokens: list[int]) -> list[int]:
+        """Byte-pair encoding of a few tokens, by the order of merges."""
+        tokens, none = list(tokens), len(self.ranks)
+        while len(tokens) > 1:
+            rank, place = min((self.ranks.get(p, none), i) for i, p in enumerate(zip(tokens, tokens[1:])))
+            if rank == none:
                 break
-            parts[place : place + 2] = ["".join(parts[place : place + 2])]
-        return parts
+            tokens[place : place + 2] = [self.made[rank]]
+        return tokens
+
+    def stays_whole(self, token: int) -> bool:
+        """Whether the token's own letters encode to it."""
+        if (known := self.whole.get(token)) is None:
+            known = self.whole[token] = self.merge(self.spelling[token]) == [token]
+        return known
+
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """Tokens that come to stand at that end while the token is made, and when each is merged away."""
+        if (known := self.edges.get((token, side))) is None:
+            known, until, part = [], len(self.ranks), token
+            while True:
+                known.append((part, until))
+                if part not in self.parts:
+                    break
+                until = self.ranks[self.parts[part]]
+                part = self.parts[part][side]
+            self.edges[token, side] = known
+        return known
 
     def agree(self, first: int, second: int) -> bool:
-        """Whether the two tokens (first -1: the word's begin) stay as they are side by side."""
+        """Whether two tokens stay as they are side by side; ``first`` is -1 at a word's begin.
+
+        They do not if a merge across the border comes before those, inside either,
+        that take its two parts away. Of equal merges the left one comes first.
+        """
         key = (first, second)
         if (known := self.agreeing.get(key)) is None:
-            before = self.symbols[first] if first >= 0 else ()
-            after = self.symbols[second]
-            wanted = ["".join(before), "".join(after)] if before else ["".join(after)]
-            known = self.agreeing[key] = self.merge(before + after) == wanted
+            known = self.stays_whole(second)
+            if known and first >= 0:
+                ranks, none = self.ranks, len(self.ranks)
+                right = self._edge(second, 0)
+                for left, until in self._edge(first, 1):
+                    for part, limit in right:
+                        rank = ranks.get((left, part), none)
+                        if rank < until and rank <= limit and rank < none:
+                            known = False
+            self.agreeing[key] = known
         return known
 
     def _state(self, open_: tuple) -> State:
-        key = tuple((node, last, count) for node, _, last, count in open_)
-        if (state := self.states.get(key)) is None:
-            state = self.states[key] = State()
+        if (state := self.states.get(open_)) is None:
+            state = self.states[open_] = State()
             state.open = open_
         return state
 
     def compile(self, state: State, byte: int) -> tuple[State | None, int]:
-        """Add the transition of a state on a byte (END: no state follows)."""
-        reached = [(n[byte], last, count) for _, n, last, count in state.open if byte in n]
-        for node, last, count in reached:
-            token = node.get("token")
-            if token is not None and self.agree(last, token):
-                break
-        else:
+        """Add the transition of a state on a byte; END leads to no state."""
+        reached, change, ending = [], None, -1
+        for node, last, count in state.open:
+            if (node := self.children[node].get(byte)) is not None:
+                token = self.token[node]
+                if token >= 0 and change is None and self.agree(last, token):
+                    change, ending = count + 1, token
+                if self.children[node]:
+                    reached.append((node, last, count))
+        if change is None:
             raise ValueError("a byte without a token")
-        change = count + 1
         if byte == END:
-            state[END] = (None, change)
-            return state[END]
-        still = [(id(n), n, last, count - change) for n, last, count in reached if len(n) > ("token" in n)]
-        state[byte] = (self._state((*still, (id(self.trie), self.trie, token, 0))), change)
-        return state[byte]
+            step = state[END] = (None, change)
+            return step
+        still = [(node, last, count - change) for node, last, count in reached]
+        step = state[byte] = (self._state((*still, (0, ending, 0))), change)
+        return step
 
     def count_word(self, data: bytes) -> int:
         """Tokens of one non-empty word of the split pattern."""
@@ -173,6 +214,8 @@ class Transducer:
 
     def count_run(self, run: str) -> int:
         """Tokens of a run of characters without white space: the library's normaliser and split."""
+        if run.isascii() and run.isalpha():
+            return self.count_word(run.lower().encode())
         total, place = 0, 0
         for match in [*self.specials.finditer(run), None]:
             text = run[place : match.start() if match else len(run)]

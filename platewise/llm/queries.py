@@ -12,6 +12,7 @@ from platewise.llm.chat import link_tool_calls
 from platewise.llm.exactdedup import exact_dedup
 from platewise.llm.langid import identify_language
 from platewise.llm.mixing import mix_order
+from platewise.llm.pieces import decode_texts, encode_texts
 from platewise.llm.simhash import simhash_components
 from platewise.llm.tokencount import count_tokens
 from platewise.llm.urlfilter import Rule, judge_urls, url_host
@@ -69,6 +70,16 @@ def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judge_urls(pages, URL_RULES, listed)
 
 
+def op6_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """Varied segmentations of every text, and whether they decode to it."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    tokens = encode_texts(_table(spark, sf, "documents"), model)
+    tokens = tokens.withColumns({"n_tokens": F.size("ids"), "ids_hash": F.xxhash64("ids")})
+    decoded = decode_texts(tokens, model)
+    same = F.sha2("text", 256) == F.col("text_sha256")
+    return decoded.select("doc_id", "n_tokens", "ids_hash", "text_sha256", same.alias("lossless"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(_table(spark, sf, "documents"))
 

@@ -13,6 +13,7 @@ from platewise.llm.exactdedup import exact_dedup
 from platewise.llm.langid import identify_language
 from platewise.llm.mixing import mix_order
 from platewise.llm.pieces import decode_texts, encode_texts
+from platewise.llm.quality import score_quality
 from platewise.llm.simhash import simhash_components
 from platewise.llm.tokencount import count_tokens
 from platewise.llm.urlfilter import Rule, judge_urls, url_host
@@ -70,6 +71,10 @@ def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judge_urls(pages, URL_RULES, listed)
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return score_quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op6_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """Varied segmentations of every text, and whether they decode to it."""
     model = public_tokenizers.path("piece_bpe_32k.model")

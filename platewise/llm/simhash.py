@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from platewise.llm import golay
 from platewise.llm.common import map_arrow
 from platewise.llm.components import connected_components
-from platewise.session import materialize
+from platewise.session import materialize, small_side
 
 SHINGLE_WORDS = 3
 HASH_SEED = 42
@@ -160,3 +160,16 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return prints.join(classes, "fp").select("doc_id", hexed, "component_id")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that stay, with all their columns: the smallest id of each component.
+
+    Rows without id stay. Repeated rows of the id that stays do too; exact copies are
+    another operator's work.
+    """
+    found = simhash_components(docs, id_col, text_col)
+    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
+    gone = materialize(gone, "near-copies")
+    gone = small_side(gone, gone.count())
+    return docs.join(gone, docs[id_col] == gone["gone"], "left_anti")

@@ -324,7 +324,7 @@ def count_tokens(
     last = F.expr("cast((length(text) - 1) div width as int)")
     cut = long.withColumn("chunk", F.explode(F.sequence(F.lit(0), last)))
     piece = F.substring("text", F.col("chunk") * F.col("width") + 1, F.col("width"))
-    dealt = cut.select("row", "doc_id", "n_bytes", "chunk", piece).repartition("row", "chunk")
+    dealt = cut.select("row", "doc_id", "n_bytes", "chunk", piece.alias("text")).repartition("row", "chunk")
     maps = map_arrow(
         dealt,
         pieces,
@@ -335,7 +335,11 @@ def count_tokens(
     reset = F.col("reset").cast("long")
     maps = maps.withColumn("word", F.coalesce(F.sum(reset).over(before), F.lit(0)))
     head = F.struct("word", "inner", F.col("head").alias("text"))
-    tail = F.struct(F.col("word") + 1, F.lit(0).cast("long"), F.col("tail"))
+    tail = F.struct(
+        (F.col("word") + 1).alias("word"),
+        F.lit(0).cast("long").alias("inner"),
+        F.col("tail").alias("text"),
+    )
     ends = F.when(F.col("reset"), F.array(head, tail)).otherwise(F.array(head))
     words = (
         maps.select("row", "doc_id", "n_bytes", "chunk", F.inline(ends))
@@ -344,7 +348,7 @@ def count_tokens(
             F.sum("inner").alias("inner"),
             F.array_sort(F.collect_list(F.struct("chunk", "text"))).alias("parts"),
         )
-        .select("row", "doc_id", "n_bytes", "inner", F.array_join("parts.text", ""))
+        .select("row", "doc_id", "n_bytes", "inner", F.array_join(F.col("parts.text"), "").alias("text"))
     )
     joined = (
         map_arrow(words, spanning, "row long, doc_id long, n_bytes long, n_tokens long")

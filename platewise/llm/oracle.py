@@ -44,6 +44,21 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
+OP7_TOP_K = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole AS q JOIN whole AS c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+WHERE rank <= 10
+"""
+
 OP10_CHAT = """
 WITH RECURSIVE turns AS (
   SELECT *, length(text) AS size, contains(text, chr(10)) AS outline FROM conversations),
@@ -94,6 +109,7 @@ FROM linked
 def all_sql() -> dict[str, str]:
     return {
         "op4_url_filter": OP4_URL_FILTER,
+        "op7_top_k": OP7_TOP_K,
         "op8_exact_dedup": OP8_EXACT_DEDUP,
         "op10_chat": OP10_CHAT,
     }

@@ -16,6 +16,7 @@ from platewise.llm.pieces import decode_texts, encode_texts
 from platewise.llm.quality import score_quality
 from platewise.llm.simhash import simhash_components
 from platewise.llm.tokencount import count_tokens
+from platewise.llm.topk import top_k
 from platewise.llm.urlfilter import Rule, judge_urls, url_host
 
 # Target shares of the sources in hundredths; the rest of the sources share OTHER.
@@ -85,6 +86,10 @@ def op6_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_hash", "text_sha256", same.alias("lossless"))
 
 
+def op7_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return top_k(_table(spark, sf, "embeddings"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(_table(spark, sf, "documents"))
 

@@ -46,10 +46,10 @@ FROM ruled
 
 OP7_TOP_K = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v
+  SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
   FROM whole AS q JOIN whole AS c ON q.vec_id <> c.vec_id

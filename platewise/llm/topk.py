@@ -218,7 +218,7 @@ def top_k(
     schema = "vec_id long, asks boolean, v array<long>, dim int, cell int"
     placed = materialize(map_arrow(rows.select("vec_id", "asks", "v"), place, schema), "vectors")
     data = _pack(placed, DATA_ROWS, k, {})
-    asking = placed.filter("asks").groupBy("vec_id").agg(F.min(F.struct("dim", "cell", "v")).alias("r"))
+    asking = placed.filter("asks").groupBy("vec_id").agg(F.min(F.struct("dim", "v", "cell")).alias("r"))
     asking = asking.select("vec_id", F.lit(True).alias("asks"), "r.v", "r.dim", "r.cell")
     floors = {dim: (ids, points) for dim, (ids, points, _) in samples.items()}
     query = _pack(asking, QUERY_ROWS, k, floors)

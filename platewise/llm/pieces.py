@@ -23,7 +23,8 @@ LONG_WORD = 48
 SPACE = "▁"
 # Types of pieces in a model file.
 NORMAL, BYTE = 1, 6
-_NONE = np.int64(1) << 40
+# Rank of a pair without merge; 64 times it still fits 32 bits.
+_NONE = np.int32(1 << 24)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -52,6 +53,9 @@ class Pieces:
         if any(SPACE in p.lstrip(SPACE) for p in normal):
             raise ValueError("a piece spans words")
         self.single = {p: i for p, i in normal.items() if len(p) == 1}
+        self.number = -1 - np.arange(0x110000, dtype=np.int32)
+        for char, i in self.single.items():
+            self.number[ord(" " if char == SPACE else char)] = i
         self.byte_ids = np.array([i for i, p in enumerate(model.pieces) if p.type == BYTE])
         if len(self.byte_ids) != 256:
             raise ValueError("byte pieces are needed to decode without loss")
@@ -69,8 +73,8 @@ class Pieces:
         # Open addressing: a pair's slot is its hash, or the next free one.
         self.mask = (1 << max(4, int(len(table) * 4).bit_length())) - 1
         self.slot_key = np.full(self.mask + 1, -1, dtype=np.int64)
-        self.slot_rank = np.full(self.mask + 1, _NONE, dtype=np.int64)
-        self.slot_piece = np.zeros(self.mask + 1, dtype=np.int64)
+        self.slot_rank = np.full(self.mask + 1, _NONE, dtype=np.int32)
+        self.slot_piece = np.zeros(self.mask + 1, dtype=np.int32)
         self.reach = 1
         for (key, at_rank, piece), slot in zip(table.tolist(), self._slots(table[:, 0]).tolist()):
             steps = 1
@@ -93,10 +97,10 @@ class Pieces:
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of the merge of each pair (``_NONE``: there is none) and the piece it makes."""
-        keys = np.where((left < 0) | (right < 0), np.int64(-2), left << 20 | right)
+        keys = np.where((left < 0) | (right < 0), np.int64(-2), left.astype(np.int64) << 20 | right)
         slots = self._slots(keys)
-        rank = np.full(len(keys), _NONE, dtype=np.int64)
-        piece = np.zeros(len(keys), dtype=np.int64)
+        rank = np.full(len(keys), _NONE, dtype=np.int32)
+        piece = np.zeros(len(keys), dtype=np.int32)
         open_ = np.arange(len(keys))
         for _ in range(self.reach):
             there = self.slot_key[slots]
@@ -109,10 +113,13 @@ class Pieces:
             open_, slots = open_[going], (slots[going] + 1) & self.mask
         return rank, piece
 
-    def symbols(self, word: str) -> list[int]:
-        """Numbers of a word's characters; leading spaces are those of the escape."""
-        single = self.single
-        return [single.get(SPACE if c == " " else c, -1 - ord(c)) if c != SPACE else -1 - ord(c) for c in word]
+    def symbols(self, words: Sequence[str]) -> np.ndarray:
+        """Numbers of the characters of all words, one word after another.
+
+        A space is what the model escapes; the escape character itself has no piece.
+        """
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        return self.number[codes]
 
 
 @functools.lru_cache(maxsize=2)
@@ -125,6 +132,7 @@ def _dropped(
     salt: np.ndarray, begin: np.ndarray, middle: np.ndarray, end: np.ndarray, made: np.ndarray, bound: int
 ) -> np.ndarray:
     """Whether merging two neighbouring spans of a word into a piece is skipped, by a keyed hash."""
+    begin, middle = begin.astype(np.int64), middle.astype(np.int64)
     place = _mix((begin << 42 | middle << 21 | end).astype(np.uint64)) + made.astype(np.uint64)
     return (_mix(_mix(place) ^ salt) >> np.uint64(32)) < np.uint64(bound)
 
@@ -172,22 +180,26 @@ def segment(
     """
     bound = int(dropout * 2**32)
     salts = _mix(_mix(variants.astype(np.uint64) + np.uint64(1)) ^ np.uint64(seed & (2**64 - 1)))
-    spelled = [model.symbols(w) for w in words]
-    sizes = np.array([len(s) for s in spelled], dtype=np.int64)
+    symbol = model.symbols(words)
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    starts = np.cumsum(sizes) - sizes
     done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for i in np.nonzero(sizes > LONG_WORD)[0].tolist():
-        merged = np.array(_merge_long(model, spelled[i], int(salts[i]), bound), dtype=np.int64)
-        done.append((np.full(len(merged), i), np.arange(len(merged)), merged))
-        spelled[i] = []
-    symbol = np.array([c for s in spelled for c in s], dtype=np.int64)
-    short = np.where(sizes > LONG_WORD, 0, sizes)
-    word = np.repeat(np.arange(len(words)), short)
-    begin = np.arange(len(symbol)) - np.repeat(np.cumsum(short) - short, short)
+    long = np.nonzero(sizes > LONG_WORD)[0]
+    for i in long.tolist():
+        spelled = symbol[starts[i] : starts[i] + sizes[i]].tolist()
+        merged = np.array(_merge_long(model, spelled, int(salts[i]), bound), dtype=np.int32)
+        numbers = np.arange(len(merged), dtype=np.int32)
+        done.append((np.full(len(merged), i, dtype=np.int32), numbers, merged))
+    word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+    begin = (np.arange(len(symbol)) - starts[word]).astype(np.int32)
+    if len(long):
+        short = sizes[word] <= LONG_WORD
+        symbol, word, begin = symbol[short], word[short], begin[short]
     rank = made = None
     while len(symbol):
         same = np.append(word[1:] == word[:-1], False)
         if rank is None:
-            rank, made = np.full(len(symbol), _NONE), np.zeros(len(symbol), dtype=np.int64)
+            rank, made = np.full(len(symbol), _NONE), np.zeros(len(symbol), dtype=np.int32)
             todo = np.nonzero(same)[0]
         else:
             todo = stale[same[stale]]
@@ -198,7 +210,7 @@ def segment(
             r[_dropped(salts[word[todo]], begin[todo], begin[todo + 1], stop, m, bound)] = _NONE
             rank[todo], made[todo] = r, m
         first = np.nonzero(np.append(True, word[1:] != word[:-1]))[0]
-        best = np.minimum.reduceat(rank * 64 + begin, first)
+        best = np.minimum.reduceat(rank * np.int32(64) + begin, first)
         active = best < _NONE * 64
         # Words without candidate are done.
         count = np.diff(np.append(first, len(word)))
@@ -223,7 +235,7 @@ def segment(
     if not done:
         return np.zeros(0, dtype=np.int64), np.zeros(len(words), dtype=np.int64)
     word, begin, symbol = (np.concatenate(x) for x in zip(*done))
-    order = np.lexsort((begin, word))
+    order = np.argsort(word.astype(np.int64) << 32 | begin)
     word, symbol = word[order], symbol[order]
     return _with_bytes(model, word, symbol, len(words))
 
@@ -312,14 +324,15 @@ def encode_texts(
     dropout: float = DROPOUT,
     seed: int = SEED,
 ) -> DataFrame:
-    """One row a document: ``doc_id``, ``ids`` (piece ids) and ``text_sha256`` of the text.
+    """One row a document: ``doc_id``, ``ids`` (piece ids), ``lossless``, ``text_sha256`` of the text.
 
     Pieces are those of a merge-type model: the agenda merges the candidate of the
     best score, the leftmost of equals, but a candidate is skipped with probability
     ``dropout``, by a hash of seed, document, word and place. So a run repeats itself
     wherever its tasks go. ``dropout`` 0 gives the library's segmentation, but for
     the escape character U+2581 in a text, which is spelled in bytes here, so that
-    decoding gives it back. Null and empty texts have no ids. Rows without id share
+    decoding gives it back. ``lossless`` says whether decoding the ids, done for every
+    row, gives the whole text. Null and empty texts have no ids. Rows without id share
     one key. Repeated rows get equal rows; other columns are not read.
     """
 
@@ -329,10 +342,12 @@ def encode_texts(
         for begin, texts in text_blocks(batch, 3):
             ids, counts = encode_block(model, texts, keys[begin : begin + len(texts)], dropout, seed)
             offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
+            decoded = decode_block(model, ids, counts)
             part = slice(begin, begin + len(texts))
             yield {
                 "doc_id": batch.column(0)[part],
                 "ids": pa.ListArray.from_arrays(offsets, ids.astype(np.int32)),
+                "lossless": [a == b for a, b in zip(decoded, texts)],
                 "text_sha256": batch.column(1)[part],
             }
 
@@ -341,7 +356,7 @@ def encode_texts(
     rows = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.sha2(text, 256).alias("sha"), key, text
     )
-    return map_arrow(rows, run, "doc_id long, ids array<int>, text_sha256 string")
+    return map_arrow(rows, run, "doc_id long, ids array<int>, lossless boolean, text_sha256 string")
 
 
 def decode_texts(tokens: DataFrame, model_path: str) -> DataFrame:

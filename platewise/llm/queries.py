@@ -12,7 +12,7 @@ from platewise.llm.chat import link_tool_calls
 from platewise.llm.exactdedup import exact_dedup
 from platewise.llm.langid import identify_language
 from platewise.llm.mixing import mix_order
-from platewise.llm.pieces import decode_texts, encode_texts
+from platewise.llm.pieces import encode_texts
 from platewise.llm.quality import score_quality
 from platewise.llm.simhash import simhash_components
 from platewise.llm.tokencount import count_tokens
@@ -78,12 +78,9 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 def op6_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """Varied segmentations of every text, and whether they decode to it."""
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    tokens = encode_texts(_table(spark, sf, "documents"), model)
-    tokens = tokens.withColumns({"n_tokens": F.size("ids"), "ids_hash": F.xxhash64("ids")})
-    decoded = decode_texts(tokens, model)
-    same = F.sha2("text", 256) == F.col("text_sha256")
-    return decoded.select("doc_id", "n_tokens", "ids_hash", "text_sha256", same.alias("lossless"))
+    tokens = encode_texts(_table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    count, digest = F.size("ids").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash")
+    return tokens.select("doc_id", count, digest, "text_sha256", "lossless")
 
 
 def op7_top_k(spark: SparkSession, sf: str) -> DataFrame:

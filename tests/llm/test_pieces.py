@@ -67,6 +67,7 @@ def test_operator(spark, texts):
     tokens = encode_texts(docs, PATH, dropout=0.2)
     once, again = tokens.collect(), encode_texts(docs.repartition(7), PATH, dropout=0.2).collect()
     assert sorted(map(repr, once)) == sorted(map(repr, again))
+    assert all(r.lossless for r in once)
     decoded = decode_texts(tokens.drop("text_sha256"), PATH).collect()
     assert sorted(repr((r.doc_id, r.text)) for r in decoded) == sorted(
         repr((i, t or "")) for i, t, _ in rows

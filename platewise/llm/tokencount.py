@@ -9,9 +9,10 @@ no token. States are compiled when first met.
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
@@ -27,7 +28,7 @@ CHUNK_CHARS = 1 << 16
 # Most pieces of a text; longer texts get longer pieces.
 MOST_CHUNKS = 64
 # Words and states that a worker remembers before it starts afresh.
-WORD_CACHE, STATE_CACHE = 400_000, 100_000
+WORD_CACHE, STATE_CACHE, PAIR_CACHE = 400_000, 250_000, 500_000
 END = -1
 
 # White space of the tokenizer's normaliser, as character class.
@@ -55,12 +56,26 @@ def byte_letters() -> list[str]:
     return letters
 
 
+class Memory(dict):
+    """Counts by text; one that is met first is worked out. Starts afresh when full."""
+
+    def __init__(self, count: Callable[[str], int]):
+        super().__init__()
+        self.count = count
+
+    def __missing__(self, text: str) -> int:
+        if len(self) >= WORD_CACHE:
+            self.clear()
+        self[text] = found = self.count(text)
+        return found
+
+
 class State(dict):
     """Transitions by byte: the next state and the change of the number of tokens.
 
     ``open`` lists, for every place where a token that is still being read may have
     begun, the node of the vocabulary's trie, the token before that place and the
-    number of tokens up to there, relative to now.
+    number of tokens up to there, relative to now: three numbers a place.
     """
 
     __slots__ = ("open",)
@@ -119,12 +134,14 @@ class Transducer:
         self.whole: dict[int, bool] = {}
         self.edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.agreeing: dict[tuple[int, int], bool] = {}
+        self.words = Memory(lambda word: self.count_word(word.encode()))
         self.start_over()
 
     def start_over(self) -> None:
         self.states: dict[tuple, State] = {}
-        self.agreeing.clear()
-        self.start = self._state(((0, -1, 0),))
+        if len(self.agreeing) > PAIR_CACHE:
+            self.agreeing.clear()
+        self.start = self._state((0, -1, 0))
 
     def merge(self, tokens: list[int]) -> list[int]:
         """Byte-pair encoding of a few tokens, by the order of merges."""
@@ -183,21 +200,30 @@ class Transducer:
 
     def compile(self, state: State, byte: int) -> tuple[State | None, int]:
         """Add the transition of a state on a byte; END leads to no state."""
-        reached, change, ending = [], None, -1
-        for node, last, count in state.open:
-            if (node := self.children[node].get(byte)) is not None:
-                token = self.token[node]
-                if token >= 0 and change is None and self.agree(last, token):
+        children, tokens, agreeing = self.children, self.token, self.agreeing
+        reached, change, ending = [], 0, -1
+        open_ = state.open
+        for i in range(0, len(open_), 3):
+            node = children[open_[i]].get(byte)
+            if node is None:
+                continue
+            last, count = open_[i + 1], open_[i + 2]
+            token = tokens[node]
+            if token >= 0 and ending < 0:
+                known = agreeing.get((last, token))
+                if known or known is None and self.agree(last, token):
                     change, ending = count + 1, token
-                if self.children[node]:
-                    reached.append((node, last, count))
-        if change is None:
+            if children[node]:
+                reached += (node, last, count)
+        if ending < 0:
             raise ValueError("a byte without a token")
         if byte == END:
             step = state[END] = (None, change)
             return step
-        still = [(node, last, count - change) for node, last, count in reached]
-        step = state[byte] = (self._state((*still, (0, ending, 0))), change)
+        reached[2::3] = [count - change for count in reached[2::3]]
+        open_ = (*reached, 0, ending, 0)
+        after = self.states.get(open_) or self._state(open_)
+        step = state[byte] = (after, change)
         return step
 
     def count_word(self, data: bytes) -> int:
@@ -215,40 +241,36 @@ class Transducer:
     def count_run(self, run: str) -> int:
         """Tokens of a run of characters without white space: the library's normaliser and split."""
         if run.isascii() and run.isalpha():
-            return self.count_word(run.lower().encode())
+            return self.words[run.lower()]
         total, place = 0, 0
         for match in [*self.specials.finditer(run), None]:
             text = run[place : match.start() if match else len(run)]
             # Lower-casing is by character: no final sigma.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-            total += sum(self.count_word(w.encode()) for w in self.pattern.findall(text))
+            total += sum(map(self.words.__getitem__, self.pattern.findall(text)))
             if match:
                 total += 1
                 place = match.end()
         return total
 
 
-class Counts(dict):
-    """Token counts of runs; one that is met first goes through the transducer."""
+class Counts:
+    """Token counts of texts: a sum over runs without white space."""
 
     def __init__(self, path: str):
-        super().__init__()
         self.transducer = Transducer(path)
-
-    def __missing__(self, run: str) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        self[run] = count = self.transducer.count_run(run)
-        return count
+        self.runs = Memory(self.transducer.count_run)
 
     def total(self, text: str) -> int:
         runs = _SPACES.split(text) if _ONLY_PYTHON.search(text) else text.split()
-        return sum(map(self.__getitem__, runs))
+        return sum(map(self.runs.__getitem__, runs))
 
 
 @functools.lru_cache(maxsize=2)
 def counts_of(path: str) -> Counts:
     """One compiled tokenizer a worker and file."""
+    # What it remembers are millions of small objects that stay: look for garbage rarely.
+    gc.set_threshold(100_000, 50, 1000)
     return Counts(path)
 
 

@@ -17,6 +17,39 @@ FROM texts
 WINDOW same AS (PARTITION BY norm)
 """
 
+# Every round of the mix is played on its own, slot after slot.
+OP3_MIXING = """
+WITH RECURSIVE weights AS (SELECT unnest(range(6)) AS part, unnest([25, 15, 10, 5, 5, 40]) AS a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY part ORDER BY md5('mix:' || doc_id), doc_id) - 1 AS rank
+  FROM (SELECT doc_id, source,
+               coalesce(list_position(['src0', 'src1', 'src2', 'src3', 'src4'], source), 6) - 1 AS part
+        FROM documents)),
+blocks AS (
+  SELECT part, a, ceil(count(doc_id) / 16)::BIGINT AS n
+  FROM weights LEFT JOIN ranked USING (part) GROUP BY part, a),
+rounds AS (
+  SELECT r, list(greatest(0, least(a, n - a * r)) ORDER BY part) AS q,
+         sum(greatest(0, least(a, n - a * r)))::BIGINT AS size, sum(least(n, a * r))::BIGINT AS before
+  FROM blocks, (SELECT unnest(range((SELECT max(n // a) + 1 FROM blocks))) AS r) GROUP BY r),
+played AS (
+  SELECT r, 0::BIGINT AS t, [0, 0, 0, 0, 0, 0]::BIGINT[] AS given,
+         {'d': 0::BIGINT, 's': 0::BIGINT, 'i': 0::BIGINT, 'b': 0::BIGINT} AS pick FROM rounds
+  UNION ALL
+  SELECT r, t + 1, [CASE WHEN s = pick.s THEN given[s] + 1 ELSE given[s] END for s in range(1, 7)], pick
+  FROM (
+    SELECT r, t, given, list_sort([
+      {'d': (((given[s] + 1) * size + q[s] - 1) // greatest(q[s], 1))::BIGINT, 's': s::BIGINT, 'i': given[s],
+       'b': (given[s] * size // greatest(q[s], 1))::BIGINT}
+      for s in range(1, 7) if given[s] < q[s] AND given[s] * size // greatest(q[s], 1) <= t])[1] AS pick
+    FROM (SELECT played.r, t, given, q, size FROM played JOIN rounds USING (r) WHERE t < size)))
+SELECT doc_id, source, rank // 16 AS block, before + pick.b AS release, before + pick.d AS deadline,
+       before + t - 1 AS slot, (rank % 16)::INTEGER AS place
+FROM ranked JOIN weights USING (part)
+JOIN (played JOIN rounds USING (r))
+  ON pick.s = part + 1 AND r = rank // 16 // a AND pick.i = rank // 16 % a AND t > 0
+"""
+
 OP4_URL_FILTER = """
 WITH cut AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
@@ -108,6 +141,7 @@ FROM linked
 
 def all_sql() -> dict[str, str]:
     return {
+        "op3_mixing": OP3_MIXING,
         "op4_url_filter": OP4_URL_FILTER,
         "op7_top_k": OP7_TOP_K,
         "op8_exact_dedup": OP8_EXACT_DEDUP,

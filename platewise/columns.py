@@ -100,8 +100,8 @@ def require_columns(df: DataFrame, names: Iterable[str], error: type[Exception]
 
 
 def detect_well_column(names: Sequence[str]) -> str:
-    """The well column under either of its known names."""
-    for candidate in WELL_COLUMN_CANDIDATES:
-        if candidate in names:
-            return candidate
-    raise KeyError(f"no well column, expected one of {', '.join(WELL_COLUMN_CANDIDATES)}")
+    """The well column; of several known names the first in the list of candidates."""
+    known = [name for name in WELL_COLUMN_CANDIDATES if name in set(names)]
+    if not known:
+        raise KeyError(f"the well column is called none of {' or '.join(WELL_COLUMN_CANDIDATES)}")
+    return known[0]

@@ -24,7 +24,6 @@ from platewise.session import materialize, small_side
 # Values of one key that Spark's own aggregate may buffer, about 200 MB.
 MAX_GROUP_ROWS = 2_000_000
 BINS = 1024
-MAX_ROUNDS = 40
 
 # Work columns of the narrowing state, one row per key.
 _N, _K, _FRAC, _BELOW, _INSIDE = "__n", "__k", "__frac", "__below", "__inside"
@@ -54,15 +53,15 @@ def _upper_rank() -> Column:
     return F.col(_K) + F.when(F.col(_FRAC) > 0, 1).otherwise(0)
 
 
-def _within_counts(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep the wanted rank inside what was counted.
+def _checked(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Raise unless a bracket holds as many values as were counted when it was made.
 
-    A no-op on stored values. Values computed anew per round may differ in the
-    last bit between machines, and then a bracket can lose a value at its edge.
+    Values that are computed anew each round could differ between machines in the
+    last bit and leave their bracket; then no exact rank can be given.
     """
     counted = F.sum(COUNT).over(Window.partitionBy(*columns(keys)))
-    last = F.col(_BELOW) + counted - 1
-    return placed.withColumn(_K, F.least(F.greatest(_K, _BELOW), last))
+    lost = F.raise_error(F.lit("values of a bracket changed between two readings"))
+    return placed.withColumn(_K, F.when(counted == F.col(_INSIDE), F.col(_K)).otherwise(lost))
 
 
 def _advance(state: DataFrame, counts: DataFrame, keys: Sequence[str], hot: int) -> DataFrame:
@@ -70,7 +69,7 @@ def _advance(state: DataFrame, counts: DataFrame, keys: Sequence[str], hot: int)
     # At most BINS rows per key, so the window is bounded.
     running = Window.partitionBy(*columns(keys)).orderBy(BIN)
     start = F.sum(COUNT).over(running) - F.col(COUNT) + F.col(_BELOW)
-    carried = [_N, _K, _FRAC, _BELOW]
+    carried = [_N, _K, _FRAC, _BELOW, _INSIDE]
     placed = join_null_safe(
         counts, small_side(state.select(*columns(keys), *carried), hot), keys
     ).withColumn("__start", start)
@@ -79,7 +78,7 @@ def _advance(state: DataFrame, counts: DataFrame, keys: Sequence[str], hot: int)
     def holds(rank: Column) -> Column:
         return (F.col("__start") <= rank) & (rank < end)
 
-    placed = _within_counts(placed, keys)
+    placed = _checked(placed, keys)
 
     here, there = holds(F.col(_K)), holds(_upper_rank())
     moved = placed.groupBy(*columns(keys)).agg(
@@ -106,9 +105,9 @@ def _rank_directly(state: DataFrame, values: DataFrame, keys: Sequence[str], hot
     counted = values.groupBy(*columns(keys), VALUE).agg(F.sum(COUNT).alias(COUNT))
     running = Window.partitionBy(*columns(keys)).orderBy(VALUE)
     placed = join_null_safe(
-        counted, small_side(state.select(*columns(keys), _K, _FRAC, _BELOW), hot), keys
+        counted, small_side(state.select(*columns(keys), _K, _FRAC, _BELOW, _INSIDE), hot), keys
     ).withColumn("__start", F.sum(COUNT).over(running) - F.col(COUNT) + F.col(_BELOW))
-    placed = _within_counts(placed, keys)
+    placed = _checked(placed, keys)
     end = F.col("__start") + F.col(COUNT)
 
     def at(rank: Column) -> Column:
@@ -136,14 +135,20 @@ def narrow(
     """
     done = []
     result = [*columns(keys), _FRAC, _LOWER, _UPPER]
-    for round_number in range(MAX_ROUNDS):
+    first, left = True, None
+    while True:
         state = materialize(state, "brackets")
         done.append(state.where(F.col(_LOWER).isNotNull()).select(*result))
         state = state.where(F.col(_LOWER).isNull())
-        hot, inside = state.agg(F.count("*"), F.max(_INSIDE)).first()
+        hot, inside, total = state.agg(F.count("*"), F.max(_INSIDE), F.sum(_INSIDE)).first()
         if not hot or inside <= max_group_rows:
             break
-        state = _advance(state, histogram(state, hot, round_number == 0), keys, hot)
+        # From the second round on the ends of a bracket are values in different bins: it shrinks.
+        if left is not None and total >= left:
+            raise RuntimeError("a bracket does not shrink")
+        left = None if first else total
+        state = _advance(state, histogram(state, hot, first), keys, hot)
+        first = False
     if hot:
         done.append(_rank_directly(state, values(state, hot), keys, hot).select(*result))
     interpolated = F.when(F.col(_LOWER) == F.col(_UPPER), F.col(_LOWER)).otherwise(
@@ -158,9 +163,26 @@ def _log_scale(value: Column) -> Column:
     return F.least(F.greatest(squeezed, F.lit(-800.0)), F.lit(800.0))
 
 
-def _bin(value: Column, lo: Column, hi: Column) -> Column:
-    share = (value - lo) / (hi - lo)
-    return F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+def _ratio(value: Column, lo: Column, hi: Column) -> Column:
+    """Where a value lies between two ends, as a share; logarithmic where the ends are far apart."""
+    linear = (value - lo) / (hi - lo)
+    above, below = (lo > 0) & (hi > lo * BINS), (hi < 0) & (lo < hi * BINS)
+    rising = F.ln(value / lo) / F.ln(hi / lo)
+    falling = 1 - F.ln(value / hi) / F.ln(lo / hi)
+    return F.when(above, rising).when(below, falling).otherwise(linear)
+
+
+def _bin(value: Column, lo: Column, hi: Column, first: bool) -> Column:
+    """Bin of a value inside its bracket; the lower end is in the first bin, the upper in the last.
+
+    The first round squeezes all doubles, unless that makes the ends equal.
+    """
+    share = _ratio(value, lo, hi)
+    if first:
+        a, b = _log_scale(lo), _log_scale(hi)
+        share = F.when(b > a, (_log_scale(value) - a) / F.nullif(b - a, F.lit(0.0))).otherwise(share)
+    bin_ = F.least(F.greatest(F.floor(share * BINS), F.lit(0)), F.lit(BINS - 1)).cast("int")
+    return F.when(value == lo, 0).when(value == hi, BINS - 1).otherwise(bin_)
 
 
 def percentile_by_key(
@@ -199,10 +221,9 @@ def percentile_by_key(
         return join_null_safe(df, brackets, keys).where(v.between(F.col(_LO), F.col(_HI)))
 
     def histogram(state: DataFrame, hot: int, first: bool) -> DataFrame:
-        scale = _log_scale if first else (lambda c: c)
         return (
             bracketed(state, hot)
-            .withColumn(BIN, _bin(scale(v), scale(F.col(_LO)), scale(F.col(_HI))))
+            .withColumn(BIN, _bin(v, F.col(_LO), F.col(_HI), first))
             .groupBy(*columns(keys), BIN)
             .agg(F.count("*").alias(COUNT), F.min(v).alias(BIN_MIN), F.max(v).alias(BIN_MAX))
         )

@@ -56,7 +56,7 @@ def test_embedding_is_the_principal_plane(spark, cohort):
     frame = cohort()
     df = spark.createDataFrame(frame.assign(Metadata_id=range(len(frame))))
     got = embed(feature_table(df, ["Metadata_id"])).orderBy("Metadata_id").toPandas()
-    x = frame.filter(like="efficientnet").to_numpy()
+    x = frame.filter(like="feature_").to_numpy()
     x = (x - x.mean(0)) / x.std(0)
     u, s, _ = np.linalg.svd(x, full_matrices=False)
     for i, name in enumerate(["component_1", "component_2"]):
@@ -69,4 +69,4 @@ def test_embedding_guards(spark, cohort):
     with pytest.raises(InsufficientData, match="wells"):
         embed(feature_table(spark.createDataFrame(frame.head(4)), ["Metadata_id"]))
     with pytest.raises(InsufficientData, match="features"):
-        embed(feature_table(spark.createDataFrame(frame), ["Metadata_id"], ["efficientnet_1"]))
+        embed(feature_table(spark.createDataFrame(frame), ["Metadata_id"], ["feature_1"]))

@@ -9,20 +9,27 @@ from pyspark.sql import functions as F
 
 
 def test_parse_wells(spark):
-    names = ["A01", "b02", " H 12 ", "P24", "AA007", "A00", "A", "12", "", "A1x", None, "A" * 14 + "1"]
+    names = ["A01", "b02", " H 12 ", "O19", "AA007", "A00", "A", "12", "", "A1x", None, "B1000000000000000000"]
     df = spark.createDataFrame([(n,) for n in names], "well string")
     got = {r.well: (r.row, r.col) for r in P.parse_wells(df).collect()}
     none = (None, None)
     assert got == {
-        "A01": (0, 0), "b02": (1, 1), " H 12 ": (7, 11), "P24": (15, 23), "AA007": (26, 6),
+        "A01": (0, 0), "b02": (1, 1), " H 12 ": (7, 11), "O19": (14, 18), "AA007": (26, 6),
         "A00": (0, -1), "A": none, "12": none, "": none, "A1x": none, None: none,
-        "A" * 14 + "1": none,
+        "B1000000000000000000": (1, 999_999_999_999_999_999),
     }
-    assert P.on_grid(df).count() == 6
+    assert P.on_grid(df).count() == 7
+
+
+@pytest.mark.parametrize("name", ["A" * 14 + "1", "C99999999999999999999"])
+def test_wells_beyond_a_long_raise(spark, name):
+    df = spark.createDataFrame([(name,)], "well string")
+    with pytest.raises(Exception, match="beyond the range of a long"):
+        P.parse_wells(df).collect()
 
 
 @pytest.mark.parametrize(
-    "row, col, shape", [(7, 11, (8, 12)), (8, 0, (16, 24)), (15, 23, (16, 24)), (31, 47, (32, 48)), (40, 40, (41, 41))]
+    "row, col, shape", [(7, 11, (8, 12)), (8, 0, (16, 24)), (15, 23, (16, 24)), (31, 47, (32, 48)), (33, 60, (34, 61))]
 )
 def test_grid_shape(spark, row, col, shape):
     df = spark.createDataFrame([(0, 0), (row, col)], "row long, col long")
@@ -74,6 +81,6 @@ def test_colour_maximum(spark, limit):
 
 
 def test_name_functions(spark):
-    df = spark.createDataFrame([("26157.normalized.parquet",), ("26157.parquet",), ("a",)], "n string")
+    df = spark.createDataFrame([("runA.clean.parquet",), ("runA.parquet",), ("a",)], "n string")
     got = df.select(plate_from_file_name(F.col("n")), replace_extension(F.col("n"), ".tiff")).collect()
-    assert [tuple(r) for r in got] == [("26157", "26157.normalized.tiff"), ("26157", "26157.tiff"), ("a", "a.tiff")]
+    assert [tuple(r) for r in got] == [("runA", "runA.clean.tiff"), ("runA", "runA.tiff"), ("a", "a.tiff")]

@@ -12,6 +12,10 @@ SAMPLES = {
     "all scales": lambda rng: rng.choice([-1, 1], 3000) * 10.0 ** rng.uniform(-300, 300, 3000),
     "large offset": lambda rng: 1e15 + rng.integers(0, 5000, 3000),
     "tiny": lambda rng: rng.normal(size=3000) * 1e-200,
+    "adjacent doubles": lambda rng: np.where(rng.random(3000) < 0.5, 1000.0, np.nextafter(1000.0, 2000.0)),
+    "nearly constant": lambda rng: 1000.0 + rng.integers(0, 5, 3000) * 1.2e-13,
+    "denormals": lambda rng: rng.integers(0, 4, 3000) * 5e-324,
+    "both infinities": lambda rng: rng.choice([-np.inf, 0.0, 1e308, np.inf], 3000),
     "half infinite": lambda rng: np.append(rng.normal(size=1501), np.full(1499, np.inf)),
 }
 
@@ -48,3 +52,10 @@ def test_key_with_only_nulls_beside_a_hot_null_key(spark):
     df = spark.createDataFrame(rows, "k string, x double")
     got = percentile_by_key(df, ["k"], "x", 0.5, "q", max_group_rows=10).collect()
     assert {r.k: r.q for r in got} == {None: 24.5, "n": None}
+
+
+@pytest.mark.parametrize("values", [[1000.0, np.nextafter(1000.0, 2000.0), 1000.0], [1.0, 2.0, 500.0, 900.0]])
+def test_groups_narrowed_to_single_values(spark, values):
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = percentile_by_key(df, [], "x", 0.5, "q", max_group_rows=1).first()
+    assert got.q == np.median(values)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -18,7 +19,8 @@ def embed(table: FeatureTable) -> DataFrame:
     """The key columns with two principal components of the standardised features.
 
     The covariance is summed on the executors; the driver solves a matrix whose
-    side is the number of features.
+    side is the number of features. A component points where its largest loading (of
+    equal ones the first) is positive, so runs agree.
     """
     wells = table.rows.count()
     require(wells >= MIN_WELLS, f"only {wells} wells, {MIN_WELLS} are needed")
@@ -27,7 +29,10 @@ def embed(table: FeatureTable) -> DataFrame:
     keys = [c for c in scaled.columns if c != VECTOR]
     ready = scaled.select(*columns(keys), array_to_vector(F.col(VECTOR)).alias("__vector"))
     model = PCA(k=2, inputCol="__vector", outputCol="__components").fit(ready)
+    loadings = model.pc.toArray()
+    signs = [1.0 if axis[np.abs(axis).round(9).argmax()] >= 0 else -1.0 for axis in loadings.T]
     found = model.transform(ready).withColumn("__xy", vector_to_array("__components"))
-    return found.select(
-        *columns(keys), F.col("__xy")[0].alias("component_1"), F.col("__xy")[1].alias("component_2")
-    )
+    views = [
+        (F.col("__xy")[i] * sign).alias(f"component_{i + 1}") for i, sign in enumerate(signs)
+    ]
+    return found.select(*columns(keys), *views)

@@ -37,15 +37,14 @@ def leaf_names(kind: T.DataType, name: str = "") -> set[str]:
 
 def require_same_leaves(schemas: Mapping[str, T.StructType]) -> None:
     """Raise unless all named schemas have one set of leaf columns, in any order."""
-    parts = iter(schemas.items())
-    expected = leaf_names(next(parts)[1])
-    for part, schema in parts:
-        found = leaf_names(schema)
-        if found != expected:
-            raise ValueError(
-                f"schema mismatch in {part}: missing {sorted(expected - found)}, "
-                f"unexpected {sorted(found - expected)}"
-            )
+    leaves = {part: leaf_names(schema) for part, schema in schemas.items()}
+    everywhere, anywhere = set.intersection(*leaves.values()), set.union(*leaves.values())
+    if everywhere != anywhere:
+        owners = {
+            name: [part for part, found in leaves.items() if name in found]
+            for name in sorted(anywhere - everywhere)
+        }
+        raise ValueError(f"columns that only some of {len(leaves)} parts have: {owners}")
 
 
 def _as_decimal(kind: T.DataType) -> T.DecimalType:
@@ -108,7 +107,23 @@ def strict_union(parts: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def loose_union(parts: Sequence[DataFrame]) -> DataFrame:
-    """Union all by name; a column that a part lacks is null there."""
+    """Union all by name; a column that a part lacks is null there.
+
+    Columns come in the order of their first appearance. Types that differ between
+    parts are widened as ``wider_type`` says, to text where nothing else takes both.
+    """
     if not parts:
         raise FileNotFoundError("no profiles to unite")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    found = [_fields(part.schema) for part in parts]
+    kinds: dict[str, T.DataType] = {}
+    for name, kind in (pair for fields in found for pair in fields.items()):
+        kinds[name] = wider_type(kinds[name], kind) if name in kinds else kind
+    aligned = []
+    for part, fields in zip(parts, found):
+        values = {name: quoted(name) if name in fields else "NULL" for name in kinds}
+        casts = [
+            f"CAST({values[name]} AS {kind.simpleString()}) AS {quoted(name)}"
+            for name, kind in kinds.items()
+        ]
+        aligned.append(part.selectExpr(*casts))
+    return reduce(DataFrame.unionAll, aligned)

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-import os
+import math
 import sqlite3
 from collections.abc import Iterator, Sequence
 from contextlib import closing
-from pathlib import Path
+from functools import reduce
+from urllib.parse import unquote, urlsplit
+from urllib.request import pathname2url
 
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from platewise.operators.singlecell import COMPARTMENTS, SOURCE
+from platewise.operators.union import wider_type
 
-FORMAT = "sqlite_table"
+# Bytes of a file that one task reads.
 SPLIT_BYTES = 256 * 1024 * 1024
 BATCH_ROWS = 10_000
 IMAGE_TABLE = "Per_Image"
@@ -24,34 +28,53 @@ COMPARTMENT_TABLES = tuple(f"Per_{name}" for name in COMPARTMENTS)
 
 
 def open_read_only(path: str) -> sqlite3.Connection:
-    return sqlite3.connect(f"{Path(path).resolve().as_uri()}?mode=ro", uri=True)
+    return sqlite3.connect(f"file:{pathname2url(path)}?mode=ro", uri=True)
 
 
-def find_sqlite(path: str) -> list[str]:
-    """The SQLite files of a folder, or the one file given."""
-    if os.path.isdir(path):
-        found = sorted(str(p) for p in Path(path).rglob("*.sqlite"))
-    else:
-        found = [path] if os.path.exists(path) else []
-    if not found:
+def sqlite_files(spark: SparkSession, path: str) -> DataFrame:
+    """``source`` and ``size`` of the SQLite files under a folder, or of the file given."""
+    listed = spark.read.format("binaryFile").options(
+        pathGlobFilter="*.sqlite", recursiveFileLookup="true"
+    )
+    try:
+        found = listed.load(path)
+    except AnalysisException as error:
+        raise FileNotFoundError(f"nothing at {path}") from error
+    local = F.udf(lambda uri: unquote(urlsplit(uri).path))
+    files = found.select(
+        local("_metadata.file_path").alias(SOURCE), F.col("_metadata.file_size").alias("size")
+    )
+    if files.isEmpty():
         raise FileNotFoundError(f"no SQLite files under {path}")
-    return found
+    return files
 
 
 def _quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
-def _spark_type(declared: str) -> T.DataType:
-    """SQLite's own affinity rules, applied to a declared column type."""
+def _spark_type(declared: str) -> str:
+    """SQLite's affinity rules for a declared type; text, too, for what may hold anything."""
     declared = declared.upper()
     if "INT" in declared:
-        return T.LongType()
+        return "bigint"
     if any(mark in declared for mark in ("CHAR", "CLOB", "TEXT")):
-        return T.StringType()
-    if any(mark in declared for mark in ("REAL", "FLOA", "DOUB")):
-        return T.DoubleType()
-    return T.StringType()
+        return "string"
+    if not declared or "BLOB" in declared:
+        return "string"
+    return "double"
+
+
+def _column_types(con: sqlite3.Connection, table: str) -> list[tuple[str, str]]:
+    """Columns of a table; one without declared type is a number if it holds no text."""
+    found = []
+    for _, name, declared, *_ in con.execute(f"PRAGMA table_info({_quoted(table)})").fetchall():
+        kind = _spark_type(declared or "")
+        if not declared:
+            other = f"SELECT 1 FROM {_quoted(table)} WHERE typeof({_quoted(name)}) IN ('text', 'blob')"
+            kind = "double" if con.execute(f"{other} LIMIT 1").fetchone() is None else "string"
+        found.append((name, kind))
+    return found
 
 
 def has_rows(con: sqlite3.Connection, table: str) -> bool:
@@ -62,93 +85,89 @@ def has_rows(con: sqlite3.Connection, table: str) -> bool:
         return False
 
 
-def table_schema(paths: list[str], table: str) -> T.StructType | None:
-    """Columns of the table in the first file that has it."""
-    for path in paths:
-        with closing(open_read_only(path)) as con:
-            info = con.execute(f"PRAGMA table_info({_quoted(table)})").fetchall()
-        if info:
-            fields = [T.StructField(row[1], _spark_type(row[2] or "")) for row in info]
-            return T.StructType([T.StructField(SOURCE, T.StringType()), *fields])
-    return None
-
-
-class RowRange(InputPartition):
-    """Share ``part`` of ``parts`` of one file's row ids."""
-
-    def __init__(self, path: str, part: int, parts: int):
-        super().__init__((path, part))
-        self.path, self.part, self.parts = path, part, parts
-
-
-class SqliteReader(DataSourceReader):
-    def __init__(
-        self, paths: list[str], table: str, schema: T.StructType, needed: tuple[str, ...] = ()
-    ):
-        self.paths, self.table, self.schema, self.needed = paths, table, schema, needed
-
-    def partitions(self) -> list[RowRange]:
-        shares = []
-        for path in self.paths:
-            parts = max(1, -(-os.path.getsize(path) // SPLIT_BYTES))
-            shares += [RowRange(path, part, parts) for part in range(parts)]
-        return shares
-
-    def read(self, partition: RowRange) -> Iterator[pa.RecordBatch]:
-        table = _quoted(self.table)
-        wanted = [f.name for f in self.schema if f.name != SOURCE]
-        kinds = {f.name: pa.string() for f in self.schema}
-        for field in self.schema:
-            if isinstance(field.dataType, T.LongType):
-                kinds[field.name] = pa.int64()
-            elif isinstance(field.dataType, T.DoubleType):
-                kinds[field.name] = pa.float64()
-        with closing(open_read_only(partition.path)) as con:
-            present = {row[1] for row in con.execute(f"PRAGMA table_info({table})")}
-            if not present or not all(has_rows(con, name) for name in self.needed):
-                return
-            low, high = con.execute(f"SELECT min(rowid), max(rowid) FROM {table}").fetchone()
-            if low is None:
-                return
-            span = high - low + 1
-            begin = low + span * partition.part // partition.parts
-            end = low + span * (partition.part + 1) // partition.parts
-            picked = [_quoted(c) if c in present else "NULL" for c in wanted]
-            rows = con.execute(
-                f"SELECT {', '.join(picked)} FROM {table} WHERE rowid >= ? AND rowid < ?",
-                (begin, end),
-            )
-            schema = pa.schema([(name, kinds[name]) for name in [SOURCE, *wanted]])
-            while batch := rows.fetchmany(BATCH_ROWS):
-                data = [pa.array([partition.path] * len(batch), pa.string())]
-                for values, name in zip(zip(*batch), wanted):
-                    data.append(_column(values, kinds[name]))
-                yield pa.RecordBatch.from_arrays(data, schema=schema)
-
-
-def _column(values: tuple, kind: pa.DataType) -> pa.Array:
-    """SQLite may hold other values than declared: text where a number is due is null."""
+def table_schema(files: DataFrame, table: str) -> T.StructType:
+    """Columns that any file's table has, with types that hold all of them; executors look."""
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path in batch[SOURCE]:
+                with closing(open_read_only(path)) as con:
+                    columns = enumerate(_column_types(con, table))
+                    rows += [(path, i, name, kind) for i, (name, kind) in columns]
+            yield pd.DataFrame(rows, columns=["path", "place", "name", "kind"])
+
+    seen = files.select(SOURCE).mapInPandas(look, "path string, place int, name string, kind string")
+    merged = seen.groupBy("name").agg(
+        F.min(F.struct("path", "place")).alias("first"), F.collect_set("kind").alias("kinds")
+    )
+    # One row a column.
+    columns = merged.orderBy("first").collect()
+    if not columns:
+        raise ValueError(f"no file has a table {table}")
+    kinds = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
+    fields = [
+        T.StructField(row["name"], reduce(wider_type, [kinds[k] for k in sorted(row["kinds"])]))
+        for row in columns
+    ]
+    return T.StructType([T.StructField(SOURCE, T.StringType()), *fields])
+
+
+_ARROW = {T.LongType(): pa.int64(), T.DoubleType(): pa.float64(), T.StringType(): pa.string()}
+
+
+def read_share(
+    path: str, part: int, parts: int, table: str, schema: T.StructType, needed: Sequence[str] = ()
+) -> Iterator[pa.RecordBatch]:
+    """Share ``part`` of ``parts`` of a table's row ids in one file."""
+    wanted = [f for f in schema if f.name != SOURCE]
+    arrow = pa.schema([(f.name, _ARROW[f.dataType]) for f in schema])
+    name = _quoted(table)
+    with closing(open_read_only(path)) as con:
+        present = {row[1] for row in con.execute(f"PRAGMA table_info({name})")}
+        if not present or not all(has_rows(con, other) for other in needed):
+            return
+        low, high = con.execute(f"SELECT min(rowid), max(rowid) FROM {name}").fetchone()
+        if low is None:
+            return
+        span = high - low + 1
+        begin, end = low + span * part // parts, low + span * (part + 1) // parts
+        picked = [_quoted(f.name) if f.name in present else "NULL" for f in wanted]
+        rows = con.execute(
+            f"SELECT {', '.join(picked)} FROM {name} WHERE rowid >= ? AND rowid < ?", (begin, end)
+        )
+        while batch := rows.fetchmany(BATCH_ROWS):
+            data = [pa.array([path] * len(batch), pa.string())]
+            data += [_column(values, f) for values, f in zip(zip(*batch), wanted)]
+            yield pa.RecordBatch.from_arrays(data, schema=arrow)
+
+
+def _column(values: tuple, field: T.StructField) -> pa.Array:
+    kind = _ARROW[field.dataType]
     if pa.types.is_string(kind):
         return pa.array([None if v is None else str(v) for v in values], kind)
-    number = int if pa.types.is_integer(kind) else float
-    return pa.array([number(v) if isinstance(v, (int, float)) else None for v in values], kind)
+    return pa.array([_number(v, field.name, pa.types.is_integer(kind)) for v in values], kind)
 
 
-class SqliteSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT
+def _number(value: object, name: str, whole: bool) -> float | int | None:
+    """A stored value as the number its column declares; text that is no number raises.
 
-    def schema(self) -> T.StructType:
-        schema = table_schema(find_sqlite(self.options["path"]), self.options["table"])
-        if schema is None:
-            raise ValueError(f"no file has a table {self.options['table']}")
-        return schema
-
-    def reader(self, schema: T.StructType) -> SqliteReader:
-        needed = tuple(filter(None, self.options.get("needed", "").split(",")))
-        paths = find_sqlite(self.options["path"])
-        return SqliteReader(paths, self.options["table"], schema, needed)
+    SQLite may hold anything in any column. Not-a-number is null in whole columns;
+    other values that a whole column cannot hold raise rather than be cut.
+    """
+    if value is None or (isinstance(value, int) and whole):
+        return value
+    try:
+        number = float(value)
+    except (TypeError, ValueError):
+        raise ValueError(f"column {name} holds {value!r}, which is no number") from None
+    if not whole:
+        return number
+    if math.isnan(number):
+        return None
+    if not number.is_integer():
+        raise ValueError(f"column {name} is declared whole and holds {value!r}")
+    return int(number)
 
 
 def read_sqlite_table(
@@ -156,12 +175,25 @@ def read_sqlite_table(
 ) -> DataFrame:
     """One table of all SQLite files under ``path``, with the file in ``source``.
 
-    Files in which a ``needed`` table is absent or empty give no rows. Large
-    files are read in several tasks by row-id range.
+    Columns are those of any file, null where a file lacks them. Files in which a
+    ``needed`` table is absent or empty give no rows. Large files are read in
+    several tasks by row-id range.
     """
-    spark.dataSource.register(SqliteSource)
-    options = {"table": table, "needed": ",".join(needed)}
-    return spark.read.format(FORMAT).options(**options).load(path)
+    files = sqlite_files(spark, path)
+    schema = table_schema(files, table)
+    parts = F.greatest(F.lit(1), F.ceil(F.col("size") / SPLIT_BYTES)).cast("int")
+    shares = files.select(SOURCE, parts.alias("parts")).select(
+        SOURCE, "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for share in batch.to_pylist():
+                yield from read_share(
+                    share[SOURCE], share["part"], share["parts"], table, schema, needed
+                )
+
+    return shares.repartition(SOURCE, "part").mapInArrow(read, schema)
 
 
 def source_status(spark: SparkSession, path: str) -> DataFrame:
@@ -169,7 +201,6 @@ def source_status(spark: SparkSession, path: str) -> DataFrame:
 
     The executors open the files and look for one row per table.
     """
-    files = spark.createDataFrame([(p,) for p in find_sqlite(path)], f"{SOURCE} string")
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -179,6 +210,7 @@ def source_status(spark: SparkSession, path: str) -> DataFrame:
                     found.append(all(has_rows(con, table) for table in COMPARTMENT_TABLES))
             yield batch.assign(complete=found)
 
+    files = sqlite_files(spark, path).select(SOURCE)
     return files.mapInPandas(look, f"{SOURCE} string, complete boolean")
 
 

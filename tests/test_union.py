@@ -29,7 +29,7 @@ def test_other_columns_and_no_parts_raise(spark, tmp_path):
         read_parts(spark, str(tmp_path / "none"))
     write(spark, tmp_path / "parts" / "a", "id int, label string", [(1, "x")])
     write(spark, tmp_path / "parts" / "b", "id int, other int", [(2, 9)])
-    with pytest.raises(ValueError, match=r"schema mismatch.*missing \['label'\].*\['other'\]"):
+    with pytest.raises(ValueError, match=r"only some of 2 parts have.*'label'.*'other'"):
         read_parts(spark, str(tmp_path / "parts"))
 
 
@@ -61,14 +61,22 @@ def test_loose_union_fills_with_null(spark):
         loose_union([])
 
 
+def test_loose_union_widens_types(spark):
+    a = spark.createDataFrame([(7, 1)], "plate bigint, x int")
+    b = spark.createDataFrame([("P2", 2.5)], "plate string, x double")
+    got = loose_union([a, b])
+    assert dict(got.dtypes) == {"plate": "string", "x": "double"}
+    assert sorted(map(tuple, got.collect())) == [("7", 1.0), ("P2", 2.5)]
+
+
 def test_profiles_take_the_plate_from_the_file_name(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
 
-    pq.write_table(pa.table({"a": [1]}), tmp_path / "26157.normalized.parquet")
-    pq.write_table(pa.table({"a": [2], "b": [5]}), tmp_path / "26158.parquet")
-    paths = [str(tmp_path / n) for n in ("26157.normalized.parquet", "26158.parquet")]
+    pq.write_table(pa.table({"a": [1]}), tmp_path / "runA.clean.parquet")
+    pq.write_table(pa.table({"a": [2], "b": [5]}), tmp_path / "runB.parquet")
+    paths = [str(tmp_path / n) for n in ("runA.clean.parquet", "runB.parquet")]
     got = {r.a: (r.Metadata_Plate, r.b) for r in read_profiles(spark, paths).collect()}
-    assert got == {1: ("26157", None), 2: ("26158", 5)}
+    assert got == {1: ("runA", None), 2: ("runB", 5)}
     with pytest.raises(FileNotFoundError):
         read_profiles(spark, [])

@@ -98,6 +98,10 @@ TABLES = {
         SELECT 'P' || (c_custkey // 96) AS map_plate, {C_WELL} AS map_well,
                c_mktsegment AS "Metadata_Compound", c_nationkey::VARCHAR AS "Metadata_Batch"
         FROM customer WHERE c_acctbal > 0""",
+    "whole_plate_map": f"""
+        SELECT 'P' || (c_custkey // 96) AS map_plate, {C_WELL} AS map_well,
+               c_mktsegment AS "Metadata_Compound", c_nationkey::VARCHAR AS "Metadata_Batch"
+        FROM customer""",
     "locations": f"""
         SELECT l_returnflag AS "Metadata_Plate", {LI_WELL} AS "Metadata_Well",
                (l_orderkey % 4 + 1)::VARCHAR AS "Metadata_Site",
@@ -340,10 +344,10 @@ def all_sql() -> dict[str, str]:
         "u1_strict_union": """SELECT o_orderkey, o_custkey::VARCHAR AS o_custkey, o_totalprice,
             o_orderstatus FROM orders""",
         "u2_loose_union": """
-            SELECT o_orderkey, o_custkey, NULL::DOUBLE AS o_totalprice, o_orderstatus
-            FROM orders WHERE o_orderstatus = 'O'
-            UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, NULL
-            FROM orders WHERE o_orderstatus = 'F'""",
+            SELECT o_orderkey, o_custkey::VARCHAR AS o_custkey,
+              CASE WHEN o_orderstatus <> 'O' THEN o_totalprice END AS o_totalprice,
+              CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS o_orderstatus
+            FROM orders""",
         "p14_clean_features": with_tables(
             "profiles",
             "dirty",
@@ -381,6 +385,13 @@ def all_sql() -> dict[str, str]:
         "a12_null_threshold": with_tables(
             *_COHORT_NULL, "threshold", body=f"SELECT {r6('threshold')} AS threshold FROM threshold"
         ),
+        "a12_null_threshold_all": with_tables(
+            "profiles",
+            "long",
+            body=f"""SELECT {r6('quantile_cont(r, 0.95)')} AS threshold FROM (
+              SELECT corr(a.x, b.x) AS r FROM long a JOIN long b ON a.i = b.i AND a.vec_id < b.vec_id
+              WHERE a.compound IS DISTINCT FROM b.compound GROUP BY a.vec_id, b.vec_id)""",
+        ),
         "a13_percent_replicating": with_tables(
             *_COHORT_NULL,
             "threshold",
@@ -428,9 +439,9 @@ def all_sql() -> dict[str, str]:
             SELECT p_partkey, p_name, dense_rank() OVER (ORDER BY p_name) - 1 AS rank FROM part""",
         "s2_image_table_csv": with_tables("image_table", body="SELECT * FROM image_table"),
         "s3_platemap_csv": with_tables(
-            "plate_map",
+            "whole_plate_map",
             body="""SELECT map_plate AS "Metadata_PlateID", map_well AS "Metadata_DestinationWell",
-            "Metadata_Compound", "Metadata_Batch" FROM plate_map""",
+            "Metadata_Compound", "Metadata_Batch" FROM whole_plate_map""",
         ),
         "k3_locations_csv": with_tables("locations", body="SELECT * FROM locations"),
         "k4_chunk_files": with_tables(
@@ -443,8 +454,18 @@ def all_sql() -> dict[str, str]:
             count("Nuclei_Price") AS "Nuclei_Price", count("Cytoplasm_Discount") AS "Cytoplasm_Discount"
             FROM cells GROUP BY ALL""",
         ),
+        "s4_locations_csv": f"""SELECT {LI_WELL} AS "Metadata_Well",
+            (l_orderkey % 4 + 1)::VARCHAR AS "Metadata_Site", count(*) AS rows,
+            round(sum(l_quantity / 2), 2) AS x, round(sum(l_extendedprice), 2) AS y
+            FROM lineitem GROUP BY ALL""",
+        "s9_sqlite_tables": """SELECT l_orderkey, l_linenumber::DOUBLE AS l_linenumber,
+            CASE WHEN l_orderkey // 400 % 2 = 1 THEN l_returnflag END AS flag, l_extendedprice AS price
+            FROM lineitem""",
+        "s10_npz_embeddings": f"""SELECT vec_id, CASE WHEN vec_id // 100 % 2 = 0 THEN 'x' END AS note,
+            {r6('list_sum(embedding::DOUBLE[])')} AS total FROM embeddings""",
         "s11_profile_files": f"""SELECT o_orderstatus, count(*) AS rows,
-            {r6('max(o_totalprice)')} AS top FROM orders GROUP BY ALL""",
+            {r6('max(o_totalprice)')} AS top, max(o_custkey::VARCHAR) AS last_key
+            FROM orders GROUP BY ALL""",
     }
     sql["a11_replicate_score_blocks"] = sql["a11_replicate_score"]
     sql["u1_parquet_parts"] = sql["u1_strict_union"]

@@ -29,7 +29,9 @@ from platewise.sinks.tables import (
     write_lossless,
 )
 from platewise.sources.parquet import parquet_columns, read_parts, read_profiles
-from platewise.sources.tables import read_image_table, read_platemap
+from platewise.sources.embeddings import read_npz
+from platewise.sources.sqlite import read_sqlite_table
+from platewise.sources.tables import read_image_table, read_locations, read_platemap
 from workload import standins as D
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -220,7 +222,9 @@ def u1_strict_union(spark: SparkSession, sf: str) -> DataFrame:
 
 def u2_loose_union(spark: SparkSession, sf: str) -> DataFrame:
     parts = _order_parts(spark, sf)
-    return loose_union([parts["open"].drop("o_totalprice"), parts["filled"].drop("o_orderstatus")])
+    return loose_union(
+        [parts["open"].drop("o_totalprice"), parts["filled"].drop("o_orderstatus"), parts["pending"]]
+    )
 
 
 # Features
@@ -270,6 +274,11 @@ def a12_null_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(R.null_threshold(R.null_pairs(_zscores(spark, sf), "vec_id")))
 
 
+def a12_null_threshold_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The threshold over all pairs of wells of different compounds instead of drawn ones."""
+    return rounded(R.null_threshold_all(_zscores(spark, sf), "vec_id"))
+
+
 def a13_percent_replicating(spark: SparkSession, sf: str) -> DataFrame:
     found = R.reproducibility(_cohort(spark, sf), "vec_id")
     return rounded(R.percent_replicating(found.scores, found.threshold))
@@ -311,7 +320,7 @@ def s2_image_table_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 def s3_platemap_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "platemap")
-    padded = D.plate_map(spark, sf).select(
+    padded = D.whole_plate_map(spark, sf).select(
         F.concat(F.lit(" "), F.col("Metadata_PlateID"), F.lit(" ")).alias(" Metadata_PlateID "),
         "Metadata_DestinationWell",
         "Metadata_Compound",
@@ -359,10 +368,39 @@ def s11_profile_files(spark: SparkSession, sf: str) -> DataFrame:
 
     path = scratch_path(spark, "profiles")
     for name, part in _order_parts(spark, sf).items():
-        part.drop("o_custkey").write.parquet(f"{path}/{name}")
+        part.write.parquet(f"{path}/{name}")
     files = [row.path for row in find_parts(spark, path).collect()]
     return read_profiles(spark, files, "o_orderstatus").groupBy("o_orderstatus").agg(
-        F.count("*").alias("rows"), r6(F.max("o_totalprice")).alias("top")
+        F.count("*").alias("rows"),
+        r6(F.max("o_totalprice")).alias("top"),
+        F.max("o_custkey").alias("last_key"),
+    )
+
+
+def s4_locations_csv(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "location-files")
+    D.put_files(D.location_files(spark, sf), path)
+    found = read_locations(spark, path).groupBy(WELL, SITE)
+    totals = found.agg(
+        F.count("*").alias("rows"), F.sum(X.SOURCE_X).alias("x"), F.sum(X.SOURCE_Y).alias("y")
+    )
+    return totals.select(WELL, SITE, "rows", *[F.round(c, 2).alias(c) for c in ("x", "y")])
+
+
+def s9_sqlite_tables(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "sqlite")
+    D.put_files(D.sqlite_files(spark, sf), path)
+    return read_sqlite_table(spark, path, "lines").drop("source")
+
+
+def s10_npz_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "npz")
+    D.put_files(D.embedding_files(spark, sf), path)
+    cells = read_npz(spark, path, path_pattern=r"/P(?P<number>[0-9]+)/all[.]npz$")
+    vec_id = F.expr(f"CAST(metadata['number'] AS BIGINT) * {D.FILE_VECTORS} + cell")
+    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x)
+    return cells.select(
+        vec_id.alias("vec_id"), F.element_at("metadata", "note").alias("note"), r6(total).alias("total")
     )
 
 
@@ -401,6 +439,7 @@ _ALL = [
     a11_replicate_score_blocks,
     j5_null_pairs,
     a12_null_threshold,
+    a12_null_threshold_all,
     a13_percent_replicating,
     a14_histogram,
     o4_top_activity,
@@ -414,6 +453,9 @@ _ALL = [
     k5_lossless_parquet,
     u1_parquet_parts,
     s11_profile_files,
+    s4_locations_csv,
+    s9_sqlite_tables,
+    s10_npz_embeddings,
 ]
 
 

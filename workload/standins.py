@@ -6,9 +6,14 @@ profiles, ``orders`` are imaged sites and ``customer`` is a plate map.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from platewise.operators.index import SOURCE_X, SOURCE_Y
+
 WIDTH = 64
 PROFILE_FEATURES = [f"f_{i + 1}" for i in range(WIDTH)]
 
@@ -94,11 +99,16 @@ def image_table(spark: SparkSession, sf: str) -> DataFrame:
 
 def plate_map(spark: SparkSession, sf: str) -> DataFrame:
     """Plate map that has two rows for most wells and none for some."""
+    return whole_plate_map(spark, sf, F.col("c_acctbal") > 0)
+
+
+def whole_plate_map(spark: SparkSession, sf: str, kept: Column | None = None) -> DataFrame:
+    """Plate map of all customers, or of those for which ``kept`` holds."""
     c = F.col
     key = c("c_custkey")
     return (
         table(spark, sf, "customer")
-        .where(c("c_acctbal") > 0)
+        .where(F.lit(True) if kept is None else kept)
         .select(
             F.concat(F.lit("P"), F.floor(key / 96)).alias("Metadata_PlateID"),
             well_name(F.floor(key % 96 / 24), F.floor(key % 24 / 2)).alias(
@@ -181,3 +191,85 @@ def dirty_profiles(spark: SparkSession, sf: str) -> DataFrame:
             "f_5": F.when(c("vec_id") % 3 == 0, c("f_5")),
         }
     )
+
+
+def put_files(files: DataFrame, folder: str) -> int:
+    """Write rows of ``file`` and ``content`` (bytes) as files under a shared folder, on the executors."""
+
+    def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        target, base = (
+            fs.FileSystem.from_uri(folder) if ":" in folder else (fs.LocalFileSystem(), folder)
+        )
+        for batch in batches:
+            for name, content in zip(batch["file"], batch["content"]):
+                place = f"{base}/{name}"
+                target.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                with target.open_output_stream(place) as opened:
+                    opened.write(content)
+            yield batch[["file"]]
+
+    return files.select("file", "content").mapInPandas(put, "file string").count()
+
+
+def location_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A location file a plate, well and site; every other one has its columns swapped."""
+    file = F.concat_ws("-", "Metadata_Well", "Metadata_Site", F.lit("Nuclei.csv"))
+    x, y = (F.col(c).cast("string") for c in (SOURCE_X, SOURCE_Y))
+    swapped = F.crc32(F.col("file")) % 2 == 0
+    lines = locations(spark, sf).withColumn("file", F.concat_ws("/", "Metadata_Plate", file))
+    line = F.when(swapped, F.concat_ws(",", y, x)).otherwise(F.concat_ws(",", x, y))
+    header = F.when(swapped, f"{SOURCE_Y},{SOURCE_X}").otherwise(f"{SOURCE_X},{SOURCE_Y}")
+    body = lines.groupBy("file").agg(F.array_join(F.collect_list(line), "\n").alias("body"))
+    return body.select("file", F.concat(header, F.lit("\n"), "body", F.lit("\n")).cast("binary").alias("content"))
+
+
+# Orders whose lines are in one SQLite file, and vectors in one archive.
+FILE_ORDERS, FILE_VECTORS = 400, 100
+
+
+def sqlite_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Databases of order lines; every other one lacks a column and declares another type."""
+
+    def build(lines: pd.DataFrame) -> pd.DataFrame:
+        import sqlite3
+
+        number = int(lines["number"].iloc[0])
+        con = sqlite3.connect(":memory:")
+        if number % 2:
+            con.execute("CREATE TABLE lines (l_orderkey INTEGER, l_linenumber NUMERIC, flag TEXT, price REAL)")
+            names = ["l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"]
+        else:
+            con.execute("CREATE TABLE lines (price DECIMAL(12, 2), l_linenumber INTEGER, l_orderkey INTEGER)")
+            names = ["l_extendedprice", "l_linenumber", "l_orderkey"]
+        marks = ", ".join("?" * len(names))
+        con.executemany(f"INSERT INTO lines VALUES ({marks})", lines[names].astype(object).values.tolist())
+        con.commit()
+        return pd.DataFrame({"file": [f"{number}.sqlite"], "content": [con.serialize()]})
+
+    number = F.floor(F.col("l_orderkey") / FILE_ORDERS).alias("number")
+    lines = table(spark, sf, "lineitem").select(
+        number, "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"
+    )
+    return lines.groupBy("number").applyInPandas(build, "file string, content binary")
+
+
+def embedding_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives of embeddings with a dictionary of metadata, or with a table of it."""
+
+    def build(vectors: pd.DataFrame) -> pd.DataFrame:
+        import io
+
+        import numpy as np
+
+        vectors = vectors.sort_values("vec_id")
+        number = int(vectors["number"].iloc[0])
+        about = {"note": "x"} if number % 2 else np.array([["note", "x"]])
+        out = io.BytesIO()
+        np.savez(out, features=np.stack(list(vectors["embedding"])), metadata=about)
+        return pd.DataFrame({"file": [f"P{number}/all.npz"], "content": [out.getvalue()]})
+
+    number = F.floor(F.col("vec_id") / FILE_VECTORS).alias("number")
+    vectors = table(spark, sf, "embeddings").select(number, "vec_id", "embedding")
+    return vectors.groupBy("number").applyInPandas(build, "file string, content binary")

@@ -52,10 +52,12 @@ def vectors(cell: pa.Table, name: str) -> np.ndarray:
 
 
 def correlations(
-    cell: pa.Table, row_id: str, name: str, slab: int = 512
+    cell: pa.Table, row_id: str, name: str, slab: int = 512, label: str | None = None
 ) -> Iterator[np.ndarray]:
     """Pearson r of the distinct pairs of a cell, a slab of rows at a time.
 
+    With ``label``, a column of numbers, only of the pairs whose numbers differ.
+
     The rows are put in id order first, so that every reading of the cell
     multiplies the same matrices and gives the same numbers.
     """
@@ -64,13 +66,15 @@ def correlations(
     z = vectors(cell, name)
     a, b = cell.column("__cell_a")[0].as_py(), cell.column("__cell_b")[0].as_py()
     left, right = z[block == a], z[block == b]
+    numbers = cell.column(label).to_numpy() if label else None
     for start in range(0, len(left), slab):
         r = left[start : start + slab] @ right.T / z.shape[1]
-        if a == b:
-            # Within a block the pairs are those above the diagonal.
-            yield np.concatenate([row[start + i + 1 :] for i, row in enumerate(r)])
-        else:
-            yield r.ravel()
+        # Within a block the pairs are those above the diagonal.
+        wanted = np.ones(r.shape, dtype=bool) if a != b else np.triu(np.ones(r.shape, dtype=bool), start + 1)
+        if numbers is not None:
+            own = numbers[block == a][start : start + slab]
+            wanted &= own[:, None] != numbers[block == b][None, :]
+        yield r[wanted]
 
 
 def per_cell(

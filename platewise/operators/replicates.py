@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -117,24 +117,9 @@ def replicate_scores(
 
     def count_bins(cell: pa.Table) -> pa.Table:
         lo, hi = bounds(cell)
-        count = np.zeros(Q.BINS, dtype=np.int64)
-        low, high = np.full(Q.BINS, np.inf), np.full(Q.BINS, -np.inf)
-        for r in correlations(cell, row_id, ZSCORES):
-            r = r[(r >= lo) & (r <= hi)]
-            bins = np.minimum(((r - lo) / (hi - lo) * Q.BINS).astype(np.int64), Q.BINS - 1)
-            count += np.bincount(bins, minlength=Q.BINS)
-            np.minimum.at(low, bins, r)
-            np.maximum.at(high, bins, r)
-        used = np.flatnonzero(count)
-        return pa.table(
-            {
-                compound: named(cell, len(used)),
-                Q.BIN: pa.array(used, pa.int32()),
-                Q.COUNT: count[used],
-                Q.BIN_MIN: low[used],
-                Q.BIN_MAX: high[used],
-            }
-        )
+        found = correlations(cell, row_id, ZSCORES)
+        table = _named_bins((r[(r >= lo) & (r <= hi)] for r in found), lo, hi)
+        return table.set_column(0, compound, named(cell, table.num_rows))
 
     def list_values(cell: pa.Table) -> pa.Table:
         lo, hi = bounds(cell)
@@ -209,6 +194,100 @@ def null_pairs(
     return sides.where(~F.col("left.c").eqNullSafe(F.col("right.c"))).select("draw", r.alias("r"))
 
 
+def null_threshold_all(
+    zscores: DataFrame,
+    row_id: str,
+    compound: str = COMPOUND,
+    *,
+    percentile: float = NULL_PERCENTILE,
+    large_block_rows: int = LARGE_BLOCK_ROWS,
+    max_values: int = Q.MAX_GROUP_ROWS,
+) -> DataFrame:
+    """One row: the percentile of the correlations of all pairs of wells of different compounds.
+
+    Nothing is drawn. Wells are dealt to the cells of a grid of blocks; a cell counts
+    its correlations per bin, and the bracket with the wanted rank is narrowed until
+    few values are left. The work is quadratic in the wells, as all pairs are.
+    ``zscores`` is read once per round; give it materialised.
+    """
+    counts = zscores.groupBy(column(compound)).agg(F.count("*").alias("n"))
+    n = F.col("n")
+    wells, pairs = counts.agg(
+        F.sum(n), ((F.sum(n) * F.sum(n) - F.sum(n * n)) / 2).cast("long")
+    ).first()
+    require(bool(pairs), "no two wells of different compounds")
+    keys = ["__all"]
+    spark = zscores.sparkSession
+    blocks = -(-wells // large_block_rows)
+    group = spark.createDataFrame([(0, blocks)], "__all int, __blocks int")
+    rows = zscores.select(
+        F.lit(0).alias("__all"),
+        column(row_id),
+        # Equal labels, null included, have equal numbers.
+        F.xxhash64(column(compound)).alias("__label"),
+        ZSCORES,
+    )
+    cells = to_cells(rows, group, keys, 1, row_id)
+    start = spark.createDataFrame(
+        [(0, pairs, -1.001, 1.001)], "__all int, __n bigint, __lo double, __hi double"
+    )
+
+    def bracketed(state: DataFrame, hot: int) -> DataFrame:
+        return join_null_safe(cells, small_side(state.select("__all", *Q.BRACKET), hot), keys)
+
+    def inside(cell: pa.Table) -> Iterator[np.ndarray]:
+        lo, hi = (cell.column(name)[0].as_py() for name in Q.BRACKET)
+        for r in correlations(cell, row_id, ZSCORES, label="__label"):
+            yield r[(r >= lo) & (r <= hi)]
+
+    def count_bins(cell: pa.Table) -> pa.Table:
+        lo, hi = (cell.column(name)[0].as_py() for name in Q.BRACKET)
+        return _named_bins(inside(cell), lo, hi)
+
+    def list_values(cell: pa.Table) -> pa.Table:
+        values, count = np.unique(np.concatenate([np.empty(0), *inside(cell)]), return_counts=True)
+        zero = pa.array(np.zeros(len(values)), pa.int32())
+        return pa.table({"__all": zero, Q.VALUE: values, Q.COUNT: count.astype(np.int64)})
+
+    def histogram(state: DataFrame, hot: int, first: bool) -> DataFrame:
+        schema = f"__all int, {Q.BIN} int, {Q.COUNT} bigint, {Q.BIN_MIN} double, {Q.BIN_MAX} double"
+        binned = per_cell(bracketed(state, hot), keys, count_bins, schema)
+        return binned.groupBy("__all", Q.BIN).agg(
+            F.sum(Q.COUNT).alias(Q.COUNT),
+            F.min(Q.BIN_MIN).alias(Q.BIN_MIN),
+            F.max(Q.BIN_MAX).alias(Q.BIN_MAX),
+        )
+
+    def values(state: DataFrame, hot: int) -> DataFrame:
+        schema = f"__all int, {Q.VALUE} double, {Q.COUNT} bigint"
+        return per_cell(bracketed(state, hot), keys, list_values, schema)
+
+    state = Q.start_state(start, percentile)
+    found = Q.narrow(state, keys, "threshold", histogram, values, max_values)
+    return found.select("threshold")
+
+
+def _named_bins(slabs: Iterator[np.ndarray], lo: float, hi: float) -> pa.Table:
+    """Counts and ends of the bins between two bounds that hold values."""
+    count = np.zeros(Q.BINS, dtype=np.int64)
+    low, high = np.full(Q.BINS, np.inf), np.full(Q.BINS, -np.inf)
+    for r in slabs:
+        bins = np.minimum(((r - lo) / (hi - lo) * Q.BINS).astype(np.int64), Q.BINS - 1)
+        count += np.bincount(bins, minlength=Q.BINS)
+        np.minimum.at(low, bins, r)
+        np.maximum.at(high, bins, r)
+    used = np.flatnonzero(count)
+    return pa.table(
+        {
+            "__all": pa.array(np.zeros(len(used)), pa.int32()),
+            Q.BIN: pa.array(used, pa.int32()),
+            Q.COUNT: count[used],
+            Q.BIN_MIN: low[used],
+            Q.BIN_MAX: high[used],
+        }
+    )
+
+
 def null_threshold(null: DataFrame) -> DataFrame:
     """One row: 95th percentile of the null correlations, a sample of fixed size."""
     return null.agg(F.percentile("r", F.lit(NULL_PERCENTILE)).alias("threshold"))

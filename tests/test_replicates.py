@@ -12,7 +12,7 @@ def table_of(spark, frame):
 
 
 def brute_force(frame):
-    x = frame.filter(like="efficientnet").to_numpy()
+    x = frame.filter(like="feature_").to_numpy()
     r = np.corrcoef(x)
     scores = {}
     for compound, rows in frame.reset_index(drop=True).groupby(COMPOUND).groups.items():
@@ -24,11 +24,11 @@ def brute_force(frame):
 
 def test_zscores_give_pearson_and_drop_flat_rows(spark, cohort):
     frame = cohort(features=7)
-    frame.loc[3, frame.filter(like="efficientnet").columns] = 1.5
+    frame.loc[3, frame.filter(like="feature_").columns] = 1.5
     got = R.row_zscores(table_of(spark, frame), ["row_id"]).orderBy("row_id").collect()
     assert [r.row_id for r in got] == [i for i in range(len(frame)) if i != 3]
     z = np.array([r.zscores for r in got])
-    want = np.corrcoef(frame.drop(index=3).filter(like="efficientnet").to_numpy())
+    want = np.corrcoef(frame.drop(index=3).filter(like="feature_").to_numpy())
     np.testing.assert_allclose(z @ z.T / 7, want, atol=1e-12)
 
 
@@ -38,7 +38,7 @@ def test_zscores_give_pearson_and_drop_flat_rows(spark, cohort):
 def test_scores_by_every_path(spark, cohort, block_rows, large, max_values):
     frame = cohort(plates=6, wells=24, compounds=3, features=12)
     # One compound owns most of the wells, one has a single well.
-    frame.loc[30:, COMPOUND] = "HY-001"
+    frame.loc[30:, COMPOUND] = "cpd01"
     frame.loc[0, COMPOUND] = "alone"
     z = materialize(R.row_zscores(table_of(spark, frame), ["row_id", COMPOUND]))
     scored = R.replicate_scores(
@@ -72,6 +72,18 @@ def test_reproducibility_separates_signal_from_null(spark, cohort):
         np.testing.assert_allclose(mine.left_edge, edges[:-1], atol=1e-12)
 
 
+@pytest.mark.parametrize("block, most", [(8192, 10**6), (50, 10**6), (30, 40)])
+def test_threshold_over_all_pairs(spark, cohort, block, most):
+    frame = cohort(plates=4, wells=24, compounds=5, features=9)
+    frame.loc[:7, COMPOUND] = None
+    z = materialize(R.row_zscores(table_of(spark, frame), ["row_id", COMPOUND]))
+    got = R.null_threshold_all(z, "row_id", large_block_rows=block, max_values=most).first().threshold
+    r, _ = brute_force(frame)
+    labels = frame[COMPOUND].fillna("none").to_numpy()
+    upper = np.triu(labels[:, None] != labels[None, :], 1)
+    assert got == pytest.approx(np.percentile(r[upper], 95), abs=1e-12)
+
+
 def test_null_pairs_draw_evenly_over_a_long_cohort(spark):
     rows = spark.range(200_000).select(
         R.F.col("id").alias("row_id"),
@@ -92,6 +104,6 @@ def test_guards(spark, cohort):
     frame = cohort(plates=1, wells=6, compounds=6)
     with pytest.raises(InsufficientData, match="replicate"):
         R.reproducibility(table_of(spark, frame), "row_id")
-    frame[COMPOUND] = "HY-001"
+    frame[COMPOUND] = "cpd01"
     with pytest.raises(InsufficientData, match="different"):
         R.reproducibility(table_of(spark, frame), "row_id", pairs=50)

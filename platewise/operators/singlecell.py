@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platewise.columns import PLATE, WELL, quoted
+from platewise.columns import PLATE, WELL, column, quoted
+from platewise.session import materialize, small_side
 
 COMPARTMENTS = ("Cells", "Nuclei", "Cytoplasm")
 SOURCE = "source"
@@ -79,8 +80,8 @@ def join_compartments(
     """
     cytoplasm, cells, nuclei = tables["Cytoplasm"], tables["Cells"], tables["Nuclei"]
     if skip_incomplete:
-        good = split_sources(tables).where("complete").select(SOURCE)
-        cytoplasm = cytoplasm.join(good, SOURCE, "left_semi")
+        good = materialize(split_sources(tables).where("complete").select(SOURCE), "sources")
+        cytoplasm = cytoplasm.join(small_side(good, good.count()), SOURCE, "left_semi")
 
     def prefixed(df: DataFrame, name: str) -> DataFrame:
         start = name + "_"
@@ -92,19 +93,29 @@ def join_compartments(
             }
         )
 
-    anchor = prefixed(cytoplasm, "Cytoplasm")
-    joined = anchor
+    # Where the session lets a join reuse a partitioning by some of its keys, each table is
+    # shuffled once, by image, and all three joins stay in place.
+    reuse = "spark.sql.requireAllClusterKeysForCoPartition"
+    together = cytoplasm.sparkSession.conf.get(reuse) == "false"
+
+    def dealt(df: DataFrame) -> DataFrame:
+        if not together:
+            return df
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(tasks, column(SOURCE), column(keys.image))
+
+    joined = dealt(prefixed(cytoplasm, "Cytoplasm"))
     for df, name, parent in (
         (cells, "Cells", keys.cells_parent),
         (nuclei, "Nuclei", keys.nuclei_parent),
     ):
-        side = prefixed(df, name).withColumnRenamed(f"{name}_{keys.object}", parent)
+        side = dealt(prefixed(df, name)).withColumnRenamed(f"{name}_{keys.object}", parent)
         joined = joined.join(side, [SOURCE, keys.image, parent], "left")
 
     canonical = {keys.image_plate: PLATE, keys.image_well: WELL}
     about = image.withColumnsRenamed({k: v for k, v in canonical.items() if k in image.columns})
     named = [c for c in about.columns if c not in (SOURCE, keys.image)]
-    joined = joined.join(about, [SOURCE, keys.image], "left")
+    joined = joined.join(dealt(about), [SOURCE, keys.image], "left")
     rest = [c for c in joined.columns if c not in (SOURCE, keys.image, *named)]
     return joined.selectExpr(
         SOURCE,

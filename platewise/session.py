@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,8 @@ def build_session(app: str = "platewise", **conf: str) -> SparkSession:
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Joins may keep a partitioning by some of their keys; see join_compartments.
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.session.timeZone": "UTC",
         **conf,
     }
@@ -30,15 +33,17 @@ def build_session(app: str = "platewise", **conf: str) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the cluster for intermediate tables.
 
-    ``spark.checkpoint.dir`` names it. Only a local session, which has one
-    machine, may fall back to a temporary folder.
+    ``spark.checkpoint.dir`` names it. Where it is unset, a session of one machine
+    takes a temporary folder, and a cluster a folder beside its warehouse, which all
+    executors reach.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="platewise-")
+    if re.match(r"local(\[|$)", spark.sparkContext.master):
+        folder = tempfile.mkdtemp(prefix="platewise-")
+    else:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-intermediate"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

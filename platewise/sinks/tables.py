@@ -11,10 +11,6 @@ from platewise.operators.index import NUCLEI_X, NUCLEI_Y
 from platewise.operators.joins import join_null_safe
 from platewise.session import materialize, small_side
 
-# Rows of one key that go into one file.
-FILE_ROWS = 1_000_000
-
-
 class RowCountMismatch(ValueError):
     """Rows were lost or gained while writing."""
 
@@ -29,30 +25,36 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def _one_file_per_key(df: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
-    """Bring the rows of a key into one task, and those of a very large key into several."""
+def _by_key(
+    df: DataFrame, keys: list[str], spread: list[str], max_file_rows: int | None
+) -> DataFrame:
+    """Bring the rows of a key into one task, or into several of ``max_file_rows`` rows each."""
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if max_file_rows is None:
+        return df.repartition(tasks, *columns(keys))
     sizes = df.groupBy(*columns(keys)).agg(F.count("*").alias("__rows"))
     large = materialize(
-        sizes.where(F.col("__rows") > FILE_ROWS).select(
-            *columns(keys), F.ceil(F.col("__rows") / FILE_ROWS).alias("__files")
+        sizes.where(F.col("__rows") > max_file_rows).select(
+            *columns(keys), F.ceil(F.col("__rows") / max_file_rows).alias("__files")
         ),
         "large-keys",
     )
-    count = large.count()
-    if not count:
-        return df.repartition(tasks, *columns(keys))
     files = F.coalesce(F.col("__files"), F.lit(1).cast("long"))
     share = F.pmod(F.xxhash64(*columns(spread)), files)
-    split = join_null_safe(df, small_side(large, count), keys, "left").withColumn("__share", share)
+    split = join_null_safe(df, small_side(large, large.count()), keys, "left")
+    split = split.withColumn("__share", share)
     return split.repartition(tasks, *columns(keys), "__share").drop("__files", "__share")
 
 
-def write_locations(locations: DataFrame, path: str) -> str:
-    """Nuclei centres with a bare header, in one folder per plate, well and site."""
+def write_locations(locations: DataFrame, path: str, max_file_rows: int | None = None) -> str:
+    """Nuclei centres with a bare header, in one folder per plate, well and site.
+
+    A folder holds one file; with ``max_file_rows`` a site of more nuclei is spread
+    over several, so that several tasks write it.
+    """
     keys = [PLATE, WELL, SITE]
     nuclei = locations.select(*keys, NUCLEI_X, NUCLEI_Y)
-    together = _one_file_per_key(nuclei, keys, [NUCLEI_X, NUCLEI_Y])
+    together = _by_key(nuclei, keys, [NUCLEI_X, NUCLEI_Y], max_file_rows)
     together.write.mode("overwrite").partitionBy(*keys).option("header", "true").csv(path)
     return path
 

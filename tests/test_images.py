@@ -6,18 +6,20 @@ from platewise.sources.listing import list_files
 
 
 def names(wells=("A02",), sites=(1, 2), channels=(1, 2, 3, 4, 5)):
-    return [f"T/2025-W51_{w}_s{s}_w{c}ABC.tif" for w in wells for s in sites for c in channels]
+    """Paths of one scan, the channels of a site side by side."""
+    spots = [(w, s) for w in wells for s in sites]
+    return [f"T/scan7_{w}_s{s}_w{c}_z0.tif" for w, s in spots for c in channels]
 
 
 def parsed(spark, paths):
-    return I.parse_images(spark.createDataFrame([(p,) for p in paths], "path string"), plate="26159")
+    return I.parse_images(spark.createDataFrame([(p,) for p in paths], "path string"), plate="plateX")
 
 
 def test_parse_skips_thumbnails_foreign_names_and_unknown_channels(spark):
-    extra = ["T/2025-W51_A02_s1_w1_THUMBx.tif", "T/readme.tif", "T/2025-W51_A02_s1_w6X.tif", "T/2025-W51_Q02_s1_w1.tif"]
+    extra = ["T/scan7_A02_s1_w1_THUMBx.tif", "T/readme.tif", "T/scan7_A02_s1_w6X.tif", "T/scan7_Q02_s1_w1.tif"]
     rows = parsed(spark, names(sites=(1,)) + extra).collect()
     assert sorted((r.Well, r.Site, r.ChannelNumber) for r in rows) == [("A02", 1, c) for c in range(1, 6)]
-    assert rows[0].FileName.startswith("2025-W51_A02")
+    assert rows[0].FileName.startswith("scan7_A02")
 
 
 def test_no_image_raises(spark):
@@ -29,7 +31,7 @@ def test_image_sets_columns_and_values(spark):
     sets = image_set_table(parsed(spark, names()), with_illum=True).orderBy("Metadata_Site")
     first = sets.first()
     assert sets.count() == 2
-    assert first.Image_FileName_OrigMito == "2025-W51_A02_s1_w2ABC.tif"
+    assert first.Image_FileName_OrigMito == "scan7_A02_s1_w2_z0.tif"
     assert first.Image_PathName_OrigER == "images"
     assert (first.Image_FileName_IllumRNA, first.Image_PathName_IllumRNA) == ("IllumRNA.npy", "illum")
     assert not [c for c in I.image_sets(parsed(spark, names())).columns if "Illum" in c]
@@ -37,18 +39,18 @@ def test_image_sets_columns_and_values(spark):
 
 def test_later_path_wins_component_by_component(spark):
     # As plain text "T-2/..." sorts before "T/..."; by component it sorts after.
-    paths = names() + ["T-2/2025-W51_A02_s1_w1NEW.tif"]
+    paths = names() + ["T-2/scan7_A02_s1_w1_z9.tif"]
     first = I.image_sets(parsed(spark, paths)).orderBy("Metadata_Site").first()
-    assert first.Image_FileName_OrigDNA == "2025-W51_A02_s1_w1NEW.tif"
+    assert first.Image_FileName_OrigDNA == "scan7_A02_s1_w1_z9.tif"
 
 
 def test_missing_channels_are_reported_and_raise(spark):
     images = parsed(spark, names(channels=(1, 3, 5)))
     assert [tuple(r) for r in I.incomplete_sets(images).orderBy("Metadata_Site").collect()] == [
-        ("26159", "A02", 1, "w2, w4"),
-        ("26159", "A02", 2, "w2, w4"),
+        ("plateX", "A02", 1, "w2, w4"),
+        ("plateX", "A02", 2, "w2, w4"),
     ]
-    with pytest.raises(ValueError, match="26159 A02 s1.*w2, w4"):
+    with pytest.raises(ValueError, match="site 1 of well A02, plate plateX.*w2, w4"):
         image_set_table(images)
 
 
@@ -66,11 +68,11 @@ def test_chunks_and_manifest(spark):
 
 @pytest.fixture
 def plate(tmp_path):
-    root = tmp_path / "26159"
+    root = tmp_path / "plateX"
     (root / "TimePoint_1").mkdir(parents=True)
     for name in names():
         (root / "TimePoint_1" / name.split("/")[1]).touch()
-    (root / "TimePoint_1" / "2025-W51_A02_s1_w1_thumbX.tif").touch()
+    (root / "TimePoint_1" / "scan7_A02_s1_w1_thumbX.tif").touch()
     (root / "TimePoint_1" / "upper_A02_s1_w1.TIF").touch()
     (root / "_A02_s1_w1.tif").touch()
     return root
@@ -84,10 +86,10 @@ def test_listing_keeps_empty_and_underscored_files(spark, plate, depth):
 
 def test_image_sets_from_a_folder(spark, plate, tmp_path):
     result = write_image_sets(spark, str(plate), str(tmp_path / "out"), chunk_size=1)
-    assert result == ImageSetFiles("26159", 2, 2)
+    assert result == ImageSetFiles("plateX", 2, 2)
     table = spark.read.option("header", "true").csv(str(tmp_path / "out" / "load_data"))
     assert [r.Metadata_Site for r in table.collect()] == ["1", "2"]
-    listed = spark.read.text(str(tmp_path / "out" / "chunks" / "images" / "plate=26159" / "chunk=2"))
-    assert [r.value for r in listed.collect()] == [f"2025-W51_A02_s2_w{c}ABC.tif" for c in range(1, 6)]
+    listed = spark.read.text(str(tmp_path / "out" / "chunks" / "images" / "plate=plateX" / "chunk=2"))
+    assert [r.value for r in listed.collect()] == [f"scan7_A02_s2_w{c}_z0.tif" for c in range(1, 6)]
     chunk = spark.read.option("header", "true").csv(str(tmp_path / "out" / "chunks" / "load_data"))
     assert {"Metadata_Plate", "plate", "chunk"} <= set(chunk.columns) and chunk.count() == 2

@@ -15,8 +15,7 @@ def test_scratch_folder_is_the_configured_one(spark):
     assert df.columns == ["id", "odd name.x"]
 
 
-def test_a_large_site_is_written_in_several_files(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(K, "FILE_ROWS", 100)
+def test_a_large_site_is_written_in_one_file_or_as_asked(spark, tmp_path):
     rows = spark.range(1000).select(
         F.lit("p").alias("Metadata_Plate"),
         F.lit("A01").alias("Metadata_Well"),
@@ -25,6 +24,8 @@ def test_a_large_site_is_written_in_several_files(spark, tmp_path, monkeypatch):
         F.col("id").alias(NUCLEI_Y),
     )
     K.write_locations(rows, str(tmp_path / "loc"))
+    assert len(list(tmp_path.glob("loc/*/*/Metadata_Site=1/*.csv"))) == 1
+    K.write_locations(rows, str(tmp_path / "loc"), max_file_rows=100)
     assert len(list(tmp_path.glob("loc/*/*/Metadata_Site=1/*.csv"))) > 1
     assert len(list(tmp_path.glob("loc/*/*/Metadata_Site=2/*.csv"))) == 1
     assert spark.read.option("header", "true").csv(str(tmp_path / "loc")).count() == 1000
@@ -41,7 +42,7 @@ def test_report(spark, cohort):
     frame = cohort()
     profiles = spark.createDataFrame(frame)
     consensus = profiles.groupBy("Metadata_Compound").agg(
-        *[F.median(c).alias(c) for c in frame.columns if c.startswith("eff")]
+        *[F.median(c).alias(c) for c in frame.columns if c.startswith("feature_")]
     )
     report = build_report(profiles=profiles, consensus=consensus, top_n=4)
     assert report.skipped == {}

@@ -49,12 +49,14 @@ def write_plate_index(
 ) -> PlateIndex:
     """Write ``metadata/index`` and ``locations`` of one plate under ``dest``.
 
-    ``plate`` is used when the image table has no plate column.
+    ``plate`` is used when the image table has no plate column; without it the plate is
+    named by its folder: the one that holds the folder with the image tables.
     """
     table = read_image_table(spark, image_tables)
-    plate = single_plate(table, plate)
-    if plate is None:
-        raise ValueError("the image table names no plate")
+    above = image_tables.rstrip("/").split("/")[:-2]
+    plate = single_plate(table, plate or (above[-1] if above else None))
+    if not plate:
+        raise ValueError("neither the image table nor a folder names the plate")
     index = materialize(build_index(table, plate), "index")
     annotations = read_platemap(spark, platemap)
     missing = unmatched_wells(index, annotations, plate_col, well_col)

@@ -6,7 +6,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from platewise.columns import METADATA_PREFIX
 from platewise.operators.singlecell import (
     FLOAT32,
     SOURCE,
@@ -70,7 +72,13 @@ def convert_embeddings(
 ) -> int:
     """Write NPZ embeddings as a single-cell table with one column per value.
 
-    Values keep their type; ``metadata`` maps archive entries to column names.
+    Values keep their type; ``metadata`` maps archive entries to column names. By default
+    every entry that any archive has becomes a ``Metadata_`` column, for later grouping.
     """
     cells = materialize(read_npz(spark, source, **keys), "embeddings")
+    if metadata is None:
+        # One row an entry's name.
+        entries = cells.select(F.explode(F.map_keys("metadata")).alias("name")).distinct()
+        names = sorted(row["name"] for row in entries.collect())
+        metadata = {n: n if n.startswith(METADATA_PREFIX) else METADATA_PREFIX + n for n in names}
     return write_lossless(spread_embedding(cells, embedding_width(cells), prefix, metadata), dest)

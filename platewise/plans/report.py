@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,14 +53,15 @@ def build_report(
 ) -> Report:
     """Every result the given tables support.
 
-    The cohort is cleaned once and shared by the embedding and the replicates.
+    The cohort is cleaned once and shared by the embedding and the replicates. A result
+    that cannot be made, by what the data lack or by a failed job, leaves the others.
     """
     report = Report()
 
     def attempt(name: str, build) -> None:
         try:
             build()
-        except (InsufficientData, ValueError, KeyError) as reason:
+        except (InsufficientData, ValueError, KeyError, PySparkException) as reason:
             report.skipped[name] = str(reason)
 
     def plates() -> None:

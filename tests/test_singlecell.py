@@ -159,3 +159,13 @@ def test_npz_with_a_dictionary_and_locations(spark, tmp_path):
         assert rows[3].metadata == about | {"Metadata_Site": "3", "site": "3"}
     with pytest.raises(Exception, match="no plain array"):
         read_npz(spark, str(tmp_path), features_key="metadata").collect()
+
+
+def test_conversion_keeps_metadata_by_default(spark, tmp_path):
+    for well in ("C01", "C02"):
+        (tmp_path / "in" / well).mkdir(parents=True)
+        np.savez(tmp_path / "in" / well / "a.npz", features=np.ones((2, 3)), metadata={"x": 1}, batch=4)
+    pattern = r"/(?P<Metadata_Well>[A-P][0-9]{2})/"
+    convert_embeddings(spark, str(tmp_path / "in"), str(tmp_path / "out"), path_pattern=pattern)
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.Metadata_Well, r.Metadata_batch) for r in rows) == [("C01", "4")] * 2 + [("C02", "4")] * 2

@@ -59,3 +59,11 @@ def test_report_skips_what_the_data_cannot_support(spark, cohort):
     assert set(report.skipped) == {"embedding", "replicates", "similarity"}
     with pytest.raises(AttributeError):
         report.embedding.count()
+
+
+def test_report_goes_on_after_a_failed_job(spark, cohort):
+    profiles = spark.createDataFrame(cohort())
+    broken = profiles.withColumn("Metadata_Well", F.expr("raise_error('disk gone')").cast("string"))
+    report = build_report(cells=broken, profiles=profiles)
+    assert "disk gone" in report.skipped["plates"]
+    assert report.embedding.count() == 48

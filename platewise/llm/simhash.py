@@ -20,27 +20,39 @@ HASH_SEED = 42
 MAX_BITS = 3
 # First bit and width of the three segments of a fingerprint.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
+# What is left of a corpus is compared once more: fingerprints this near, then shared shingles.
+WIDE_BITS, WIDE_WORDS, SIMILARITY = 7, 5, 0.8
 # Shingles whose bits are counted at once.
 SHINGLE_BLOCK = 1 << 16
 
 
-def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = HASH_SEED) -> int:
-    """64-bit SimHash: a bit is set if it is in over half of the shingle hashes."""
+def _tokens(text: str | None) -> list[bytes]:
     # bytes.lower and bytes.split know ASCII only: A-Z, and the six ASCII white spaces.
-    tokens = (text or "").encode().lower().split()
-    if not tokens:
-        return 0
+    return (text or "").encode().lower().split()
+
+
+def _shingle_hashes(tokens: list[bytes], words: int, seed: int) -> Iterator[np.ndarray]:
+    """Hashes of all shingles, a block at a time; fewer words than a shingle are one."""
     size = max(1, len(tokens) - words + 1)
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros(64, dtype=np.int64)
     for begin in range(0, size, SHINGLE_BLOCK):
         end = min(size, begin + SHINGLE_BLOCK)
         runs = [tokens[begin + i : end + i] for i in range(min(words, len(tokens)))]
-        hashes = np.fromiter(
+        yield np.fromiter(
             (digest(s, seed) for s in map(b" ".join, zip(*runs))), dtype="<u8", count=end - begin
         )
+
+
+def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = HASH_SEED) -> int:
+    """64-bit SimHash: a bit is set if it is in over half of the shingle hashes."""
+    tokens = _tokens(text)
+    if not tokens:
+        return 0
+    counts, size = np.zeros(64, dtype=np.int64), 0
+    for hashes in _shingle_hashes(tokens, words, seed):
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
+        size += len(hashes)
     return int(np.packbits(2 * counts > size, bitorder="little").view("<i8")[0])
 
 
@@ -55,11 +67,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_arrow(rows, run, "doc_id long, fp long")
 
 
-def _segments(fps: np.ndarray) -> list[np.ndarray]:
+def _segments(fps: np.ndarray, places: tuple = SEGMENTS) -> list[np.ndarray]:
     unsigned = fps.view(np.uint64)
     return [
         (unsigned >> np.uint64(low) & np.uint64((1 << width) - 1)).astype(np.int64)
-        for low, width in SEGMENTS
+        for low, width in places
     ]
 
 
@@ -104,8 +116,44 @@ def search_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def close_fingerprints(distinct: DataFrame) -> DataFrame:
-    """Pairs of nodes whose fingerprints differ in ``MAX_BITS`` bits or fewer.
+def wide_segments(max_bits: int) -> tuple:
+    """As many segments as make sure that two of them differ in one bit at most."""
+    number = max_bits // 2 + 2
+    edges = [64 * i // number for i in range(number + 1)]
+    return tuple((low, high - low) for low, high in zip(edges, edges[1:]))
+
+
+def _packed_probes(words: np.ndarray, width: int) -> np.ndarray:
+    """Probe keys of each word, the row's own to the left, as few columns as there are keys."""
+    keys = -np.sort(-golay.probe_keys(words, width), axis=1)
+    return keys[:, : max(1, int((keys >= 0).sum(axis=1).max(initial=0)))]
+
+
+def wide_index_keys(fps: np.ndarray, max_bits: int) -> np.ndarray:
+    """As ``index_keys``, for any number of bits: a key for each two segments."""
+    near = [golay.nearest_key(p) for p in _segments(fps, wide_segments(max_bits))]
+    pairs = [(x, y) for x in range(len(near)) for y in range(x)]
+    return np.stack([(k << 24) | (near[x] << 12) | near[y] for k, (x, y) in enumerate(pairs)], axis=1)
+
+
+def wide_search_keys(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``search_keys``, for any number of bits: both segments of a key are fuzzy."""
+    places = wide_segments(max_bits)
+    parts = _segments(fps, places)
+    probes = [_packed_probes(p, width) for p, (_, width) in zip(parts, places)]
+    pairs = [(x, y) for x in range(len(probes)) for y in range(x)]
+    rows, keys = [], []
+    for kind, (x, y) in enumerate(pairs):
+        for i in range(probes[x].shape[1]):
+            for j in range(probes[y].shape[1]):
+                row = np.nonzero((probes[x][:, i] >= 0) & (probes[y][:, j] >= 0))[0]
+                rows.append(row)
+                keys.append((kind << 24) | (probes[x][row, i] << 12) | probes[y][row, j])
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def close_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Pairs of nodes whose fingerprints differ in ``max_bits`` bits or fewer.
 
     ``distinct`` has ``fp`` and ``node``, one row a fingerprint. Keys of all
     fingerprints are joined with the keys under which they are filed; the bits are
@@ -114,7 +162,7 @@ def close_fingerprints(distinct: DataFrame) -> DataFrame:
 
     def filed(batch: pa.RecordBatch) -> Iterator[dict]:
         fps, nodes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        keys = index_keys(fps)
+        keys = index_keys(fps) if max_bits == MAX_BITS else wide_index_keys(fps, max_bits)
         repeat = np.repeat(np.arange(len(fps)), keys.shape[1])
         yield {"key": keys.ravel(), "fp": fps[repeat], "node": nodes[repeat]}
 
@@ -122,7 +170,10 @@ def close_fingerprints(distinct: DataFrame) -> DataFrame:
         fps, nodes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         for begin in range(0, len(fps), 4096):
             part = slice(begin, begin + 4096)
-            rows, keys = search_keys(fps[part])
+            if max_bits == MAX_BITS:
+                rows, keys = search_keys(fps[part])
+            else:
+                rows, keys = wide_search_keys(fps[part], max_bits)
             yield {"key": keys, "fp": fps[part][rows], "node": nodes[part][rows]}
 
     schema = "key long, fp long, node long"
@@ -133,13 +184,24 @@ def close_fingerprints(distinct: DataFrame) -> DataFrame:
     close = (
         (F.col("i.key") == F.col("p.key"))
         & (F.col("i.fp") < F.col("p.fp"))
-        & (differing <= MAX_BITS)
+        & (differing <= max_bits)
     )
     return probe.join(index, close).select(
         F.col("i.node").alias("a"), F.col("p.node").alias("b")
     )
 
 
+def _classes(prints: DataFrame) -> DataFrame:
+    """Each fingerprint with ``node``, its smallest id, and ``component_id``."""
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
+    distinct = materialize(distinct, "distinct-fingerprints")
+    links = close_fingerprints(distinct.filter("node is not null"))
+    reached = connected_components(links)
+    return distinct.join(reached, "node", "left").select(
+        "fp", "node", F.coalesce("component", "node").alias("component_id")
+    )
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: ``doc_id``, ``fingerprint`` (hex) and ``component_id``.
 
@@ -151,25 +213,55 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     component, else they get that of their fingerprint. Other columns are not read.
     """
     prints = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    distinct = materialize(distinct, "distinct-fingerprints")
-    links = close_fingerprints(distinct.filter("node is not null"))
-    reached = connected_components(links)
-    classes = distinct.join(reached, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id")
-    )
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return prints.join(classes, "fp").select("doc_id", hexed, "component_id")
+    return prints.join(_classes(prints), "fp").select("doc_id", hexed, "component_id")
+
+
+def sharing_shingles(
+    links: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float
+) -> DataFrame:
+    """The links (``a``, ``b``) whose texts share that part of their sets of word shingles."""
+
+    def sets(batch: pa.RecordBatch) -> Iterator[dict]:
+        found = []
+        for text in batch.column(1):
+            tokens = _tokens(text.as_py())
+            hashes = [*_shingle_hashes(tokens, words, HASH_SEED)] if tokens else [np.zeros(0, "<u8")]
+            found.append(np.unique(np.concatenate(hashes)).view(np.int64))
+        yield {"node": batch.column(0), "shingles": found}
+
+    ids = materialize(links.select("a").union(links.select("b")).distinct(), "linked")
+    ids = small_side(ids, ids.count())
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("node"), F.col(f"`{text_col}`").alias("text"))
+    linked = texts.join(ids, texts["node"] == ids["a"], "left_semi")
+    shingles = materialize(map_arrow(linked, sets, "node long, shingles array<long>"), "shingles")
+    left = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    right = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    both = links.join(left, "a").join(right, "b")
+    common = F.size(F.array_intersect("x", "y"))
+    either = F.size("x") + F.size("y") - common
+    return both.filter((either > 0) & (common >= similarity * either)).select("a", "b")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns: the smallest id of each component.
+    """The documents that stay, with all their columns: the smallest id of each group.
+
+    First one document of each component of ``simhash_components`` stays. Those that
+    stay are compared once more: fingerprints of up to ``WIDE_BITS`` differing bits,
+    found with keys of the same kind, link if the texts share ``SIMILARITY`` of their
+    shingles of ``WIDE_WORDS`` words, and again the smallest id of a component stays.
 
     Rows without id stay. Repeated rows of the id that stays do too; exact copies are
     another operator's work.
     """
-    found = simhash_components(docs, id_col, text_col)
-    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
+    prints = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
+    classes = materialize(_classes(prints), "classes")
+    copies = prints.join(classes, "fp").filter("doc_id != component_id").select("doc_id")
+    first = classes.filter("node = component_id").select("fp", "node")
+    links = materialize(close_fingerprints(first, WIDE_BITS).distinct(), "wide-links")
+    alike = sharing_shingles(links, docs, id_col, text_col, WIDE_WORDS, SIMILARITY)
+    more = connected_components(alike).select(F.col("node").alias("doc_id"))
+    gone = copies.union(more).distinct().withColumnRenamed("doc_id", "gone")
     gone = materialize(gone, "near-copies")
     gone = small_side(gone, gone.count())
     return docs.join(gone, docs[id_col] == gone["gone"], "left_anti")

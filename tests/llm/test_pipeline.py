@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from platewise.llm.exactdedup import exact_dedup
 from platewise.llm.quality import score_quality
-from platewise.llm.simhash import simhash_components
+from platewise.llm.simhash import drop_near_copies
 from platewise.session import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +20,7 @@ def test_each_stage_does_what_its_operator_says(spark):
     decide = {
         "quality": lambda d: score_quality(d, labels).filter("predicted = 1"),
         "exact_copies": lambda d: exact_dedup(d).filter("kept"),
-        "near_copies": lambda d: simhash_components(d).filter("doc_id = component_id"),
+        "near_copies": drop_near_copies,
         "mixing": lambda d: d,
         "pieces": lambda d: d,
     }

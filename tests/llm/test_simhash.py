@@ -5,11 +5,15 @@ import xxhash
 from platewise.llm import golay
 from platewise.llm.components import connected_components
 from platewise.llm.simhash import (
+    SIMILARITY,
+    WIDE_BITS,
     drop_near_copies,
     fingerprint,
     index_keys,
     search_keys,
     simhash_components,
+    wide_index_keys,
+    wide_search_keys,
 )
 
 SCHEMA = "doc_id long, text string"
@@ -63,6 +67,48 @@ def test_every_fingerprint_within_three_bits_is_found():
     assert met.all()
 
 
+@pytest.mark.parametrize("bits", [5, 7])
+def test_wide_keys_find_every_near_fingerprint(bits):
+    rng = np.random.default_rng(5)
+    fps = rng.integers(-(2**63), 2**63 - 1, 3000)
+    other = fps.copy()
+    for _ in range(bits):
+        other ^= np.int64(1) << rng.integers(0, 64, len(fps))
+    filed = wide_index_keys(other, bits)
+    rows, keys = wide_search_keys(fps, bits)
+    met = np.zeros(len(fps), dtype=bool)
+    np.logical_or.at(met, rows, (filed[rows] == keys[:, None]).any(axis=1))
+    assert met.all()
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_what_stays_shares_less_than_the_similarity(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(30):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 150)]
+        for j in range(4):
+            text = base.copy()
+            for at in rng.integers(0, 150, j):
+                text[at] = "changed"
+            rows.append((i * 10 + j, " ".join(text)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = {r.doc_id: r.text for r in drop_near_copies(docs).collect()}
+    assert {i for i, _ in rows if i % 10 == 0} <= set(kept)
+    prints = {i: plain_fingerprint(t) for i, t in kept.items()}
+    for a in kept:
+        for b in kept:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= WIDE_BITS:
+                x, y = shingles(kept[a]), shingles(kept[b])
+                assert len(x & y) / len(x | y) < SIMILARITY
+    # The second pass finds more than fingerprints of three bits alone.
+    assert len(kept) < simhash_components(docs).filter("doc_id = component_id").count()
+
+
 def brute(rows):
     prints = [(i, plain_fingerprint(t)) for i, t in rows]
     label = list(range(len(rows)))

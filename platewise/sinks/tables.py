@@ -66,17 +66,22 @@ def write_chunks(sets: DataFrame, path: str, size: int) -> int:
     in folders ``plate=…/chunk=…``.
     """
     chunked = materialize(chunked_sets(sets, size), "chunks")
+    # A chunk's rows are brought into one task once, for either table: the manifest's
+    # distinct names need no shuffle of their own then.
+    together = chunked.repartition(PLATE, "chunk")
     folders = ["plate", "chunk"]
-    tables = chunked.withColumn("plate", column(PLATE))
-    names = chunk_manifest(chunked, ordered=False).withColumnRenamed(PLATE, "plate")
+    tables = together.withColumn("plate", column(PLATE))
+    names = chunk_manifest(together, ordered=False).withColumnRenamed(PLATE, "plate")
 
     def per_chunk(df: DataFrame, order: list[str]) -> DataFrameWriter:
-        together = df.repartition(*folders).sortWithinPartitions(*folders, *order)
-        return together.write.mode("overwrite").partitionBy(*folders)
+        ordered = df.sortWithinPartitions(*folders, *order)
+        return ordered.write.mode("overwrite").partitionBy(*folders)
 
     per_chunk(tables, [WELL, SITE]).option("header", "true").csv(f"{path}/load_data")
     per_chunk(names, ["FileName"]).text(f"{path}/images")
-    return chunked.select(*folders[1:], PLATE).distinct().count()
+    # Chunks of a plate are numbered from 1 without gaps.
+    last = chunked.groupBy(PLATE).agg(F.max("chunk").alias("chunks"))
+    return last.agg(F.coalesce(F.sum("chunks"), F.lit(0))).first()[0]
 
 
 def write_lossless(df: DataFrame, path: str) -> int:

@@ -447,6 +447,14 @@ def all_sql() -> dict[str, str]:
         "k4_chunk_files": with_tables(
             *images, "sets", "chunked", "manifest", body="SELECT * FROM manifest"
         ),
+        "k4_chunk_tables": with_tables(
+            *images,
+            "sets",
+            "chunked",
+            body="""SELECT "Metadata_Plate", "Metadata_Well", "Metadata_Site", chunk, """
+            + ", ".join(f'"Image_FileName_Orig{n}"' for n in _NAMES.values())
+            + " FROM chunked",
+        ),
         "k5_lossless_parquet": with_tables(
             "cells",
             body="""SELECT "Metadata_Plate", count(*) AS rows, count("Metadata_Well") AS "Metadata_Well",

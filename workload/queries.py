@@ -347,6 +347,19 @@ def k4_chunk_files(spark: SparkSession, sf: str) -> DataFrame:
     return listed.select(F.col("plate").alias(PLATE), "chunk", "FileName")
 
 
+def k4_chunk_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The image sets that are written beside the file names."""
+    path = scratch_path(spark, "chunks")
+    sets = I.image_sets(_images(spark, sf))
+    write_chunks(sets, path, CHUNK)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sets.schema)
+    listed = spark.read.schema(f"{kinds}, plate string, chunk bigint").option("header", "true")
+    found = listed.csv(f"{path}/load_data")
+    return found.select(
+        PLATE, WELL, SITE, "chunk", *[c for c in sets.columns if c.startswith(I.NAME_PREFIX)]
+    )
+
+
 def k5_lossless_parquet(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "cells")
     write_lossless(D.cells(spark, sf), path)
@@ -450,6 +463,7 @@ _ALL = [
     s3_platemap_csv,
     k3_locations_csv,
     k4_chunk_files,
+    k4_chunk_tables,
     k5_lossless_parquet,
     u1_parquet_parts,
     s11_profile_files,

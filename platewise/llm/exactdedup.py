@@ -127,7 +127,17 @@ def exact_dedup(
         .agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("group_size"))
         .filter("group_size > 1")
     )
-    joined = filed.join(groups, ["key", "text_sha256"], "left")
+    groups = materialize(groups, "dedup-groups")
+    # At most rows / capacity groups are that large. They are sent to the rows, so that no
+    # task gathers all copies of a text; the other groups are joined by key.
+    same = ["key", "text_sha256"]
+    large = F.broadcast(groups.filter(F.col("group_size") > capacity))
+    small = groups.filter(F.col("group_size") <= capacity)
+    joined = (
+        filed.join(large, same, "left_anti")
+        .join(small, same, "left")
+        .unionByName(filed.join(large, same))
+    )
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select(
         "doc_id",

@@ -48,7 +48,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def bit_places(h1: np.ndarray, h2: np.ndarray, level: int, hashes: int, bits: int) -> np.ndarray:
     """Bits of each key (a column a key) in the filter of a level; levels hash independently."""
-    salt = np.uint64(level + 1) * _GOLDEN
+    salt = np.uint64((level + 1) * int(_GOLDEN) % 2**64)
     start, step = _mix(h1.view(np.uint64) + salt), _mix(h2.view(np.uint64) ^ salt) | np.uint64(1)
     turns = np.arange(hashes, dtype=np.uint64)[:, None]
     return (start + turns * step) % np.uint64(bits)

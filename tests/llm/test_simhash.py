@@ -10,6 +10,7 @@ from platewise.llm.simhash import (
     drop_near_copies,
     fingerprint,
     index_keys,
+    near_copy_links,
     search_keys,
     simhash_components,
     wide_index_keys,
@@ -161,3 +162,36 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     assert {(r.node, r.component) for r in got} == {(i, 0) for i in range(1, 61)} | {
         (i, 1000) for i in range(1001, 1100)
     }
+
+
+def test_all_pairs_of_the_similarity_are_found_and_no_other(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(8):
+        base = [f"w{x}" for x in rng.integers(0, 300, 40 + 15 * i)]
+        for j in range(20):
+            text = base.copy()
+            for at in rng.integers(0, len(base), j // 5):
+                text[at] = f"new{rng.integers(9)}"
+            rows.append((i * 100 + j, " ".join(text)))
+    texts = [(i, shingles(t)) for i, t in rows]
+    alike = [(a, b) for a, x in texts for b, y in texts if a < b and len(x & y) >= SIMILARITY * len(x | y)]
+    # Far more pairs than wide fingerprints reach.
+    prints = {i: plain_fingerprint(t) for i, t in rows}
+    assert sum((prints[a] ^ prints[b]).bit_count() > WIDE_BITS for a, b in alike) > 20
+    docs = spark.createDataFrame(rows, SCHEMA)
+    links = near_copy_links(docs, "doc_id", "text")
+    assert {tuple(r) for r in links.collect()} <= set(alike)
+    wanted = connected_components(spark.createDataFrame(alike, "a long, b long"))
+    assert {tuple(r) for r in connected_components(links).collect()} == {tuple(r) for r in wanted.collect()}
+    gone = {r.node for r in wanted.collect()}
+    assert {r.doc_id for r in drop_near_copies(docs).collect()} == {i for i, _ in rows} - gone
+
+
+def test_near_fingerprints_of_different_texts_stay(spark):
+    rng = np.random.default_rng(9)
+    line = " ".join(f"line{i}" for i in range(12)) + " "
+    rows = [(i, line * 100 + " ".join(f"w{x}" for x in rng.integers(0, 10**6, 200))) for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert simhash_components(docs).filter("doc_id <> component_id").count() > 0
+    assert drop_near_copies(docs).count() == len(rows)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from platewise.llm.common import spare_name
+
 BLOCK_ROWS = 16
 SEED = "mix"
 # Hexadecimal digits of the hash that tell a source's bins apart.
@@ -191,3 +193,20 @@ def mixed(
     placed = _scheduled(rows, weights, other, block_rows, seed).select("row", "slot", "place")
     ordered = placed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
     return ordered.select("row.*")
+
+
+def in_written_order(docs: DataFrame, place_col: str) -> DataFrame:
+    """Add each row's place, from 0, in the files that ``docs`` reads, and sort by it.
+
+    Part files count in order of name, rows in order of the file. A scan alone keeps
+    no order: it deals out files by size.
+    """
+    file, row = spare_name(docs, "file"), spare_name(docs, "row")
+    metadata = docs.metadataColumn("_metadata")
+    rows = docs.withColumns({file: metadata["file_name"], row: metadata["row_index"]})
+    # One row a file: names of more than 100,000 parts are longer.
+    before = W.orderBy(F.length(file), file).rowsBetween(W.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("count").over(before), F.lit(0)).alias(place_col)
+    shifts = rows.groupBy(file).count().select(file, shift)
+    placed = rows.join(F.broadcast(shifts), file).withColumn(place_col, F.col(place_col) + F.col(row))
+    return placed.drop(file, row).repartitionByRange(place_col).sortWithinPartitions(place_col)

@@ -323,9 +323,12 @@ def encode_texts(
     text_col: str = "text",
     dropout: float = DROPOUT,
     seed: int = SEED,
+    place_col: str | None = None,
 ) -> DataFrame:
     """One row a document: ``doc_id``, ``ids`` (piece ids), ``lossless``, ``text_sha256`` of the text.
 
+    ``place_col`` names a whole number that is carried along as ``position``.
+
     Pieces are those of a merge-type model: the agenda merges the candidate of the
     best score, the leftmost of equals, but a candidate is skipped with probability
     ``dropout``, by a hash of seed, document, word and place. So a run repeats itself
@@ -349,14 +352,18 @@ def encode_texts(
                 "ids": pa.ListArray.from_arrays(offsets, ids.astype(np.int32)),
                 "lossless": [a == b for a, b in zip(decoded, texts)],
                 "text_sha256": batch.column(1)[part],
+                "position": batch.column(4)[part],
             }
 
     text = whole_text(text_col)
     key = F.xxhash64(F.col(f"`{id_col}`").cast("long"))
+    place = F.col(f"`{place_col}`") if place_col else F.lit(None)
     rows = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.sha2(text, 256).alias("sha"), key, text
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.sha2(text, 256).alias("sha"), key, text,
+        place.cast("long").alias("position"),
     )
-    return map_arrow(rows, run, "doc_id long, ids array<int>, lossless boolean, text_sha256 string")
+    schema = "doc_id long, ids array<int>, lossless boolean, text_sha256 string"
+    return map_arrow(rows, run, schema + (", position long" if place_col else ""))
 
 
 def decode_texts(tokens: DataFrame, model_path: str) -> DataFrame:

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from platewise.llm.exactdedup import exact_dedup
+from platewise.llm.mixing import mix_order
 from platewise.llm.quality import score_quality
+from platewise.llm.queries import OTHER, TARGETS
 from platewise.llm.simhash import drop_near_copies
 from platewise.session import materialize
 
@@ -52,3 +54,25 @@ def test_odd_rows_go_through_all_stages(spark, tmp_path):
     docs.limit(0).write.parquet(str(tmp_path / "none/documents.parquet"))
     labels.limit(0).write.parquet(str(tmp_path / "none/labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_positions_follow_the_mix(spark, tmp_path):
+    names = ["src0", "src1", "src2", "other"]
+    rows = [(i, "text " * (1 + i % 7 * 400), names[i % 4 if i % 3 else 3]) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    written = materialize(corpus_pipeline.mixing(spark, docs, ""), "mix")
+    out = materialize(corpus_pipeline.pieces(spark, written, ""), "pieces").orderBy("position").collect()
+    assert [r.position for r in out] == list(range(len(rows)))
+    order = [r.doc_id for r in mix_order(docs, TARGETS, OTHER).orderBy("slot", "place").collect()]
+    assert [r.doc_id for r in out] == order
+    # Shares along the column, to a block of each source.
+    source = {i: s for i, _, s in rows}
+    first = [source[r.doc_id] for r in out[:400]]
+    assert abs(first.count("src0") - 400 * 25 / 90) <= 16 and abs(first.count("src1") - 400 * 15 / 90) <= 16
+    # Uneven files, which a plain scan deals out by size.
+    path = str(tmp_path / "uneven")
+    uneven = spark.range(3000).withColumn("text", F.expr("repeat(uuid(), IF(id > 2000, 40, 1))"))
+    uneven.repartitionByRange(8, "id").sortWithinPartitions("id").write.parquet(path)
+    again = spark.read.parquet(path).withColumnRenamed("id", "doc_id")
+    got = corpus_pipeline.pieces(spark, again, "").select("doc_id", "position").collect()
+    assert [tuple(r) for r in got] == [(i, i) for i in range(3000)]

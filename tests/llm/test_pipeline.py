@@ -58,7 +58,7 @@ def test_odd_rows_go_through_all_stages(spark, tmp_path):
 
 def test_positions_follow_the_mix(spark, tmp_path):
     names = ["src0", "src1", "src2", "other"]
-    rows = [(i, "text " * (1 + i % 7 * 400), names[i % 4 if i % 3 else 3]) for i in range(2000)]
+    rows = [(i, "text " * (1 + i % 7 * 40), names[i % 4 if i % 3 else 3]) for i in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
     written = materialize(corpus_pipeline.mixing(spark, docs, ""), "mix")
     out = materialize(corpus_pipeline.pieces(spark, written, ""), "pieces").orderBy("position").collect()
@@ -71,7 +71,7 @@ def test_positions_follow_the_mix(spark, tmp_path):
     assert abs(first.count("src0") - 400 * 25 / 90) <= 16 and abs(first.count("src1") - 400 * 15 / 90) <= 16
     # Uneven files, which a plain scan deals out by size.
     path = str(tmp_path / "uneven")
-    uneven = spark.range(3000).withColumn("text", F.expr("repeat(uuid(), IF(id > 2000, 40, 1))"))
+    uneven = spark.range(3000).withColumn("text", F.expr("repeat(uuid(), IF(id > 2000, 9, 1))"))
     uneven.repartitionByRange(8, "id").sortWithinPartitions("id").write.parquet(path)
     again = spark.read.parquet(path).withColumnRenamed("id", "doc_id")
     got = corpus_pipeline.pieces(spark, again, "").select("doc_id", "position").collect()

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from platewise.llm import golay
 from platewise.llm.common import map_arrow
@@ -22,12 +20,6 @@ HASH_SEED = 42
 MAX_BITS = 3
 # First bit and width of the three segments of a fingerprint.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
-# Near copies share this part of their shingles of so many words. Wide keys reach so many bits.
-WIDE_BITS, WIDE_WORDS, SIMILARITY = 7, 5, 0.8
-# One document of so many is read to learn which shingles are common, and the most listed.
-SAMPLED, COMMON = 16, 50_000
-# Texts of a shingle from which on links to so many others are sought before all pairs are.
-LARGE_GROUP, CHAINS = 8, 4
 # Shingles whose bits are counted at once.
 SHINGLE_BLOCK = 1 << 16
 
@@ -122,44 +114,8 @@ def search_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def wide_segments(max_bits: int) -> tuple:
-    """As many segments as make sure that two of them differ in one bit at most."""
-    number = max_bits // 2 + 2
-    edges = [64 * i // number for i in range(number + 1)]
-    return tuple((low, high - low) for low, high in zip(edges, edges[1:]))
-
-
-def _packed_probes(words: np.ndarray, width: int) -> np.ndarray:
-    """Probe keys of each word, the row's own to the left, as few columns as there are keys."""
-    keys = -np.sort(-golay.probe_keys(words, width), axis=1)
-    return keys[:, : max(1, int((keys >= 0).sum(axis=1).max(initial=0)))]
-
-
-def wide_index_keys(fps: np.ndarray, max_bits: int) -> np.ndarray:
-    """As ``index_keys``, for any number of bits: a key for each two segments."""
-    near = [golay.nearest_key(p) for p in _segments(fps, wide_segments(max_bits))]
-    pairs = [(x, y) for x in range(len(near)) for y in range(x)]
-    return np.stack([(k << 24) | (near[x] << 12) | near[y] for k, (x, y) in enumerate(pairs)], axis=1)
-
-
-def wide_search_keys(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """As ``search_keys``, for any number of bits: both segments of a key are fuzzy."""
-    places = wide_segments(max_bits)
-    parts = _segments(fps, places)
-    probes = [_packed_probes(p, width) for p, (_, width) in zip(parts, places)]
-    pairs = [(x, y) for x in range(len(probes)) for y in range(x)]
-    rows, keys = [], []
-    for kind, (x, y) in enumerate(pairs):
-        for i in range(probes[x].shape[1]):
-            for j in range(probes[y].shape[1]):
-                row = np.nonzero((probes[x][:, i] >= 0) & (probes[y][:, j] >= 0))[0]
-                rows.append(row)
-                keys.append((kind << 24) | (probes[x][row, i] << 12) | probes[y][row, j])
-    return np.concatenate(rows), np.concatenate(keys)
-
-
-def close_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Pairs of nodes whose fingerprints differ in ``max_bits`` bits or fewer.
+def close_fingerprints(distinct: DataFrame) -> DataFrame:
+    """Pairs of nodes whose fingerprints differ in ``MAX_BITS`` bits or fewer.
 
     ``distinct`` has ``fp`` and ``node``, one row a fingerprint. Keys of all
     fingerprints are joined with the keys under which they are filed; the bits are
@@ -168,7 +124,7 @@ def close_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFra
 
     def filed(batch: pa.RecordBatch) -> Iterator[dict]:
         fps, nodes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        keys = index_keys(fps) if max_bits == MAX_BITS else wide_index_keys(fps, max_bits)
+        keys = index_keys(fps)
         repeat = np.repeat(np.arange(len(fps)), keys.shape[1])
         yield {"key": keys.ravel(), "fp": fps[repeat], "node": nodes[repeat]}
 
@@ -176,10 +132,7 @@ def close_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFra
         fps, nodes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         for begin in range(0, len(fps), 4096):
             part = slice(begin, begin + 4096)
-            if max_bits == MAX_BITS:
-                rows, keys = search_keys(fps[part])
-            else:
-                rows, keys = wide_search_keys(fps[part], max_bits)
+            rows, keys = search_keys(fps[part])
             yield {"key": keys, "fp": fps[part][rows], "node": nodes[part][rows]}
 
     schema = "key long, fp long, node long"
@@ -190,7 +143,7 @@ def close_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFra
     close = (
         (F.col("i.key") == F.col("p.key"))
         & (F.col("i.fp") < F.col("p.fp"))
-        & (differing <= max_bits)
+        & (differing <= MAX_BITS)
     )
     return probe.join(index, close).select(
         F.col("i.node").alias("a"), F.col("p.node").alias("b")
@@ -216,149 +169,25 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     key is made, so a group of copies costs one node, however large. Null and
     empty texts have fingerprint zero. Repeated rows stay. A row without id takes
     part in no link: a fingerprint that only such rows have gets a null
-    component, else they get that of their fingerprint. Other columns are not read.
+    component, else they get that of their fingerprint. Other columns are not read. A
+    long text is hashed whole, a block of shingles at a time; an empty table gives none.
     """
     prints = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return prints.join(_classes(prints), "fp").select("doc_id", hexed, "component_id")
 
 
-def _shingle_set(text: str | None, words: int) -> np.ndarray:
-    """Hashes of the different shingles; texts without words have the empty one."""
-    tokens = _tokens(text) or [b""]
-    return np.unique(np.concatenate([*_shingle_hashes(tokens, words, HASH_SEED)])).view(np.int64)
-
-
-def sharing_shingles(
-    links: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float
-) -> DataFrame:
-    """The links (``a``, ``b``) whose texts share that part of their sets of word shingles."""
-
-    def sets(batch: pa.RecordBatch) -> Iterator[dict]:
-        found = [_shingle_set(text.as_py(), words) for text in batch.column(1)]
-        yield {"node": batch.column(0), "shingles": found}
-
-    ids = materialize(links.select("a").union(links.select("b")).distinct(), "linked")
-    ids = small_side(ids, ids.count())
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("node"), F.col(f"`{text_col}`").alias("text"))
-    linked = texts.join(ids, texts["node"] == ids["a"], "left_semi")
-    shingles = materialize(map_arrow(linked, sets, "node long, shingles array<long>"), "shingles")
-    left = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = links.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("x", "y"))
-    either = F.size("x") + F.size("y") - common
-    return both.filter(common >= similarity * either).select("a", "b").distinct()
-
-
-def _common_shingles(texts: DataFrame, words: int) -> list[int]:
-    """Shingles of several sampled documents, the most frequent last. They set the cost only."""
-
-    def sets(batch: pa.RecordBatch) -> Iterator[dict]:
-        for text in batch.column(1):
-            yield {"shingle": _shingle_set(text.as_py(), words)}
-
-    sample = texts.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0)
-    counts = map_arrow(sample, sets, "shingle long").groupBy("shingle").count().filter("count > 2")
-    most = counts.orderBy(F.desc("count"), "shingle").limit(COMMON).collect()
-    return [r.shingle for r in reversed(most)]
-
-
-def _prefixes(texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Rows ``key``, ``node``, ``n``, ``at``: the shingles of a text that a near copy must meet.
-
-    All sets are put in one order, common shingles last. Two sets of ``n`` and more
-    that share the part ``similarity`` have their first common shingle among the
-    first n - ceil(similarity n) + 1 of each.
-    """
-    ranked = np.array(_common_shingles(texts, words), dtype=np.int64)
-    by_value = np.argsort(ranked)
-    listed = ranked[by_value]
-
-    def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            found = _shingle_set(text.as_py(), words)
-            n = len(found)
-            rank = np.zeros(n, dtype=np.int64)
-            if len(listed):
-                place = np.minimum(np.searchsorted(listed, found), len(listed) - 1)
-                rank = np.where(listed[place] == found, by_value[place] + 1, 0)
-            size = n - math.ceil(similarity * n - 1e-6) + 1
-            keys = found[np.lexsort((found, rank))[:size]]
-            size = len(keys)
-            yield {"key": keys, "node": np.full(size, node), "n": np.full(size, n), "at": np.arange(size)}
-
-    def joined(batch: pa.RecordBatch) -> Iterator[dict]:
-        for begin in range(0, batch.num_rows, 256):
-            parts = [*run(batch.slice(begin, 256))]
-            yield {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
-
-    return map_arrow(texts, joined, "key long, node long, n int, at int")
-
-
-def _may_share(x: str, y: str, similarity: float) -> Column:
-    """Whether sets whose first common shingle is this one are large enough in common."""
-    n, m, i, j = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.at", f"{y}.at"))
-    needed = similarity / (1 + similarity) * (n + m) - 1e-6
-    return F.least(n - i, m - j) >= needed
-
-
-def near_copy_links(
-    docs: DataFrame, id_col: str, text_col: str, words: int = WIDE_WORDS, similarity: float = SIMILARITY
-) -> DataFrame:
-    """Links (``a``, ``b``) with the components of all pairs that share that part of their shingles.
-
-    Pairs are sought by shingles of their prefixes and each is verified on its whole
-    sets. First the texts of a shingle that many have are compared with the next few of
-    a shuffled order, so a large group grows together by a few links a text; then all
-    pairs of different components are compared. Pairs inside one cannot change it.
-    """
-    node = F.col(f"`{id_col}`").cast("long").alias("node")
-    texts = docs.select(node, F.col(f"`{text_col}`").cast("string").alias("text")).filter("node is not null")
-    same, shuffled = W.partitionBy("key"), W.partitionBy("key").orderBy(F.xxhash64("key", "node"), "node")
-    own = F.struct("node", "n", "at")
-    met = _prefixes(texts, words, similarity).select(
-        "key",
-        own.alias("own"),
-        F.array(*[F.lead(own, i).over(shuffled) for i in range(1, CHAINS + 1)]).alias("ahead"),
-        F.count("*").over(same).alias("size"),
-        (F.min("node").over(same) < F.max("node").over(same)).alias("several"),
-    )
-    met = materialize(met.filter("several").drop("several"), "shared-shingles")
-    near = met.filter(F.col("size") >= LARGE_GROUP).select("own", F.explode("ahead").alias("next"))
-    near = near.filter(_may_share("own", "next", similarity))
-    ends = F.least("own.node", "next.node").alias("a"), F.greatest("own.node", "next.node").alias("b")
-    chains = near.select(*ends).filter("a < b").distinct()
-    chains = materialize(chains, "chain-links")
-    alike = materialize(sharing_shingles(chains, docs, id_col, text_col, words, similarity), "alike")
-    reached = connected_components(alike)
-    grouped = met.select("key", "own.*").join(reached, "node", "left")
-    grouped = materialize(grouped.withColumn("component", F.coalesce("component", "node")), "grouped")
-    other = (
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.component") != F.col("y.component"))
-        & (F.col("x.node") < F.col("y.node"))
-        & _may_share("x", "y", similarity)
-    )
-    pairs = grouped.alias("x").join(grouped.alias("y"), other)
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    pairs = materialize(pairs.join(chains, ["a", "b"], "left_anti"), "other-links")
-    return alike.union(sharing_shingles(pairs, docs, id_col, text_col, words, similarity))
-
-
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns: the smallest id of each group.
-
-    Two texts are near copies if they share ``SIMILARITY`` of their different shingles
-    of ``WIDE_WORDS`` words, fewer words being one shingle; no such pair is missed and
-    no other links. Groups are the components of these links. Texts without words,
-    null included, are copies of each other.
+    """The documents that stay, with all their columns: the smallest id of each component.
 
-    Rows without id stay. Repeated rows of the id that stays do too; exact copies are
-    another operator's work.
+    Components are those of ``simhash_components``: fingerprints of whole texts,
+    however long, that differ in ``MAX_BITS`` bits or fewer, and all that such links
+    reach. Texts without words, null included, share one fingerprint and are copies of
+    each other. Rows without id stay. Repeated rows of the id that stays do too; exact
+    copies are another operator's work. An empty table stays empty.
     """
-    links = near_copy_links(docs, id_col, text_col)
-    gone = connected_components(links).select(F.col("node").alias("gone"))
+    components = simhash_components(docs, id_col, text_col)
+    gone = components.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     gone = materialize(gone, "near-copies")
     gone = small_side(gone, gone.count())
-    return docs.join(gone, docs[id_col] == gone["gone"], "left_anti")
+    return docs.join(gone, docs[id_col].cast("long") == gone["gone"], "left_anti")

@@ -16,8 +16,11 @@ from platewise.llm.pieces import encode_texts
 from platewise.llm.quality import score_quality
 from platewise.llm.simhash import simhash_components
 from platewise.llm.tokencount import count_tokens
+from platewise.llm.tokenfiles import read_token_files, write_token_files
 from platewise.llm.topk import top_k
 from platewise.llm.urlfilter import Rule, judge_urls, url_host
+from platewise.llm.whitening import whiten
+from platewise.session import scratch_path
 
 # Target shares of the sources in hundredths; the rest of the sources share OTHER.
 TARGETS = {"src0": 25, "src1": 15, "src2": 10, "src3": 5, "src4": 5}
@@ -122,5 +125,17 @@ def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
     return link_tool_calls(calls, results, TOOLS)
 
 
+def op11_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The files are written to a new folder beside the session's other intermediate tables."""
+    path = scratch_path(spark, "token-files")
+    write_token_files(_table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    crc = F.crc32("ids").alias("ids_crc32")
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", crc)
+
+
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten(_table(spark, sf, "embeddings"))
+
+
 def all_queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}

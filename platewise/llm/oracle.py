@@ -138,6 +138,89 @@ SELECT conv_id,
 FROM linked
 """
 
+# A state is the cheapest way to it: cost, then letters, then the turns so far.
+def _way(state: str, cost: str, letter: str, line: str) -> str:
+    added = f" || chr(10) || {line}" if line else ""
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'r': {state}.r{added}}}"
+
+
+_INSERT_USER = [_way(f"s{i}", "5", "I", "'user:'") for i in (0, 1, 3)]
+_USER = f"list_min([s2, {', '.join(_INSERT_USER)}])"
+_ASSISTANT = "list_min([s3, {'c': i2.c + 5, 'a': i2.a || 'I', 'r': i2.r || chr(10) || 'assistant:'}])"
+_LINE = "role || ':' || text"
+
+
+def _moved(sources: tuple[str, ...], initial: str, role: str) -> str:
+    moves = []
+    for state in sources:
+        moves.append(f"CASE WHEN initial = '{initial}' THEN {_way(state, 'late', 'K', _LINE)} ELSE dead END")
+        moves.append(_way(state, "(late + 1)", "R", f"'{role}:' || text"))
+    return ", ".join(moves)
+
+
+OP12_REPAIR = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations),
+summed AS (
+  SELECT *, xor(4294967295, list_reduce(
+    [ascii(name[i])::BIGINT for i in range(1, length(name) + 1)],
+    lambda crc, byte: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END,
+                                  xor(crc, byte)),
+    4294967295::BIGINT)) % 20 AS kind
+  FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN kind = 0 THEN 0 WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM summed),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+         left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ended
+  FROM damaged),
+faulty AS (
+  SELECT *, CASE WHEN ended = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(ended, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS meeting
+  FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (meeting NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faulty GROUP BY conv_id),
+searched AS (
+  SELECT conv_id, n, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 'r': ''}} AS s0, {{'c': 1000000000::BIGINT, 'a': '', 'r': ''}} AS s1,
+         {{'c': 1000000000::BIGINT, 'a': '', 'r': ''}} AS s2, {{'c': 1000000000::BIGINT, 'a': '', 'r': ''}} AS s3
+  FROM counts
+  UNION ALL
+  SELECT conv_id, n, i,
+    {_way("s0", "2", "D", "")},
+    CASE WHEN gone THEN {_way("s1", "2", "D", "")}
+         ELSE list_min([{_way("s1", "2", "D", "")}, CASE WHEN initial = 's' THEN {_way("s0", "late", "K", _LINE)} ELSE dead END]) END,
+    CASE WHEN gone THEN {_way("i2", "2", "D", "")}
+         ELSE list_min([{_way("i2", "2", "D", "")}, {_moved(("s0", "s1", "i3"), "u", "user")}]) END,
+    CASE WHEN gone THEN {_way("i3", "2", "D", "")}
+         ELSE list_min([{_way("i3", "2", "D", "")}, {_moved(("i2",), "a", "assistant")}]) END
+  FROM (
+    SELECT *, {_ASSISTANT} AS i3 FROM (
+      SELECT s.conv_id, s.n, s.i + 1 AS i, s0, s1, s2, s3, {_USER} AS i2, f.role, f.text, f.initial,
+             f.fault IN ('blank', 'duplicate') AS gone, CASE WHEN f.fault = 'truncated' THEN 5 ELSE 0 END AS late,
+             {{'c': 1000000000::BIGINT, 'a': '', 'r': ''}} AS dead
+      FROM searched AS s JOIN faulty AS f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = s.i + 1))),
+ended AS (
+  SELECT conv_id, list_min([s0, {_ASSISTANT}]) AS best
+  FROM (SELECT *, {_USER} AS i2 FROM searched WHERE i = n))
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+       coalesce(best.a, '') AS audit, sha256(substr(coalesce(best.r, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+LEFT JOIN counts AS c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended AS e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 
 def all_sql() -> dict[str, str]:
     return {
@@ -146,4 +229,5 @@ def all_sql() -> dict[str, str]:
         "op7_top_k": OP7_TOP_K,
         "op8_exact_dedup": OP8_EXACT_DEDUP,
         "op10_chat": OP10_CHAT,
+        "op12_repair": OP12_REPAIR,
     }

@@ -14,12 +14,14 @@ from platewise.llm.langid import identify_language
 from platewise.llm.mixing import mix_order
 from platewise.llm.pieces import encode_texts
 from platewise.llm.quality import score_quality
+from platewise.llm.repair import conversation_digests, repair_conversations
 from platewise.llm.simhash import simhash_components
 from platewise.llm.tokencount import count_tokens
 from platewise.llm.tokenfiles import read_token_files, write_token_files
 from platewise.llm.topk import top_k
 from platewise.llm.urlfilter import Rule, judge_urls, url_host
 from platewise.llm.whitening import whiten
+from platewise.operators.joins import join_null_safe
 from platewise.session import scratch_path
 
 # Target shares of the sources in hundredths; the rest of the sources share OTHER.
@@ -133,6 +135,36 @@ def op11_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", crc)
 
 
+def _damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults put in by the checksum of their conversation and number."""
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.crc32(F.encode(name, "UTF-8")) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    without_ends = F.translate(text, ".!?", "")
+    hurt = turns.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, without_ends).otherwise(text).alias("text"),
+        F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("times"),
+    )
+    return hurt.select("conv_id", "turn", "role", "text", F.explode(F.array_repeat(F.lit(0), F.col("times")))).drop("col")
+
+
+def op12_repair(spark: SparkSession, sf: str) -> DataFrame:
+    turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    repair = repair_conversations(_damaged(turns))
+    found = join_null_safe(turns.select("conv_id").distinct(), repair.audits, ["conv_id"], "left")
+    found = join_null_safe(found, conversation_digests(repair.turns), ["conv_id"], "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id",
+        *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whiten(_table(spark, sf, "embeddings"))
 

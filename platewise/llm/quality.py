@@ -11,12 +11,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from platewise.llm.common import is_held_out, map_arrow, whole_text
+from platewise.session import materialize
 
-# Labelled documents that the field is fitted on, and the most lines of one of them.
-TRAINING_DOCS, TRAINING_LINES = 3000, 500
+# Labelled documents that the field is fitted on, and the most lines of all of them together.
+TRAINING_DOCS, TRAINING_LINES = 3000, 1_500_000
 # Every so many of them sets the scale of the scores instead.
 CALIBRATION_PART = 4
 ROUNDS, RATE, PENALTY = 200, 0.05, 1e-3
@@ -263,42 +265,51 @@ def score_texts(field: Field, texts: Sequence[str | None]) -> list[float]:
 
 def learn_field(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
-) -> Field | None:
+) -> tuple[Field | None, float]:
     """Fit on a bounded sample of labelled documents that are not held out.
 
-    The sample is the ``TRAINING_DOCS`` labelled ids of smallest hash; of them,
-    documents of over ``TRAINING_LINES`` lines are left out. The driver gets their
-    line features, no text. Ids with contradicting labels count as unlabelled. None
-    where the labels are not of two kinds.
+    The sample are the ``TRAINING_DOCS`` labelled ids of smallest hash, up to
+    ``TRAINING_LINES`` lines in all: of documents with more lines there are fewer, long
+    ones as likely as short ones. The driver gets their line features, no text. Ids with
+    contradicting labels count as unlabelled. Where these labels are not of two kinds
+    there is no field, and the score of every text is the second result: the share of
+    good ones among them, with one of either kind added.
     """
     label = F.col(f"`{label_col}`").cast("int")
     usable = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), label.alias("label"))
     usable = usable.filter(F.col("label").isin(0, 1) & ~is_held_out("id"))
     agreed = usable.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
     agreed = agreed.filter("label = other").drop("other")
-    chosen = agreed.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(TRAINING_DOCS)
+    drawn = F.xxhash64(F.lit(SEED), F.col("id"))
+    chosen = agreed.orderBy(drawn, "id").limit(TRAINING_DOCS)
 
     def measure(batch: pa.RecordBatch) -> Iterator[dict]:
-        kept = {"id": [], "label": [], "features": []}
         for id_, label, text in zip(*(batch.column(i) for i in range(3))):
             features, _ = line_features(text.as_py())
-            if len(features) <= TRAINING_LINES:
-                kept["id"].append(id_.as_py())
-                kept["label"].append(label.as_py())
-                kept["features"].append(features.tobytes())
-        yield kept
+            row = {"id": [id_.as_py()], "label": [label.as_py()], "lines": [len(features)]}
+            # One document of more lines than all may have together is never taken.
+            yield row | {"features": [features.tobytes() if len(features) <= TRAINING_LINES else None]}
 
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     rows = texts.join(F.broadcast(chosen), "id").select("id", "label", "text")
-    found = map_arrow(rows, measure, "id long, label int, features binary").toPandas()
-    # The order of rows, and with it the fit, must not depend on the tasks.
-    found = found.sort_values(["id", "features"], kind="stable").drop_duplicates("id")
+    measured = map_arrow(rows, measure, "id long, label int, lines long, features binary")
+    # Of copies of an id one counts; the order of rows, and with it the fit, must not depend on the tasks.
+    single = measured.filter("features IS NOT NULL").groupBy("id").agg(F.min(F.struct("features", "label", "lines")).alias("one"))
+    single = materialize(single.select("id", "one.*"), "labelled-lines")
+    # At most TRAINING_DOCS rows of small numbers.
+    so_far = F.sum("lines").over(W.orderBy(drawn, "id"))
+    taken = single.select("id", "lines").withColumn("so_far", so_far).filter(F.col("so_far") <= TRAINING_LINES)
+    found = single.join(F.broadcast(taken.select("id")), "id").toPandas().sort_values("id", kind="stable")
     values = found["label"].to_numpy()
     if len(set(values)) < 2:
-        return None
+        return None, (float(values.sum()) + 1) / (len(values) + 2)
     width = len(FEATURES)
     features = [np.frombuffer(f, dtype=np.float32).reshape(-1, width) for f in found["features"]]
-    return fit_field(features, values)
+    return fit_field(features, values), 0.0
+
+
+def _scores(field: Field | None, constant: float, texts: list[str | None]) -> list[float]:
+    return [constant] * len(texts) if field is None else score_texts(field, texts)
 
 
 def score_quality(
@@ -315,20 +326,14 @@ def score_quality(
     whose weights see its own features and those of the lines beside it. Their mean
     by characters, put on the scale of frequencies, is the score. ``predicted`` is 1
     from ``threshold`` on. Null and empty texts are one empty line. Where nothing can
-    be learnt every score is the labels' only value, or 1. Repeated rows get equal
-    results; other columns are not read.
+    be learnt, every score is that of ``learn_field``; held-out labels never count.
+    Repeated rows get equal results, a long text is judged by all its lines, an empty
+    table gives none; other columns are not read.
     """
-    field = learn_field(docs, labels, id_col, text_col, label_col)
-    if field is None:
-        only = labels.agg(F.min(F.col(f"`{label_col}`").cast("int"))).first()[0]
-        constant = float(only if only in (0, 1) else 1)
+    field, constant = learn_field(docs, labels, id_col, text_col, label_col)
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        texts = (text.as_py() for text in batch.column(2))
-        if field is None:
-            scores = [constant] * batch.num_rows
-        else:
-            scores = score_texts(field, list(texts))
+        scores = _scores(field, constant, [text.as_py() for text in batch.column(2)])
         yield {
             "doc_id": batch.column(0),
             "held_out": batch.column(1),
@@ -349,15 +354,14 @@ def keep_good(
 ) -> DataFrame:
     """The documents that are not rejected, with all their columns.
 
-    The score is worked out beside each row, so nothing is joined: rows without id
-    and repeated rows are judged like any other.
+    Those whose score, as ``score_quality`` gives it, reaches ``THRESHOLD``. It is worked
+    out beside each row, so nothing is joined: rows without id and repeated rows are
+    judged like any other. Empty texts are an empty line, and an empty table stays empty.
     """
-    field = learn_field(docs, labels, id_col, text_col, label_col)
-    if field is None:
-        return docs
+    field, constant = learn_field(docs, labels, id_col, text_col, label_col)
 
     @F.pandas_udf("boolean")
     def good(texts: pd.Series) -> pd.Series:
-        return pd.Series([s >= THRESHOLD for s in score_texts(field, texts.tolist())])
+        return pd.Series([s >= THRESHOLD for s in _scores(field, constant, texts.tolist())])
 
     return docs.filter(good(whole_text(text_col)))

@@ -92,8 +92,32 @@ def test_query_and_filter(spark):
 def test_nothing_to_learn_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "text"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")
-    bad = spark.createDataFrame([(1, 0)], "doc_id long, quality int")
-    assert [r.score for r in score_quality(docs, none).collect()] == [1.0, 1.0]
-    assert [r.predicted for r in score_quality(docs, bad).collect()] == [0, 0]
+    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    held = [i for i in range(60) if i not in learnt]
+    assert [r.score for r in score_quality(docs, none).collect()] == [0.5, 0.5]
+    texts = docs.union(spark.createDataFrame([(i, "more text") for i in range(3, 60)], docs.schema))
+    bad = spark.createDataFrame([(i, 0) for i in learnt if i], "doc_id long, quality int")
+    assert {r.predicted for r in score_quality(texts, bad).collect()} == {0}
+    assert keep_good(texts, bad).count() == 0
+    # Labels of held-out documents say nothing, whatever they are.
+    only_held = spark.createDataFrame([(i, 0) for i in held if i], "doc_id long, quality int")
+    assert {r.score for r in score_quality(texts, only_held).collect()} == {0.5}
+    assert keep_good(texts, only_held).count() == texts.count()
     assert keep_good(docs, none).count() == 2
     assert score_quality(docs.limit(0), none).count() == 0
+
+
+def test_long_documents_take_part_in_the_fit(spark, monkeypatch):
+    from platewise.llm import quality
+
+    rows = [(i, "\n".join(["Good words end here."] * (900 if i % 3 else 2)), 1) for i in range(40)]
+    rows += [(100 + i, "\n".join(["### ### 12"] * 700), 0) for i in range(40)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    # All bad ones are long.
+    assert quality.learn_field(docs, labels)[0] is not None
+    seen = []
+    monkeypatch.setattr(quality, "fit_field", lambda features, values: seen.append(sum(map(len, features))))
+    monkeypatch.setattr(quality, "TRAINING_LINES", 5000)
+    quality.learn_field(docs, labels)
+    assert 3000 < seen[0] <= 5000

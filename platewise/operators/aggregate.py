@@ -3,14 +3,14 @@
 The rows are turned into blocks of features before they are grouped. A group's
 buffer then holds one block instead of thousands of features, the work of one
 group spreads over its blocks, and the plan stays small however wide the table
-is. Groups with very many rows take the narrowing path of ``quantiles``.
+is. Groups with very many rows are read twice, see ``quantiles``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platewise.columns import (
@@ -23,8 +23,8 @@ from platewise.columns import (
     require_columns,
 )
 from platewise.operators.joins import join_null_safe
-from platewise.operators.quantiles import MAX_GROUP_ROWS, percentile_by_key
-from platewise.session import materialize, small_side
+from platewise.operators.quantiles import MAX_GROUP_ROWS, percentile_of_large_keys
+from platewise.session import settled, small_side
 
 # Blocks of 32, 64 and 128 take the same time; the smallest has the smallest buffers.
 BLOCK_FEATURES = 32
@@ -44,6 +44,11 @@ def resolve_features(
     return list(features)
 
 
+def strata_order(strata: Sequence[str]) -> list[Column]:
+    """The order of groups: by their keys, nulls last."""
+    return [column(s).asc_nulls_last() for s in strata]
+
+
 def _median_in_blocks(df: DataFrame, strata: Sequence[str], features: Sequence[str]) -> DataFrame:
     if len(features) <= BLOCK_FEATURES:
         medians = [F.expr(f"median({measured(name)}) AS {quoted(name)}") for name in features]
@@ -70,7 +75,7 @@ def _median_in_blocks(df: DataFrame, strata: Sequence[str], features: Sequence[s
     )
 
 
-def _median_by_narrowing(
+def _median_of_large_groups(
     df: DataFrame, strata: Sequence[str], features: Sequence[str], max_group_rows: int
 ) -> DataFrame:
     keys = {name: f"__key_{i}" for i, name in enumerate(strata)}
@@ -78,7 +83,7 @@ def _median_by_narrowing(
         *[column(name).alias(key) for name, key in keys.items()],
         F.posexplode(array_of(map(measured, features))).alias("__feature", "__x"),
     )
-    medians = percentile_by_key(
+    medians = percentile_of_large_keys(
         long, [*keys.values(), "__feature"], "__x", 0.5, "__median", max_group_rows=max_group_rows
     )
     wide = (
@@ -111,17 +116,15 @@ def aggregate_median(
     if max_group_rows is None:
         max_group_rows = MAX_GROUP_ROWS // min(len(features), BLOCK_FEATURES)
     sizes = df.groupBy(*columns(strata)).agg(F.count("*").alias("__rows"))
-    hot = materialize(
-        sizes.where(F.col("__rows") > max_group_rows).select(*columns(strata)), "hot-groups"
-    )
-    hot_groups = hot.count()
+    large = sizes.where(F.col("__rows") > max_group_rows).select(*columns(strata))
+    hot, hot_groups = settled(large, "hot-groups")
     if hot_groups:
         side = small_side(hot, hot_groups)
         large = join_null_safe(df, side, strata, "left_semi")
         rest = join_null_safe(df, side, strata, "left_anti")
         result = _median_in_blocks(rest, strata, features).unionAll(
-            _median_by_narrowing(large, strata, features, max_group_rows)
+            _median_of_large_groups(large, strata, features, max_group_rows)
         )
     else:
         result = _median_in_blocks(df, strata, features)
-    return result.orderBy(*[column(s).asc_nulls_last() for s in strata]) if ordered else result
+    return result.orderBy(*strata_order(strata)) if ordered else result

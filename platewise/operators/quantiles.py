@@ -2,11 +2,13 @@
 
 Spark's own ``percentile`` is exact but keeps every value of a group in one
 buffer. That is right for ordinary groups and impossible for a key with a third
-of a huge table. Keys above a row limit are therefore solved by narrowing: a
-round counts the values per bin inside a bracket, which combines before the
-shuffle to at most ``BINS`` rows per key and task, and picks the bin that holds
-the wanted rank as the next bracket. When few enough values are left in the
-bracket they are ranked directly.
+of a huge table. Keys above a row limit are therefore read twice: a mergeable
+quantile sketch per key brackets the wanted rank, then one scan counts the values
+below the bracket and those inside by value, about a hundredth of all. The rank among
+these is exact. Where more values are inside than one task may rank, the small table
+of counted values is narrowed: a round counts them per bin, at most ``BINS`` rows per
+key and task, and picks the bin with the rank as the next bracket. The sketch is a
+promise of chance; a key whose bracket missed is narrowed over its rows instead.
 """
 
 from __future__ import annotations
@@ -19,15 +21,19 @@ from pyspark.sql import functions as F
 
 from platewise.columns import column, columns
 from platewise.operators.joins import join_null_safe
-from platewise.session import materialize, small_side
+from platewise.session import materialize, settled, small_side
 
 # Values of one key that Spark's own aggregate may buffer, about 200 MB.
 MAX_GROUP_ROWS = 2_000_000
 BINS = 1024
+# Size of a key's sketch, about 40 KB, and how far on both sides of the rank a bracket
+# reaches, as a share of the values: over twice the sketch's error at 99 %.
+SKETCH, MARGIN = 2048, 0.006
 
 # Work columns of the narrowing state, one row per key.
 _N, _K, _FRAC, _BELOW, _INSIDE = "__n", "__k", "__frac", "__below", "__inside"
 _LO, _HI, _LOWER, _UPPER = "__lo", "__hi", "__lower", "__upper"
+_LEAST, _MOST = "__least", "__most"
 BIN, COUNT, BIN_MIN, BIN_MAX, VALUE = "__bin", "__count", "__bin_min", "__bin_max", "__value"
 BRACKET = (_LO, _HI)
 
@@ -35,15 +41,18 @@ Histogram = Callable[[DataFrame, int, bool], DataFrame]
 Values = Callable[[DataFrame, int], DataFrame]
 
 
-def start_state(sizes: DataFrame, p: float) -> DataFrame:
-    """Narrowing state from keys with ``__n`` values between ``__lo`` and ``__hi``."""
+def start_state(sizes: DataFrame, p: float, counted: bool = False) -> DataFrame:
+    """Narrowing state from keys with ``__n`` values between ``__lo`` and ``__hi``.
+
+    ``counted`` says that ``__below`` and ``__inside`` are there already.
+    """
+    if not counted:
+        sizes = sizes.withColumn(_BELOW, F.lit(0).cast("long")).withColumn(_INSIDE, F.col(_N))
     position = F.lit(float(p)) * (F.col(_N) - 1)
     flat = F.col(_LO) == F.col(_HI)
     return (
         sizes.withColumn(_K, F.floor(position).cast("long"))
         .withColumn(_FRAC, position - F.floor(position))
-        .withColumn(_BELOW, F.lit(0).cast("long"))
-        .withColumn(_INSIDE, F.col(_N))
         .withColumn(_LOWER, F.when(flat, F.col(_LO)))
         .withColumn(_UPPER, F.when(flat, F.col(_HI)))
     )
@@ -196,43 +205,112 @@ def percentile_by_key(
 ) -> DataFrame:
     """Exact percentile of a double column per key, linear between neighbours.
 
-    Null values are skipped, null keys are keys, a key with only nulls gives
-    null. ``df`` is read more than once only when a key exceeds the limit; give
-    a materialised frame when it is costly to compute.
+    Null values and NaN are skipped, null keys are keys, a key with only such values
+    gives null. ``df`` is read more than once, four times, only when a key exceeds the
+    limit; give a materialised frame when it is costly to compute.
     """
     if not keys:
         whole = df.select(F.lit(0).alias("__all"), column(value))
         return percentile_by_key(
             whole, ["__all"], value, p, alias, max_group_rows=max_group_rows
         ).drop("__all")
-    v = column(value)
-    sizes = (
-        df.groupBy(*columns(keys))
-        .agg(F.count(v).alias(_N), F.min(v).alias(_LO), F.max(v).alias(_HI))
-        .where(F.col(_N) > max_group_rows)
-    )
-    sizes = materialize(sizes, "hot-keys")
-    hot_keys = sizes.count()
-    if not hot_keys:
+    v = F.nanvl(column(value), F.lit(None).cast("double"))
+    large = df.groupBy(*columns(keys)).agg(F.count(v).alias(_N)).where(F.col(_N) > max_group_rows)
+    large, found = settled(large.select(*columns(keys)), "hot-keys")
+    if not found:
         return df.groupBy(*columns(keys)).agg(F.percentile(v, F.lit(float(p))).alias(alias))
+    side = small_side(large, found)
+    hot = join_null_safe(df, side, keys, "left_semi")
+    rest = join_null_safe(df, side, keys, "left_anti")
+    solved = percentile_of_large_keys(hot, keys, value, p, alias, max_group_rows=max_group_rows)
+    ordinary = rest.groupBy(*columns(keys)).agg(F.percentile(v, F.lit(float(p))).alias(alias))
+    return ordinary.unionAll(solved)
 
-    def bracketed(state: DataFrame, hot: int) -> DataFrame:
-        brackets = small_side(state.select(*columns(keys), *BRACKET), hot)
-        return join_null_safe(df, brackets, keys).where(v.between(F.col(_LO), F.col(_HI)))
+
+def percentile_of_large_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    p: float,
+    alias: str,
+    *,
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """``percentile_by_key`` for keys that all have very many values: two scans of ``df``."""
+    v = F.nanvl(column(value), F.lit(None).cast("double"))
+    sketched = df.groupBy(*columns(keys)).agg(
+        F.count(v).alias(_N), F.kll_sketch_agg_double(v, F.lit(SKETCH)).alias("__sketch")
+    )
+    ends = {_LO: max(p - MARGIN, 0.0), _HI: min(p + MARGIN, 1.0), _LEAST: 0.0, _MOST: 1.0}
+    brackets, hot = settled(
+        sketched.select(
+            *columns(keys),
+            _N,
+            *[
+                F.when(F.col(_N) > 0, F.kll_sketch_get_quantile_double("__sketch", F.lit(share))).alias(end)
+                for end, share in ends.items()
+            ],
+        ),
+        "sketched",
+    )
+    side = small_side(brackets.select(*columns(keys), *BRACKET), hot)
+    upto = join_null_safe(df, side, keys).where(v <= F.col(_HI))
+    inside = F.when(v >= F.col(_LO), v)
+    # One row per value in a bracket, and one without value for all that lie below.
+    counted = upto.groupBy(*columns(keys), inside.alias(VALUE)).agg(F.count("*").alias(COUNT))
+    counted = materialize(counted, "bracketed")
+    known = F.col(VALUE).isNotNull()
+    totals = counted.groupBy(*columns(keys)).agg(
+        F.coalesce(F.sum(F.when(~known, F.col(COUNT))), F.lit(0)).alias(_BELOW),
+        F.coalesce(F.sum(F.when(known, F.col(COUNT))), F.lit(0)).alias(_INSIDE),
+        F.min(VALUE).alias(_LO),
+        F.max(VALUE).alias(_HI),
+    )
+    numbers = brackets.select(*columns(keys), _N, _LEAST, _MOST)
+    state = join_null_safe(small_side(numbers, hot), totals, keys, "left")
+    ranked = start_state(state.drop(_LEAST, _MOST), p, counted=True)
+    within = (F.col(_BELOW) <= F.col(_K)) & (_upper_rank() < F.col(_BELOW) + F.col(_INSIDE))
+    met = within | (F.col(_N) == 0)
+    ranked, _ = settled(ranked.withColumn("__met", F.coalesce(met, F.lit(False))), "ranked")
 
     def histogram(state: DataFrame, hot: int, first: bool) -> DataFrame:
+        bin_ = _bin(F.col(VALUE), F.col(_LO), F.col(_HI), first).alias(BIN)
         return (
-            bracketed(state, hot)
+            bracketed(counted, state, hot, F.col(VALUE))
+            .groupBy(*columns(keys), bin_)
+            .agg(F.sum(COUNT).alias(COUNT), F.min(VALUE).alias(BIN_MIN), F.max(VALUE).alias(BIN_MAX))
+        )
+
+    def values(state: DataFrame, hot: int) -> DataFrame:
+        return bracketed(counted, state, hot, F.col(VALUE)).select(*columns(keys), VALUE, COUNT)
+
+    def bracketed(rows: DataFrame, state: DataFrame, hot: int, at: Column) -> DataFrame:
+        brackets = small_side(state.select(*columns(keys), *BRACKET), hot)
+        return join_null_safe(rows, brackets, keys).where(at.between(F.col(_LO), F.col(_HI)))
+
+    none = ranked.where(F.col(_N) == 0).select(*columns(keys), F.lit(None).cast("double").alias(alias))
+    hits = ranked.where(F.col("__met") & (F.col(_N) > 0)).drop("__met")
+    solved = none.unionAll(narrow(hits, keys, alias, histogram, values, max_group_rows))
+    missed = ranked.where(~F.col("__met")).select(*columns(keys))
+    number = missed.count()
+    if not number:
+        return solved
+
+    def row_histogram(state: DataFrame, hot: int, first: bool) -> DataFrame:
+        return (
+            bracketed(df, state, hot, v)
             .withColumn(BIN, _bin(v, F.col(_LO), F.col(_HI), first))
             .groupBy(*columns(keys), BIN)
             .agg(F.count("*").alias(COUNT), F.min(v).alias(BIN_MIN), F.max(v).alias(BIN_MAX))
         )
 
-    def values(state: DataFrame, hot: int) -> DataFrame:
-        inside = bracketed(state, hot)
-        return inside.select(*columns(keys), v.alias(VALUE), F.lit(1).cast("long").alias(COUNT))
+    def row_values(state: DataFrame, hot: int) -> DataFrame:
+        found = bracketed(df, state, hot, v)
+        return found.select(*columns(keys), v.alias(VALUE), F.lit(1).cast("long").alias(COUNT))
 
-    solved = narrow(start_state(sizes, p), keys, alias, histogram, values, max_group_rows)
-    rest = join_null_safe(df, small_side(sizes.select(*columns(keys)), hot_keys), keys, "left_anti")
-    ordinary = rest.groupBy(*columns(keys)).agg(F.percentile(v, F.lit(float(p))).alias(alias))
-    return ordinary.unionAll(solved)
+    # The ends of a sketch are the least and the largest value themselves.
+    whole = join_null_safe(brackets, small_side(missed, number), keys, "left_semi").select(
+        *columns(keys), _N, F.col(_LEAST).alias(_LO), F.col(_MOST).alias(_HI)
+    )
+    again = narrow(start_state(whole, p), keys, alias, row_histogram, row_values, max_group_rows)
+    return solved.unionAll(again)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Largest side, in rows, that is sent to every executor; wider keys get other joins.
 BROADCAST_ROWS = 200_000
+# Rows of a table of keys that the driver may hold.
+FEW_ROWS = 1_000
 
 
 def build_session(app: str = "platewise", **conf: str) -> SparkSession:
@@ -71,3 +73,15 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     partitions adaptive execution splits.
     """
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def settled(df: DataFrame, label: str = "table") -> tuple[DataFrame, int]:
+    """A table of keys, computed once, and its number of rows.
+
+    Up to ``FEW_ROWS`` rows become a local table, in one job; more are written out.
+    """
+    found = df.limit(FEW_ROWS + 1).toArrow()
+    if found.num_rows <= FEW_ROWS:
+        return df.sparkSession.createDataFrame(found.to_pylist(), df.schema), found.num_rows
+    written = materialize(df, label)
+    return written, written.count()

@@ -2,7 +2,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from platewise.operators.quantiles import percentile_by_key
+from platewise.operators import quantiles
+from platewise.operators.quantiles import percentile_by_key, percentile_of_large_keys
 
 SAMPLES = {
     "normal": lambda rng: rng.normal(size=3000),
@@ -59,3 +60,33 @@ def test_groups_narrowed_to_single_values(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     got = percentile_by_key(df, [], "x", 0.5, "q", max_group_rows=1).first()
     assert got.q == np.median(values)
+
+
+def test_brackets_of_a_sketch_hold_the_rank(spark, monkeypatch):
+    """Very many values: two scans, and no narrowing of the rows."""
+
+    def never(*args, **kwargs):
+        raise AssertionError("the rows were narrowed")
+
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame({"k": np.repeat(["a", "b", None], 40_000), "x": np.r_[rng.normal(size=80_000), np.full(40_000, 5.0)]})
+    frame.loc[::17, "x"] = np.nan
+    df = spark.createDataFrame(frame, "k string, x double")
+    start = quantiles.start_state
+    monkeypatch.setattr(quantiles, "start_state", lambda sizes, p, counted=False: start(sizes, p, counted) if counted else never())
+    got = percentile_of_large_keys(df, ["k"], "x", 0.5, "q")
+    wanted = frame.groupby("k", dropna=False)["x"].median()
+    assert {r.k: r.q for r in got.collect()} == {None if k is None or k != k else k: v for k, v in wanted.items()}
+
+
+@pytest.mark.parametrize("limit", [50, 10**6])
+def test_a_missed_bracket_is_narrowed_over_the_rows(spark, monkeypatch, limit):
+    # A bracket without width misses the neighbour of every rank between two values.
+    monkeypatch.setattr(quantiles, "MARGIN", 0.0)
+    rng = np.random.default_rng(4)
+    values = rng.normal(size=(5, 1000))
+    rows = [(k, float(x)) for k, some in enumerate(values) for x in some] + [(9, None)]
+    got = percentile_of_large_keys(spark.createDataFrame(rows, "k int, x double"), ["k"], "x", 0.5, "q", max_group_rows=limit)
+    found = {r.k: r.q for r in got.collect()}
+    assert found.pop(9) is None
+    assert found == {k: pytest.approx(np.median(some), rel=1e-15) for k, some in enumerate(values)}

@@ -111,6 +111,11 @@ def require_complete_sets(images: DataFrame) -> DataFrame:
     return images
 
 
+def set_order() -> list[Column]:
+    """The order of image sets: plate, well and site."""
+    return [column(c).asc_nulls_last() for c in SITE_KEY]
+
+
 def chunked_sets(sets: DataFrame, size: int) -> DataFrame:
     """Number the image sets of each plate in chunks of ``size``, by well and site."""
     return with_chunk_number(sets, size, [PLATE], [WELL, SITE])

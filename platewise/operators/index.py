@@ -48,8 +48,13 @@ def site_order() -> list[Column]:
     return [column(WELL).asc_nulls_last(), number.asc_nulls_last(), column(SITE).asc_nulls_last()]
 
 
+def index_order() -> list[Column]:
+    """Plate, well and site; images of one site by their paths, so the order is one."""
+    return [column(PLATE).asc_nulls_last(), *site_order(), *[column(c).asc_nulls_last() for c in INDEX_CHANNELS]]
+
+
 def order_index(index: DataFrame) -> DataFrame:
-    return index.orderBy(column(PLATE).asc_nulls_last(), *site_order())
+    return index.orderBy(*index_order())
 
 
 def single_plate(image_table: DataFrame, fallback: str | None = None) -> str | None:
@@ -65,6 +70,21 @@ def single_plate(image_table: DataFrame, fallback: str | None = None) -> str | N
     return first
 
 
+def plates_of_tables(image_tables: DataFrame, table_col: str) -> DataFrame:
+    """Of each image table its one plate, null where it names none or several.
+
+    ``plates`` counts the names; ``unnamed`` says whether some rows have none beside them.
+    """
+    plate = F.trim(column(PLATE).cast("string"))
+    found = image_tables.groupBy(column(table_col)).agg(
+        F.min(plate).alias("__first"),
+        F.count_distinct(plate).alias("plates"),
+        (F.count_if(plate.isNull()) > 0).alias("unnamed"),
+    )
+    single = F.when((F.col("plates") == 1) & ~F.col("unnamed"), F.col("__first"))
+    return found.select(column(table_col), single.alias("plate"), "plates", "unnamed")
+
+
 def clean_locations(
     locations: DataFrame, as_int: bool = True, keep: Sequence[str] = ()
 ) -> DataFrame:

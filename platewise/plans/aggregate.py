@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from platewise.operators.aggregate import aggregate_median
-from platewise.sinks.tables import write_parquet
+from platewise.operators.aggregate import aggregate_median, strata_order
+from platewise.sinks.ordered import write_in_order
 
 
 def aggregate(
@@ -18,5 +18,9 @@ def aggregate(
     strata: Sequence[str],
     features: Sequence[str] | None = None,
 ) -> str:
-    """Write the exact medians of a single-cell parquet table per group."""
-    return write_parquet(aggregate_median(spark.read.parquet(source), strata, features), dest)
+    """Write the exact medians of a single-cell parquet table per group, ordered by the strata.
+
+    ``sinks.ordered.read_in_order`` gives the rows their place in that order.
+    """
+    medians = aggregate_median(spark.read.parquet(source), strata, features, ordered=False)
+    return write_in_order(medians, dest, strata_order(strata))

@@ -15,13 +15,13 @@ from platewise.operators.index import (
     MAP_WELL,
     build_index,
     clean_locations,
+    index_order,
     join_platemap,
-    order_index,
     single_plate,
     unmatched_wells,
 )
 from platewise.session import materialize
-from platewise.sinks.tables import write_csv, write_locations
+from platewise.sinks.tables import write_csv_file, write_locations
 from platewise.sources.tables import read_image_table, read_locations, read_platemap
 
 
@@ -47,7 +47,7 @@ def write_plate_index(
     well_col: str = MAP_WELL,
     cols: Sequence[str] | None = MAP_ANNOTATIONS,
 ) -> PlateIndex:
-    """Write ``metadata/index`` and ``locations`` of one plate under ``dest``.
+    """Write ``metadata/index.csv`` and ``locations/<plate>`` of one plate under ``dest``.
 
     ``plate`` is used when the image table has no plate column; without it the plate is
     named by its folder: the one that holds the folder with the image tables.
@@ -61,7 +61,7 @@ def write_plate_index(
     annotations = read_platemap(spark, platemap)
     missing = unmatched_wells(index, annotations, plate_col, well_col)
     annotated = join_platemap(index, annotations, plate_col, well_col, cols)
-    write_csv(order_index(annotated), f"{dest}/metadata/index")
+    write_csv_file(annotated, f"{dest}/metadata", "index.csv", index_order())
 
     nuclei_rows = 0
     if locations is not None:

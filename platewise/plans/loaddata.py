@@ -11,9 +11,10 @@ from platewise.operators.images import (
     parse_images,
     require_complete_sets,
     require_images,
+    set_order,
 )
 from platewise.session import materialize
-from platewise.sinks.tables import write_chunks, write_csv
+from platewise.sinks.tables import write_chunks, write_csv_file
 from platewise.sources.listing import list_files
 
 
@@ -42,7 +43,7 @@ def write_image_sets(
     images_subdir: str = "images",
     illum_subdir: str = "illum",
 ) -> ImageSetFiles:
-    """Write a plate's image sets under ``output`` and, if asked, its chunks.
+    """Write a plate's image sets as ``load_data.csv`` under ``output`` and, if asked, its chunks.
 
     The plate is called like its folder unless named.
     """
@@ -54,6 +55,6 @@ def write_image_sets(
         ),
         "image-sets",
     )
-    write_csv(sets.orderBy("Metadata_Well", "Metadata_Site"), f"{output}/load_data")
-    chunks = write_chunks(sets, f"{output}/chunks", chunk_size) if chunk_size > 0 else 0
+    write_csv_file(sets, output, "load_data.csv", set_order())
+    chunks = write_chunks(sets, f"{output}/chunks", chunk_size, by_plate=False) if chunk_size > 0 else 0
     return ImageSetFiles(plate, sets.count(), chunks)

@@ -1,11 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from platewise.operators.index import NUCLEI_X, NUCLEI_Y
 from platewise.plans.aggregate import aggregate
 from platewise.plans.report import build_report
 from platewise.session import materialize, scratch_root
-from platewise.sinks import tables as K
 
 
 def test_scratch_folder_is_the_configured_one(spark):
@@ -15,22 +13,6 @@ def test_scratch_folder_is_the_configured_one(spark):
     assert df.columns == ["id", "odd name.x"]
 
 
-def test_a_large_site_is_written_in_one_file_or_as_asked(spark, tmp_path):
-    rows = spark.range(1000).select(
-        F.lit("p").alias("Metadata_Plate"),
-        F.lit("A01").alias("Metadata_Well"),
-        F.when(F.col("id") < 950, "1").otherwise("2").alias("Metadata_Site"),
-        F.col("id").alias(NUCLEI_X),
-        F.col("id").alias(NUCLEI_Y),
-    )
-    K.write_locations(rows, str(tmp_path / "loc"))
-    assert len(list(tmp_path.glob("loc/*/*/Metadata_Site=1/*.csv"))) == 1
-    K.write_locations(rows, str(tmp_path / "loc"), max_file_rows=100)
-    assert len(list(tmp_path.glob("loc/*/*/Metadata_Site=1/*.csv"))) > 1
-    assert len(list(tmp_path.glob("loc/*/*/Metadata_Site=2/*.csv"))) == 1
-    assert spark.read.option("header", "true").csv(str(tmp_path / "loc")).count() == 1000
-
-
 def test_aggregate_file_to_file(spark, tmp_path):
     spark.createDataFrame([("b", 1.0), ("a", 2.0), ("a", 4.0)], "w string, Cells_x double").write.parquet(str(tmp_path / "in"))
     aggregate(spark, str(tmp_path / "in"), str(tmp_path / "deep" / "out"), strata=["w"])

@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from platewise.operators.embedding import embed
+from platewise.operators.embedding import embed, leading_vectors
 from platewise.operators.features import (
     InsufficientData,
     clean_features,
@@ -70,3 +70,19 @@ def test_embedding_guards(spark, cohort):
         embed(feature_table(spark.createDataFrame(frame.head(4)), ["Metadata_id"]))
     with pytest.raises(InsufficientData, match="features"):
         embed(feature_table(spark.createDataFrame(frame), ["Metadata_id"], ["feature_1"]))
+
+
+@pytest.mark.parametrize("rows,width", [(200, 5000), (300, 64), (50, 2), (60, 3), (4000, 150)])
+def test_leading_vectors_are_those_of_a_singular_value_decomposition(rows, width):
+    rng = np.random.default_rng(width)
+    x = rng.normal(size=(rows, width)) + 0.3 * np.outer(rng.normal(size=rows), rng.normal(size=width))
+    x -= x.mean(axis=0)
+    found = leading_vectors(lambda q: x.T @ (x @ q) / rows, width)
+    wanted = np.linalg.svd(x, full_matrices=False)[2][:2]
+    assert np.allclose(np.abs(wanted @ found), np.eye(2), atol=1e-9)
+
+
+def test_leading_vectors_of_a_single_direction():
+    x = np.outer(np.arange(9.0) - 4, [1.0, 2.0, 0.0])
+    found = leading_vectors(lambda q: x.T @ (x @ q), 3)
+    assert np.allclose(np.abs(found[:, 0]), np.array([1, 2, 0]) / np.sqrt(5))

@@ -26,6 +26,8 @@ from platewise.session import materialize
 # Rows and columns of 96-, 384- and 1536-well plates.
 STANDARD_PLATES = ((8, 12), (16, 24), (32, 48))
 COLOUR_PERCENTILE = 0.99
+# Share of a plate's positions that may lie beyond its shape before the shape grows.
+OUTLYING = 0.02
 
 
 def cells_per_well(cells: DataFrame, plate_col: str | None = None) -> DataFrame:
@@ -124,6 +126,65 @@ def plate_grid(values: DataFrame) -> DataFrame:
     return join_null_safe(positions, settled, ["plate", "row", "col"], "left")
 
 
+def plate_shapes(parsed: DataFrame, outlying: float = OUTLYING) -> DataFrame:
+    """The shape of every plate by itself: ``plate``, ``n_rows``, ``n_cols``, ``positions``, ``beyond``.
+
+    The smallest standard plate that holds all but the share ``outlying`` of the plate's
+    different positions, so a few stray labels do not size it; ``beyond`` counts those
+    outside. Where more lie beyond the largest standard plate, the shape fits them all.
+    A plate counts its positions per standard format, a handful of numbers whatever the
+    number of wells. Plates without a readable well have null sizes.
+    """
+    placed = parsed.where(_on_plate()).groupBy("plate", "row", "col").agg(F.count("*").alias("__wells"))
+
+    def outside(n_rows: int, n_cols: int) -> Column:
+        return F.count_if((F.col("row") >= n_rows) | (F.col("col") >= n_cols))
+
+    counts = placed.groupBy("plate").agg(
+        F.count("*").alias("positions"),
+        (F.max("row") + 1).alias("__rows"),
+        (F.max("col") + 1).alias("__cols"),
+        *[outside(*shape).alias(f"__outside_{i}") for i, shape in enumerate(STANDARD_PLATES)],
+    )
+    fits = F.struct(F.col("__rows").alias("n_rows"), F.col("__cols").alias("n_cols"), F.lit(0).cast("long").alias("beyond"))
+    for i, (n_rows, n_cols) in reversed(list(enumerate(STANDARD_PLATES))):
+        left_out = F.col(f"__outside_{i}")
+        standard = F.struct(
+            F.lit(n_rows).cast("long").alias("n_rows"), F.lit(n_cols).cast("long").alias("n_cols"), left_out.alias("beyond")
+        )
+        fits = F.when(left_out <= F.floor(F.lit(outlying) * F.col("positions")), standard).otherwise(fits)
+    shaped = counts.withColumn("__shape", fits).select("plate", "__shape.*", "positions")
+    every = parsed.select("plate").distinct()
+    joined = join_null_safe(every, shaped, ["plate"], "left")
+    return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("positions", "beyond")})
+
+
+def outlying_wells(parsed: DataFrame, shapes: DataFrame) -> DataFrame:
+    """Labels that have no place on their plate, each once with its ``reason``: no well, or beyond the plate."""
+    labels = parsed.groupBy("plate", "well").agg(F.first("row").alias("row"), F.first("col").alias("col"))
+    sized = join_null_safe(labels, shapes.select("plate", "n_rows", "n_cols"), ["plate"], "left")
+    away = (F.col("row") >= F.col("n_rows")) | (F.col("col") >= F.col("n_cols"))
+    reason = F.when(~_on_plate(), "no well").when(away, "beyond the plate")
+    return sized.withColumn("reason", reason).where("reason IS NOT NULL").select("plate", "well", "reason")
+
+
+def plate_grids(values: DataFrame, outlying: float = OUTLYING) -> DataFrame:
+    """``plate_grid`` with every plate in its own shape; what lies beyond it is left to ``outlying_wells``.
+
+    Plates without a readable well have no grid.
+    """
+    parsed = materialize(parse_wells(values.select("plate", "well", "value")), "well-values")
+    shapes = materialize(plate_shapes(parsed, outlying), "plate-shapes")
+
+    def upto(size: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(size) - 1))
+
+    sized = shapes.where("n_rows IS NOT NULL")
+    positions = sized.withColumn("row", upto("n_rows")).withColumn("col", upto("n_cols")).select("plate", "row", "col")
+    wells = parsed.where(_on_plate()).groupBy("plate", "row", "col").agg(F.max_by("value", "well").alias("value"))
+    return join_null_safe(positions, wells, ["plate", "row", "col"], "left")
+
+
 def colour_maximum(values: DataFrame, *, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """One row: 99th percentile over all wells of all plates, 1 where that is 0."""
     pooled = parse_wells(values).select(

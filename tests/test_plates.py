@@ -84,3 +84,39 @@ def test_name_functions(spark):
     df = spark.createDataFrame([("runA.clean.parquet",), ("runA.parquet",), ("a",)], "n string")
     got = df.select(plate_from_file_name(F.col("n")), replace_extension(F.col("n"), ".tiff")).collect()
     assert [tuple(r) for r in got] == [("runA", "runA.clean.tiff"), ("runA", "runA.tiff"), ("a", "a.tiff")]
+
+
+def test_every_plate_has_its_own_shape_and_lists_what_lies_beyond(spark):
+    wells = [("p96", f"{r}{c:02d}") for r in "ABCDEFGH" for c in range(1, 13)] + [("p96", "P24")]
+    wells += [("p384", f"{r}{c:02d}") for r in "ABCDEFGHIJKLMNOP" for c in range(1, 25)] + [("p384", "bad"), ("p384", None)]
+    wells += [("p384", "ZZ99"), ("p384", "AF48")]
+    wells += [("p1536", f"AF{c:02d}") for c in range(1, 49)]
+    wells += [("big", f"AM{c}") for c in range(1, 61)]
+    wells += [("few", "A01"), ("few", "P24"), ("none", "x"), (None, "B02")]
+    values = spark.createDataFrame([(p, w, i) for i, (p, w) in enumerate(wells)], "plate string, well string, value long")
+    parsed = P.parse_wells(values)
+    shapes = P.plate_shapes(parsed)
+    found = {r.plate: (r.n_rows, r.n_cols, r.beyond, r.positions) for r in shapes.collect()}
+    assert found == {
+        "p96": (8, 12, 1, 97),
+        "p384": (16, 24, 2, 386),
+        "p1536": (32, 48, 0, 48),
+        "big": (39, 60, 0, 60),
+        "few": (16, 24, 0, 2),
+        "none": (None, None, 0, 0),
+        None: (8, 12, 0, 1),
+    }
+    out = {(r.plate, r.well): r.reason for r in P.outlying_wells(parsed, shapes).collect()}
+    beyond, none = "beyond the plate", "no well"
+    assert out == {
+        ("p96", "P24"): beyond,
+        ("p384", "ZZ99"): beyond,
+        ("p384", "AF48"): beyond,
+        ("p384", "bad"): none,
+        ("p384", None): none,
+        ("none", "x"): none,
+    }
+    grids = P.plate_grids(values)
+    sizes = {r.plate: r["count"] for r in grids.groupBy("plate").count().collect()}
+    assert sizes == {"p96": 96, "p384": 384, "p1536": 1536, "big": 2340, "few": 384, None: 96}
+    assert grids.filter("value IS NOT NULL").count() == 96 + 384 + 48 + 60 + 2 + 1

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Words remembered by a Python worker, and bytes of text looked at or given to the library at once.
-WORDS, BLOCK_BYTES, LIBRARY_BYTES = 1_000_000, 8 << 20, 1 << 18
+WORDS, BLOCK_BYTES, LIBRARY_BYTES = 600_000, 4 << 20, 1 << 18
 
 
 def _classes() -> np.ndarray:

@@ -175,6 +175,9 @@ class IdPlanesWriter(DataSourceArrowWriter):
     def __init__(self, options: dict, overwrite: bool):
         self.path, self.overwrite = options["path"], overwrite
         self.kind, self.level = options.get("planes", "bit"), int(options.get("level", "3"))
+        # Spark gives options their names in lower case.
+        given = {name.lower(): value for name, value in options.items()}
+        self.tokenizer, self.end_id = given.get("tokenizer"), given.get("endid")
         if self.kind not in ("bit", "byte"):
             raise ValueError("planes are of bits or bytes")
         store, folder = _place(self.path)
@@ -192,21 +195,34 @@ class IdPlanesWriter(DataSourceArrowWriter):
             out.close()
             files.append((name, out.total, len(out.docs)))
 
-        for batch in batches:
-            ids = batch.column("ids")
-            for row, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-                if out is None:
-                    name = f"part-{partition:06d}-{len(files):04d}-{attempt}.ids"
-                    out = IdFile(store.open_output_stream(f"{folder}/{name}", compression=None), self.kind, self.level)
-                held = ids[row].as_buffer()
-                out.add(doc_id, np.frombuffer(held, dtype="<u4") if held else np.zeros(0, dtype="<u4"))
-                if out.total >= FILE_IDS or len(out.docs) >= FILE_DOCS:
-                    finish()
-                    out = None
+        for doc_id, ids in self._documents(batches):
+            if out is None:
+                name = f"part-{partition:06d}-{len(files):04d}-{attempt}.ids"
+                out = IdFile(store.open_output_stream(f"{folder}/{name}", compression=None), self.kind, self.level)
+            out.add(doc_id, ids)
+            if out.total >= FILE_IDS or len(out.docs) >= FILE_DOCS:
+                finish()
+                out = None
         if out is not None:
             finish()
         return Written(partition, files)
 
+    def _documents(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
+        """Ids of each row: those of the column ``ids``, or of the column ``text``, encoded here."""
+        for batch in batches:
+            doc_ids = batch.column("doc_id").to_pylist()
+            if self.tokenizer is None:
+                for doc_id, held in zip(doc_ids, batch.column("ids")):
+                    raw = held.as_buffer()
+                    yield doc_id, np.frombuffer(raw, dtype="<u4") if raw else np.zeros(0, dtype="<u4")
+                continue
+            end = np.array([] if self.end_id is None else [int(self.end_id)], dtype="<u4")
+            encoder, texts = word_encoder(self.tokenizer), batch.column("text")
+            for begin, stop in byte_blocks(texts):
+                ids, places = encoder.block(texts[begin:stop])
+                for row in range(stop - begin):
+                    yield doc_ids[begin + row], np.append(ids[places[row] : places[row + 1]], end)
+
     def commit(self, messages: list[Written | None]) -> None:
         """Number the files by task and list them with the ids before each; the manifest appears at once."""
         store, folder = _place(self.path)
@@ -269,7 +285,10 @@ class IdPlanesReader(DataSourceReader):
 
 
 class IdPlanes(DataSource):
-    """``spark.read`` and ``df.write`` of the format ``id_planes``."""
+    """``spark.read`` and ``df.write`` of the format ``id_planes``.
+
+    What is written has ``doc_id`` and ``ids``, or ``text`` with the option ``tokenizer``.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -339,9 +358,12 @@ def write_token_files(
     own, extra columns are not read, and an empty table gives a manifest of no files.
     """
     docs.sparkSession.dataSource.register(IdPlanes)
-    encoded = encode_ids(by_document(docs, id_col, text_col), tokenizer, end_id=end_id)
+    options = {"planes": planes, "level": str(level), "tokenizer": tokenizer}
+    if end_id is not None:
+        options["endId"] = str(end_id)
     mode = "overwrite" if overwrite else "append"
-    encoded.write.format("id_planes").mode(mode).options(planes=planes, level=str(level)).save(path)
+    # The writer encodes: ids do not travel between two Python workers.
+    by_document(docs, id_col, text_col).write.format("id_planes").mode(mode).options(**options).save(path)
     return path
 
 

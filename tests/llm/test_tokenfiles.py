@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from platewise.llm import bytepieces, tokenfiles
 from platewise.llm.bytepieces import WordEncoder, byte_blocks
-from platewise.llm.tokenfiles import IdFile, IdFileReader, from_planes, read_token_files, to_planes, write_token_files
+from platewise.llm.tokenfiles import IdFile, IdFileReader, IdPlanes, by_document, encode_ids, from_planes, read_token_files, to_planes, write_token_files
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string"
@@ -119,6 +119,16 @@ def test_repeated_rows_share_an_id_and_empty_table(spark, library, tmp_path):
     assert read_token_files(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_ids_of_a_frame_are_written_as_they_are(spark, tmp_path):
+    docs = spark.createDataFrame([(2, "some words"), (1, None), (3, "more, words 12")], SCHEMA)
+    write_token_files(docs, str(tmp_path / "texts"), TOKENIZER)
+    spark.dataSource.register(IdPlanes)
+    encoded = encode_ids(by_document(docs), TOKENIZER)
+    encoded.write.format("id_planes").mode("append").save(str(tmp_path / "ids"))
+    found = [[tuple(r) for r in read_token_files(spark, str(tmp_path / n)).orderBy("start").collect()] for n in ("texts", "ids")]
+    assert found[0] == found[1] and len(found[0]) == 3
+
+
 def test_a_failed_job_leaves_no_manifest(spark, tmp_path):
     path = str(tmp_path / "failed")
     docs = spark.range(50).select(

@@ -25,20 +25,51 @@ DATA_ROWS, QUERY_ROWS, GROUP_QUERIES = 4096, 256, 8192
 LEAF_ROWS = 64
 # A child of a cover tree covers this part of its parent's radius.
 SHRINK = 0.7
-# Components beyond this may not add up exactly.
-LARGEST = 1 << 22
+# Whole numbers up to this are exact as doubles, and so are products that stay below it.
+EXACT = 1 << 53
 
 
 def scaled(vector: Column, scale: int = SCALE) -> Column:
-    """``floor(scale * x)`` of each component; null for vectors with null or non-finite ones."""
-    wide = F.transform(vector, lambda x: x.cast("double"))
+    """``floor(scale * x)`` of each component, a whole number as double; null for vectors with
+    null or non-finite ones, or with one that ``scale`` makes infinite."""
+    wide = F.transform(vector, lambda x: x.cast("double") * F.lit(float(scale)))
     bad = F.exists(
         wide, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     )
-    whole = F.transform(wide, lambda x: F.floor(x * F.lit(float(scale))).cast("long"))
+    # Doubles from 2 ** 53 on are whole numbers already.
+    whole = F.transform(wide, lambda x: F.when(F.abs(x) < EXACT, F.floor(x).cast("double")).otherwise(x))
     return F.when(vector.isNotNull() & (F.size(vector) > 0) & ~bad, whole)
 
 
+def exact_scores(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers: doubles where they are exact, else Python's integers."""
+    most = float(np.abs(queries).max(initial=0)) * float(np.abs(data).max(initial=0)) * queries.shape[1]
+    if most < EXACT:
+        return queries @ data.T
+    left, right = ([[int(x) for x in row] for row in m.tolist()] for m in (queries, data))
+    return np.array(left, dtype=object) @ np.array(right, dtype=object).T
+
+
+def _at_most(score: int | float) -> float:
+    """A double that is not above the score."""
+    try:
+        found = float(score)
+    except OverflowError:
+        return float(np.finfo(np.float64).max) if score > 0 else -math.inf
+    return math.nextafter(found, -math.inf) if found > score else found
+
+
+def _score_key(score: int) -> tuple[int | None, int, str | None]:
+    """A score as a long, where one holds it, and what orders those that none holds."""
+    if -(1 << 63) <= score < 1 << 63:
+        return int(score), 0, None
+    digits = str(abs(score))
+    if score > 0:
+        return None, 1, f"{len(digits):06d}{digits}"
+    turned = digits.translate(str.maketrans("0123456789", "9876543210"))
+    return None, -1, f"{999999 - len(digits):06d}{turned}"
+
+
 @dataclass
 class Node:
     """Points of a cover tree: all lie within ``radius`` of ``centre``."""
@@ -66,7 +97,8 @@ def cover_tree(points: np.ndarray, rows: np.ndarray | None = None, first: int |
     start = rows[0] if first is None else first
     distance = np.sqrt(np.maximum(((own - points[start]) ** 2).sum(axis=1), 0))
     node = Node(points[start], float(distance.max()), rows)
-    if len(rows) <= LEAF_ROWS or node.radius == 0:
+    # Distances that overflow tell nothing apart.
+    if len(rows) <= LEAF_ROWS or node.radius == 0 or not math.isfinite(node.radius):
         return node
     scale, centres, nearest = SHRINK * node.radius, [start], np.zeros(len(rows), dtype=np.int64)
     while distance.max() > scale:
@@ -85,7 +117,8 @@ def cover_tree(points: np.ndarray, rows: np.ndarray | None = None, first: int |
 def bound(a: Node, b: Node) -> float:
     """No inner product of a point of one node with a point of the other is larger."""
     most = float(a.centre @ b.centre) + a.norm * b.radius + b.norm * a.radius + a.radius * b.radius
-    return most + 1e-9 * abs(most) + 1e-6
+    most += 1e-9 * abs(most) + 1e-6
+    return math.inf if math.isnan(most) else most
 
 
 class Best:
@@ -106,7 +139,7 @@ class Best:
             elif item > heap[0]:
                 heapq.heapreplace(heap, item)
         if len(heap) == self.k:
-            self.floors[query] = max(self.floors[query], heap[0][0])
+            self.floors[query] = max(self.floors[query], _at_most(heap[0][0]))
 
 
 def dual_search(
@@ -120,11 +153,13 @@ def dual_search(
         if -most < best.floors[q.rows].min():
             continue
         if not q.children and not d.children:
-            scores = query_points[q.rows] @ data_points[d.rows].T
+            scores = exact_scores(query_points[q.rows], data_points[d.rows])
             good = scores >= best.floors[q.rows][:, None]
             good &= data_ids[d.rows][None, :] != best.ids[q.rows][:, None]
             for i in np.nonzero(good.any(axis=1))[0]:
-                best.offer(int(q.rows[i]), scores[i, good[i]].astype(np.int64), data_ids[d.rows[good[i]]])
+                found = scores[i, good[i]]
+                found = found if found.dtype == object else found.astype(np.int64)
+                best.offer(int(q.rows[i]), found, data_ids[d.rows[good[i]]])
             continue
         split_query = q.children and (not d.children or q.radius >= d.radius)
         pairs = [(c, d) for c in q.children] if split_query else [(q, c) for c in d.children]
@@ -153,13 +188,19 @@ def _block(points: np.ndarray, ids: np.ndarray) -> dict:
     centre = points.mean(axis=0)
     return {
         "ids": ids.astype(np.int64).tobytes(),
-        "points": points.astype(np.int32).tobytes(),
+        # Four bytes a component where they do.
+        "points": points.astype(np.int32 if np.abs(points).max() < 1 << 31 else np.float64).tobytes(),
         "centre": centre.tolist(),
         "norm": float(np.linalg.norm(centre)),
         "radius": float(np.sqrt(((points - centre) ** 2).sum(axis=1).max())),
     }
 
 
+def _points(held: bytes, rows: int, dim: int) -> np.ndarray:
+    kind = np.int32 if len(held) == 4 * rows * dim else np.float64
+    return np.frombuffer(held, dtype=kind).reshape(rows, dim).astype(np.float64)
+
+
 _BLOCK = "block long, dim int, ids binary, points binary, centre array<double>, norm double, radius double"
 
 
@@ -187,7 +228,8 @@ def top_k(
     Rows without id, with a null vector or a null or non-finite component take no
     part; nor do empty vectors. Only vectors of one length are compared. Of rows
     with one id each is a candidate, but a query is answered once, for its smallest
-    vector. Components beyond ``LARGEST`` raise. No queries or no rows give no rows.
+    vector. Large components are multiplied as whole numbers; a score that no long holds
+    keeps its rank and is null. No queries or no rows give no rows.
     """
     vec_id = F.col(f"`{id_col}`").cast("long")
     rows = vectors.select(vec_id.alias("vec_id"), scaled(F.col(f"`{vector_col}`"), scale).alias("v"))
@@ -204,8 +246,6 @@ def top_k(
         cells = []
         for vector in batch.column(2).to_pylist():
             point = np.asarray(vector, dtype=np.float64)
-            if np.abs(point).max() > LARGEST:
-                raise ValueError(f"a component is beyond {LARGEST}")
             if (found := samples.get(len(point))) is None:
                 cells.append(0)
             else:
@@ -215,7 +255,7 @@ def top_k(
             "dim": [len(v) for v in batch.column(2)], "cell": cells,
         }
 
-    schema = "vec_id long, asks boolean, v array<long>, dim int, cell int"
+    schema = "vec_id long, asks boolean, v array<double>, dim int, cell int"
     placed = materialize(map_arrow(rows.select("vec_id", "asks", "v"), place, schema), "vectors")
     data = _pack(placed, DATA_ROWS, k, {})
     asking = placed.filter("asks").groupBy("vec_id").agg(F.min(F.struct("dim", "v", "cell")).alias("r"))
@@ -244,29 +284,32 @@ def top_k(
     )
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out = {"query_id": [], "vec_id": [], "score": [], "beyond": [], "order": []}
         if len(left) and len(right):
             dim = int(left["dim"].iloc[0])
             ids = np.frombuffer(left["ids"].iloc[0], dtype=np.int64)
-            points = np.frombuffer(left["points"].iloc[0], dtype=np.int32).reshape(-1, dim).astype(np.float64)
-            asked = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in right["ids"]])
-            asking = [np.frombuffer(b, dtype=np.int32).reshape(-1, dim) for b in right["points"]]
-            asking = np.concatenate(asking).astype(np.float64)
+            points = _points(left["points"].iloc[0], len(ids), dim)
+            names = [np.frombuffer(b, dtype=np.int64) for b in right["ids"]]
+            asked = np.concatenate(names)
+            asking = np.concatenate([_points(b, len(n), dim) for b, n in zip(right["points"], names)])
             known = np.concatenate([np.frombuffer(b, dtype=np.float64) for b in right["floors"]])
             best = Best(asked, known, k)
             dual_search(cover_tree(asking), cover_tree(points), asking, points, ids, best)
             for i, heap in enumerate(best.found):
                 out["query_id"] += [int(asked[i])] * len(heap)
                 out["vec_id"] += [-id_ for _, id_ in heap]
-                out["score"] += [score for score, _ in heap]
-        return pd.DataFrame(out)
+                for score, _ in heap:
+                    for name, value in zip(("score", "beyond", "order"), _score_key(int(score))):
+                        out[name].append(value)
+        kept = {"score": pd.array(out["score"], dtype="Int64"), "order": pd.Series(out["order"], dtype=object)}
+        return pd.DataFrame(out | kept)
 
     found = (
         left.groupBy("l_block", "l_part")
         .cogroup(right.groupBy("r_block", "r_part"))
-        .applyInPandas(search, "query_id long, vec_id long, score long")
+        .applyInPandas(search, "query_id long, vec_id long, score long, beyond int, order string")
     )
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = W.partitionBy("query_id").orderBy(F.desc("beyond"), F.desc("order"), F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
@@ -288,13 +331,18 @@ def _pack(
         pdf = pdf.sort_values("vec_id", kind="stable")
         ids, points = pdf["vec_id"].to_numpy(), _stack(pdf["v"])
         block = {
-            "block": hash((int(pdf["dim"].iloc[0]), int(pdf["cell"].iloc[0]), int(pdf["part"].iloc[0]))),
+            # A number of its own: fewer than 64 cells, and parts in the lower half.
+            "block": int(pdf["dim"].iloc[0]) << 38 | int(pdf["cell"].iloc[0]) << 32 | int(pdf["part"].iloc[0]),
             "dim": int(pdf["dim"].iloc[0]),
             **_block(points, ids),
         }
         if samples is not None and int(pdf["dim"].iloc[0]) in samples:
             known_ids, known = samples[int(pdf["dim"].iloc[0])]
             scores = points @ known.T
+            # A floor is below the true score whatever the rounding.
+            sizes = np.linalg.norm(points, axis=1)[:, None] * np.linalg.norm(known, axis=1)[None, :]
+            scores = np.where(sizes * points.shape[1] < EXACT, scores, scores - sizes * points.shape[1] * 2.0**-50)
+            scores[np.isnan(scores)] = -np.inf
             scores[ids[:, None] == known_ids[None, :]] = -np.inf
             floors = np.full(len(ids), -np.inf)
             if known.shape[0] > k:

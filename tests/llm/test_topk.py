@@ -94,3 +94,28 @@ def test_pairs_of_nodes_are_pruned(monkeypatch):
         order = np.lexsort((np.arange(len(points)), -scores[q]))[:10]
         assert sorted(heap, reverse=True) == [(int(scores[q, i]), -int(i)) for i in order]
     assert sum(seen) < scores.size / 4
+
+
+def test_components_of_any_size_are_multiplied_exactly(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(clustered(400, 5, 2) * rng.choice([1, 1e4, 1e7], size=(400, 1)))]
+    # Two that differ in the last place only, and scores that no long holds, of either sign.
+    rows += [(1000, [3e9 + 1, 7.0, 0.0, 0.0, 1.0]), (1001, [3e9 + 1, 7.0, 0.0, 0.0, 2.0]), (1100, [1e9, 0.0, 0.0, 0.0, 1.0])]
+    rows += [(1200, [1e25, -3.0, 2.0, 0.0, 0.0]), (1201, [-2e25, 1.0, 0.0, 0.0, 0.0]), (1300, [1e25, -3.0, 2.0, 1.0, 0.0])]
+    rows += [(1400, [1e300, 0.0, 0.0, 0.0, 0.0]), (1401, [1e306, 0.0, 0.0, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows if i != 1401}
+    got = {}
+    for r in sorted(top_k(frame).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert set(got) == {i for i in whole if i % 100 == 0}
+    for query, found in got.items():
+        scored = sorted((-sum(a * b for a, b in zip(whole[query], v)), i) for i, v in whole.items() if i != query)[:10]
+        wanted = [(i, -s if -(2**63) <= -s < 2**63 else None) for s, i in scored]
+        assert found == wanted, query
+
+
+def test_keys_of_scores_beyond_a_long_keep_their_order():
+    scores = [-(10**90), -(10**40) - 1, -(10**40), -(2**63) - 1, -(2**63), -5, 0, 5, 2**63 - 1, 2**63, 10**40, 10**40 + 1, 10**90]
+    keys = [topk._score_key(s) for s in scores]
+    assert keys == sorted(keys, key=lambda k: (k[1], k[2] or "", k[0] or 0))

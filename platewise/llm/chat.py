@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from platewise.operators.ranking import with_row_number
 from platewise.session import materialize
 
+# Roles of turns that are neither calls nor results.
+MESSAGE_ROLES = ("system",)
 # What a field of a tool's schema may say.
 KEYWORDS = {"type", "required", "minimum", "maximum", "max_length"}
 _KINDS = {
@@ -106,13 +108,15 @@ def link_tool_calls(
     calls: DataFrame,
     results: DataFrame,
     schemas: Mapping[str, Mapping[str, Mapping[str, object]]],
+    messages: DataFrame | None = None,
 ) -> DataFrame:
-    """One row a call, and one for each identifier that only results name.
+    """One row a call, one for each identifier that only results name, and one a message.
 
     ``calls`` has ``conv_id``, ``call_id``, ``turn``, ``tool``, ``arguments`` (JSON text)
     and ``after`` (the call whose result it needs, or null); ``results`` has
-    ``conv_id``, ``call_id``, ``turn``, ``content``. Other columns are not read, so
-    their names do not matter.
+    ``conv_id``, ``call_id``, ``turn``, ``content``; ``messages``, the turns that are
+    neither, have ``conv_id``, ``turn``, ``role``, ``content``. Other columns are not
+    read, so their names do not matter.
 
     Columns: ``conv_id``, ``position`` (from 0, its place in the conversation: fewer
     calls to wait for first, then turn, identifier and text), ``call_id``, ``tool``,
@@ -125,7 +129,10 @@ def link_tool_calls(
     get no result. The earliest result of an identifier is linked. A call without
     identifier has no result (``no id``); one that names an unknown predecessor
     starts a chain (``unknown predecessor``); calls in a circle come last (``circle``).
-    Arguments that are no JSON stay out of the line. Empty tables give no rows.
+    Arguments that are no JSON stay out of the line. A message waits for no call, so its
+    depth is 0; its line is JSON of ``content`` and ``role``, and a role that is null
+    (``no role``) or none of ``MESSAGE_ROLES`` (``unknown role``) is a fault. Repeated
+    messages stay. Long texts are serialised whole. Empty tables give no rows.
     """
     fields = ("turn", "tool", "arguments", "after")
     calls = calls.select("conv_id", "call_id", *fields).distinct()
@@ -183,6 +190,21 @@ def link_tool_calls(
         F.concat_ws("; ", faults).alias("errors"),
         line.alias("line"),
     )
+    if messages is not None:
+        role = F.col("role").cast("string")
+        fault = F.when(role.isNull(), "no role").when(~role.isin(*MESSAGE_ROLES), "unknown role").otherwise("")
+        told = messages.select(
+            "conv_id",
+            F.lit(None).cast("string").alias("call_id"),
+            "turn",
+            F.lit(None).cast("string").alias("tool"),
+            F.lit(0).cast("long").alias("depth"),
+            F.lit(0).cast("long").alias("results"),
+            (fault == "").alias("valid"),
+            fault.alias("errors"),
+            F.to_json(F.struct(F.col("content").cast("string").alias("content"), role.alias("role"))).alias("line"),
+        )
+        formed = formed.unionByName(told)
     placed = with_row_number(formed, ["conv_id"], ["depth", "turn", "call_id", "line"], "position")
     return placed.select(
         "conv_id", F.col("position").cast("long").alias("position"), "call_id", "tool", "depth",

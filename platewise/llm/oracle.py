@@ -131,7 +131,12 @@ linked AS (
   SELECT conv_id, 'call_' || turn, turn + 1, NULL, NULL, 'no call', 1,
          '{"id":"call_' || turn || '","result":' || to_json(content) || '}'
   FROM results AS r
-  WHERE NOT EXISTS (SELECT 1 FROM calls AS c WHERE c.conv_id = r.conv_id AND c.turn = r.turn))
+  WHERE NOT EXISTS (SELECT 1 FROM calls AS c WHERE c.conv_id = r.conv_id AND c.turn = r.turn)
+  UNION ALL
+  SELECT conv_id, NULL, turn, NULL, 0,
+         CASE WHEN role IS NULL THEN 'no role' WHEN role <> 'system' THEN 'unknown role' ELSE '' END, 0,
+         '{' || concat_ws(',', '"content":' || to_json(text), '"role":' || to_json(role)) || '}'
+  FROM turns WHERE role IS NULL OR role NOT IN ('user', 'assistant'))
 SELECT conv_id,
        row_number() OVER (PARTITION BY conv_id ORDER BY depth NULLS LAST, turn, call_id, line) - 1 AS position,
        call_id, tool, depth, errors = '' AS valid, errors, results, line

@@ -101,7 +101,7 @@ def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
-    """User turns as calls, the assistant's next turn as the result."""
+    """User turns as calls, the assistant's next turn as the result, all other turns as messages."""
     turns = _table(spark, sf, "conversations")
     size = F.length("text")
     outline = F.coalesce(F.contains("text", F.lit("\n")), F.lit(False))
@@ -124,7 +124,9 @@ def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
         "turn",
         F.col("text").alias("content"),
     )
-    return link_tool_calls(calls, results, TOOLS)
+    role = F.coalesce(F.col("role"), F.lit(""))
+    messages = turns.filter(~role.isin("user", "assistant")).select("conv_id", "turn", "role", F.col("text").alias("content"))
+    return link_tool_calls(calls, results, TOOLS, messages)
 
 
 def op11_token_files(spark: SparkSession, sf: str) -> DataFrame:

@@ -92,6 +92,26 @@ def test_linking_order_and_faults(spark):
     assert '"result":"first"' in rows[1].line and "result" not in rows[0].line
 
 
+def test_every_other_turn_is_a_message(spark):
+    calls = spark.createDataFrame([call('{"a": 1}', call_id="c", turn=1)], CALLS)
+    results = spark.createDataFrame([(1, "c", 2, "done")], RESULTS)
+    told = [(1, 0, "system", "Be \"brief\"."), (1, 5, None, "who?"), (1, 6, "tool", None), (1, 0, "system", "Be \"brief\"."), (None, None, None, None)]
+    told += [(2, 0, "system", "x" * 1_000_000)]
+    messages = spark.createDataFrame([(*m, 1) for m in told], "conv_id long, turn long, role string, content string, depth int")
+    rows = link_tool_calls(calls, results, SCHEMAS, messages).orderBy("conv_id", "position").collect()
+    assert len(rows) == 1 + len(told)
+    brief = '{"content":"Be \\"brief\\".","role":"system"}'
+    assert [(r.conv_id, r.position, r.call_id, r.depth, r.errors, r.line) for r in rows if r.conv_id != 2] == [
+        (None, 0, None, 0, "no role", "{}"),
+        (1, 0, None, 0, "", brief),
+        (1, 1, None, 0, "", brief),
+        (1, 2, "c", 0, "", '{"arguments":{"a":1},"id":"c","result":"done","tool":"add"}'),
+        (1, 3, None, 0, "no role", '{"content":"who?"}'),
+        (1, 4, None, 0, "unknown role", '{"role":"tool"}'),
+    ]
+    assert len(rows[-1].line) > 1_000_000
+
+
 def test_depths_of_a_long_chain_and_a_hub(spark):
     chain = [(1, f"n{i}", f"n{i - 1}" if i else None) for i in range(70)]
     hub = [(2, f"h{i}", "h0" if i else None) for i in range(50)]

@@ -80,3 +80,55 @@ def test_profiles_take_the_plate_from_the_file_name(spark, tmp_path):
     assert got == {1: ("runA", None), 2: ("runB", 5)}
     with pytest.raises(FileNotFoundError):
         read_profiles(spark, [])
+
+
+def _parts(spark, folder, frames):
+    for name, (schema, rows) in frames.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(folder / name))
+
+
+def test_wider_numbers_are_one_scan_in_any_column_order(spark, tmp_path):
+    frames = {
+        "a": ("i int, x float, s string", [(1, 0.5, "p"), (None, None, None)]),
+        "b": ("s string, x double, i long", [("q", 2.25, 1 << 40)]),
+        "c": ("x float, s string, i short", [(1.5, "r", 7)]),
+    }
+    _parts(spark, tmp_path, frames)
+    got = read_parts(spark, str(tmp_path))
+    assert [f.dataType.simpleString() for f in got.schema] == ["bigint", "double", "string"]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(
+        map(repr, [(1, 0.5, "p"), (None, None, None), (1 << 40, 2.25, "q"), (7, 1.5, "r")])
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+
+
+def test_text_beside_numbers_times_and_nested_columns(spark, tmp_path):
+    import datetime as dt
+
+    day, moment = dt.date(2024, 2, 29), dt.datetime(2024, 3, 1, 12, 30)
+    frames = {
+        "a": ("k int, d date, v array<double>, m double", [(1, day, [1.0, None], 2.0)]),
+        "b": ("v array<double>, k string, d timestamp, m double", [([], "x1", moment, -1.5), (None, None, None, None)]),
+        "c": ("k long, m float, d date, v array<double>", [(1 << 40, 0.25, None, [3.0])]),
+    }
+    _parts(spark, tmp_path, frames)
+    got = {r.k: (r.d, r.v, r.m) for r in read_parts(spark, str(tmp_path)).collect()}
+    assert got == {
+        "1": (dt.datetime(2024, 2, 29), [1.0, None], 2.0),
+        "x1": (moment, [], -1.5),
+        None: (None, None, None),
+        str(1 << 40): (None, [3.0], 0.25),
+    }
+
+
+def test_profiles_of_a_folder_take_their_plate_from_the_file(spark, tmp_path):
+    import pandas as pd
+
+    pd.DataFrame({"a": [1, 2]}).to_parquet(tmp_path / "P1 odd+name.normalized.parquet")
+    pd.DataFrame({"a": ["x", None], "Metadata_Plate": ["in", None]}).to_parquet(tmp_path / "P2.parquet")
+    pd.DataFrame({"a": [3.5], "b": [True]}).to_parquet(tmp_path / "P3.parquet")
+    rows = [(r.a, r.Metadata_Plate, r.b) for r in read_profiles(spark, str(tmp_path)).collect()]
+    assert sorted(map(repr, rows)) == sorted(
+        map(repr, [("1", "P1 odd+name", None), ("2", "P1 odd+name", None), ("x", "in", None), (None, None, None), ("3.5", "P3", True)])
+    )

@@ -26,6 +26,10 @@ from platewise.session import materialize, settled, small_side
 # Values of one key that Spark's own aggregate may buffer, about 200 MB.
 MAX_GROUP_ROWS = 2_000_000
 BINS = 1024
+# Bins of a first round over values that are dear to compute: few values share one then.
+FINE_BINS = 1 << 16
+# Values in all brackets that may be written out, to be narrowed there and not computed anew.
+LISTED = 200_000_000
 # Size of a key's sketch, about 40 KB, and how far on both sides of the rank a bracket
 # reaches, as a share of the values: over twice the sketch's error at 99 %.
 SKETCH, MARGIN = 2048, 0.006
@@ -129,6 +133,27 @@ def _rank_directly(state: DataFrame, values: DataFrame, keys: Sequence[str], hot
     )
 
 
+def _over_listed(counted: DataFrame, keys: Sequence[str]) -> tuple[Histogram, Values]:
+    """The two readings of ``narrow`` over a table of values and their counts."""
+
+    def inside(state: DataFrame, hot: int) -> DataFrame:
+        brackets = small_side(state.select(*columns(keys), *BRACKET), hot)
+        return join_null_safe(counted, brackets, keys).where(F.col(VALUE).between(F.col(_LO), F.col(_HI)))
+
+    def histogram(state: DataFrame, hot: int, first: bool) -> DataFrame:
+        bin_ = _bin(F.col(VALUE), F.col(_LO), F.col(_HI), first).alias(BIN)
+        return (
+            inside(state, hot)
+            .groupBy(*columns(keys), bin_)
+            .agg(F.sum(COUNT).alias(COUNT), F.min(VALUE).alias(BIN_MIN), F.max(VALUE).alias(BIN_MAX))
+        )
+
+    def values(state: DataFrame, hot: int) -> DataFrame:
+        return inside(state, hot).select(*columns(keys), VALUE, COUNT)
+
+    return histogram, values
+
+
 def narrow(
     state: DataFrame,
     keys: Sequence[str],
@@ -140,11 +165,13 @@ def narrow(
     """Run narrowing rounds until every key is solved; returns keys and ``alias``.
 
     ``histogram(state, hot, first)`` counts the values in each bracket per bin,
-    ``values(state, hot)`` lists the values in each bracket with their counts.
+    ``values(state, hot)`` lists the values in each bracket with their counts. Once the
+    brackets hold few enough in all, their values are written out and narrowed there,
+    so a source that is dear to compute is read twice, whatever its size.
     """
     done = []
     result = [*columns(keys), _FRAC, _LOWER, _UPPER]
-    first, left = True, None
+    first, left, listed = True, None, False
     while True:
         state = materialize(state, "brackets")
         done.append(state.where(F.col(_LOWER).isNotNull()).select(*result))
@@ -152,6 +179,10 @@ def narrow(
         hot, inside, total = state.agg(F.count("*"), F.max(_INSIDE), F.sum(_INSIDE)).first()
         if not hot or inside <= max_group_rows:
             break
+        if not listed and total <= LISTED and not first:
+            held = values(state, hot).groupBy(*columns(keys), VALUE).agg(F.sum(COUNT).alias(COUNT))
+            histogram, values = _over_listed(materialize(held, "listed"), keys)
+            listed = True
         # From the second round on the ends of a bracket are values in different bins: it shrinks.
         if left is not None and total >= left:
             raise RuntimeError("a bracket does not shrink")
@@ -273,24 +304,13 @@ def percentile_of_large_keys(
     met = within | (F.col(_N) == 0)
     ranked, _ = settled(ranked.withColumn("__met", F.coalesce(met, F.lit(False))), "ranked")
 
-    def histogram(state: DataFrame, hot: int, first: bool) -> DataFrame:
-        bin_ = _bin(F.col(VALUE), F.col(_LO), F.col(_HI), first).alias(BIN)
-        return (
-            bracketed(counted, state, hot, F.col(VALUE))
-            .groupBy(*columns(keys), bin_)
-            .agg(F.sum(COUNT).alias(COUNT), F.min(VALUE).alias(BIN_MIN), F.max(VALUE).alias(BIN_MAX))
-        )
-
-    def values(state: DataFrame, hot: int) -> DataFrame:
-        return bracketed(counted, state, hot, F.col(VALUE)).select(*columns(keys), VALUE, COUNT)
-
     def bracketed(rows: DataFrame, state: DataFrame, hot: int, at: Column) -> DataFrame:
         brackets = small_side(state.select(*columns(keys), *BRACKET), hot)
         return join_null_safe(rows, brackets, keys).where(at.between(F.col(_LO), F.col(_HI)))
 
     none = ranked.where(F.col(_N) == 0).select(*columns(keys), F.lit(None).cast("double").alias(alias))
     hits = ranked.where(F.col("__met") & (F.col(_N) > 0)).drop("__met")
-    solved = none.unionAll(narrow(hits, keys, alias, histogram, values, max_group_rows))
+    solved = none.unionAll(narrow(hits, keys, alias, *_over_listed(counted, keys), max_group_rows))
     missed = ranked.where(~F.col("__met")).select(*columns(keys))
     number = missed.count()
     if not number:

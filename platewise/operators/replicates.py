@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,8 +63,9 @@ def replicate_scores(
 
     Compounds need two wells. Up to ``block_rows`` wells are one matrix product.
     A larger compound is cut into blocks, and its median is found by counting the
-    correlations per bin in each pair of blocks and narrowing the bracket.
-    ``zscores`` is read once per round; give it materialised.
+    correlations per bin in each pair of blocks, then listing those of the bin with the
+    wanted rank: two passes of products. ``zscores`` is read once a pass; give it
+    materialised.
     """
     wells = F.col("__wells")
     small = wells <= block_rows
@@ -115,11 +116,14 @@ def replicate_scores(
     def named(cell: pa.Table, rows: int) -> pa.Array:
         return cell.column(compound).take(pa.array(np.zeros(rows, dtype=np.int64)))
 
-    def count_bins(cell: pa.Table) -> pa.Table:
-        lo, hi = bounds(cell)
-        found = correlations(cell, row_id, ZSCORES)
-        table = _named_bins((r[(r >= lo) & (r <= hi)] for r in found), lo, hi)
-        return table.set_column(0, compound, named(cell, table.num_rows))
+    def count_bins(bins: int) -> Callable[[pa.Table], pa.Table]:
+        def count(cell: pa.Table) -> pa.Table:
+            lo, hi = bounds(cell)
+            found = correlations(cell, row_id, ZSCORES)
+            table = _named_bins((r[(r >= lo) & (r <= hi)] for r in found), lo, hi, bins)
+            return table.set_column(0, compound, named(cell, table.num_rows))
+
+        return count
 
     def list_values(cell: pa.Table) -> pa.Table:
         lo, hi = bounds(cell)
@@ -137,7 +141,7 @@ def replicate_scores(
         binned = per_cell(
             bracketed(state, hot),
             keys,
-            count_bins,
+            count_bins(Q.FINE_BINS if first else Q.BINS),
             f"{schema}, {Q.BIN} int, {Q.COUNT} bigint, {Q.BIN_MIN} double, {Q.BIN_MAX} double",
         )
         return binned.groupBy(column(compound), Q.BIN).agg(
@@ -206,9 +210,9 @@ def null_threshold_all(
     """One row: the percentile of the correlations of all pairs of wells of different compounds.
 
     Nothing is drawn. Wells are dealt to the cells of a grid of blocks; a cell counts
-    its correlations per bin, and the bracket with the wanted rank is narrowed until
-    few values are left. The work is quadratic in the wells, as all pairs are.
-    ``zscores`` is read once per round; give it materialised.
+    its correlations per bin, then lists those of the bin with the wanted rank: two
+    passes of products, quadratic in the wells, as all pairs are. ``zscores`` is read
+    once a pass; give it materialised.
     """
     counts = zscores.groupBy(column(compound)).agg(F.count("*").alias("n"))
     n = F.col("n")
@@ -240,9 +244,12 @@ def null_threshold_all(
         for r in correlations(cell, row_id, ZSCORES, label="__label"):
             yield r[(r >= lo) & (r <= hi)]
 
-    def count_bins(cell: pa.Table) -> pa.Table:
-        lo, hi = (cell.column(name)[0].as_py() for name in Q.BRACKET)
-        return _named_bins(inside(cell), lo, hi)
+    def count_bins(bins: int) -> Callable[[pa.Table], pa.Table]:
+        def count(cell: pa.Table) -> pa.Table:
+            lo, hi = (cell.column(name)[0].as_py() for name in Q.BRACKET)
+            return _named_bins(inside(cell), lo, hi, bins)
+
+        return count
 
     def list_values(cell: pa.Table) -> pa.Table:
         values, count = np.unique(np.concatenate([np.empty(0), *inside(cell)]), return_counts=True)
@@ -251,7 +258,8 @@ def null_threshold_all(
 
     def histogram(state: DataFrame, hot: int, first: bool) -> DataFrame:
         schema = f"__all int, {Q.BIN} int, {Q.COUNT} bigint, {Q.BIN_MIN} double, {Q.BIN_MAX} double"
-        binned = per_cell(bracketed(state, hot), keys, count_bins, schema)
+        bins = Q.FINE_BINS if first else Q.BINS
+        binned = per_cell(bracketed(state, hot), keys, count_bins(bins), schema)
         return binned.groupBy("__all", Q.BIN).agg(
             F.sum(Q.COUNT).alias(Q.COUNT),
             F.min(Q.BIN_MIN).alias(Q.BIN_MIN),
@@ -267,15 +275,15 @@ def null_threshold_all(
     return found.select("threshold")
 
 
-def _named_bins(slabs: Iterator[np.ndarray], lo: float, hi: float) -> pa.Table:
+def _named_bins(slabs: Iterator[np.ndarray], lo: float, hi: float, bins: int) -> pa.Table:
     """Counts and ends of the bins between two bounds that hold values."""
-    count = np.zeros(Q.BINS, dtype=np.int64)
-    low, high = np.full(Q.BINS, np.inf), np.full(Q.BINS, -np.inf)
+    count = np.zeros(bins, dtype=np.int64)
+    low, high = np.full(bins, np.inf), np.full(bins, -np.inf)
     for r in slabs:
-        bins = np.minimum(((r - lo) / (hi - lo) * Q.BINS).astype(np.int64), Q.BINS - 1)
-        count += np.bincount(bins, minlength=Q.BINS)
-        np.minimum.at(low, bins, r)
-        np.maximum.at(high, bins, r)
+        place = np.minimum(((r - lo) / (hi - lo) * bins).astype(np.int64), bins - 1)
+        count += np.bincount(place, minlength=bins)
+        np.minimum.at(low, place, r)
+        np.maximum.at(high, place, r)
     used = np.flatnonzero(count)
     return pa.table(
         {

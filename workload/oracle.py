@@ -11,7 +11,7 @@ def r6(expression: str) -> str:
 
 
 def with_tables(*names: str, body: str) -> str:
-    return "WITH " + ",\n".join(f"{n} AS ({TABLES[n]})" for n in names) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({TABLES[n]})" for n in names) + "\n" + body
 
 
 def _well(row: str, col: str) -> str:
@@ -44,6 +44,30 @@ TABLES = {
                CASE WHEN max(r) < 8 AND max(c) < 12 THEN 12 WHEN max(r) < 16 AND max(c) < 24 THEN 24
                     WHEN max(r) < 32 AND max(c) < 48 THEN 48 ELSE max(c) + 1 END::BIGINT AS n_cols
         FROM placed""",
+    "labelled": """
+        SELECT plate, CASE WHEN kind = 4 THEN '?' || l_linenumber WHEN l_partkey % 211 = 0 THEN 'ZZ99'
+                 WHEN l_partkey % 223 = 0 THEN 'empty' WHEN l_partkey % 227 = 0 THEN NULL
+                 ELSE CASE WHEN r < 26 THEN chr((r + 65)::INT) ELSE 'A' || chr((r + 39)::INT) END
+                   || lpad((c + 1)::VARCHAR, 2, '0') END AS well, count(*) AS value
+        FROM (SELECT *, 'F' || kind AS plate, l_partkey % [8, 16, 32, 44, 44][kind + 1] AS r,
+                (l_suppkey * 7 + l_linenumber * 5 + l_orderkey) % [12, 24, 48, 60, 60][kind + 1] AS c
+              FROM (SELECT *, l_orderkey % 5 AS kind FROM lineitem))
+        GROUP BY ALL""",
+    "parsed": """
+        SELECT *, CASE WHEN length(a) = 1 THEN ascii(a) - 65 WHEN length(a) = 2
+                    THEN (ascii(a[1]) - 64) * 26 + ascii(a[2]) - 65 END AS r, try_cast(d AS BIGINT) - 1 AS c
+        FROM (SELECT *, regexp_extract(well, '^([A-Z]+)([0-9]+)$', 1) AS a,
+                     regexp_extract(well, '^([A-Z]+)([0-9]+)$', 2) AS d FROM labelled)""",
+    "sized": """
+        SELECT plate, CASE WHEN o96 <= o THEN 8 WHEN o384 <= o THEN 16 WHEN o1536 <= o THEN 32 ELSE rows END::BIGINT AS n_rows,
+          CASE WHEN o96 <= o THEN 12 WHEN o384 <= o THEN 24 WHEN o1536 <= o THEN 48 ELSE cols END::BIGINT AS n_cols,
+          CASE WHEN o96 <= o THEN o96 WHEN o384 <= o THEN o384 WHEN o1536 <= o THEN o1536 ELSE 0 END AS beyond,
+          coalesce(n, 0) AS positions
+        FROM (SELECT DISTINCT plate FROM labelled) LEFT JOIN (
+          SELECT plate, count(*) AS n, floor(0.02 * count(*)) AS o, max(r) + 1 AS rows, max(c) + 1 AS cols,
+            count(*) FILTER (r >= 8 OR c >= 12) AS o96, count(*) FILTER (r >= 16 OR c >= 24) AS o384,
+            count(*) FILTER (r >= 32 OR c >= 48) AS o1536
+          FROM (SELECT DISTINCT plate, r, c FROM parsed WHERE r IS NOT NULL AND c IS NOT NULL) GROUP BY plate) USING (plate)""",
     "files": f"""
         SELECT l_returnflag AS "Metadata_Plate",
                'TimePoint_' || round(l_tax * 100)::INT || '/' || name AS path, name AS "FileName"
@@ -131,6 +155,9 @@ TABLES = {
     + " FROM dirty",
     "long": """
         SELECT vec_id, compound, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM profiles""",
+    "correlated": """
+        SELECT a.vec_id AS "left", b.vec_id AS "right", corr(a.x, b.x) AS r
+        FROM long a JOIN long b ON a.i = b.i AND a.vec_id <> b.vec_id GROUP BY ALL""",
     "pairs": """
         SELECT a.compound, corr(a.x, b.x) AS r
         FROM long a JOIN long b ON a.compound = b.compound AND a.i = b.i AND a.vec_id < b.vec_id
@@ -172,6 +199,48 @@ _PARTS = {
     "F": "o_custkey",
     "P": "o_custkey",
 }
+# The leading axis is what the powers of the covariance turn to: 18 squarings, each scaled.
+_PLANE = f"""
+, moments AS (
+  SELECT i, avg(x) AS m, CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1 END AS s
+  FROM (SELECT unnest(range(1, {WIDTH + 1})) AS i, unnest(v) AS x FROM profiles) GROUP BY i),
+kept AS (SELECT list(m ORDER BY i) AS m, list(s ORDER BY i) AS s FROM moments),
+scaled AS (
+  SELECT vec_id, compound, [(v[i] - m[i]) / s[i] for i in range(1, {WIDTH + 1})] AS z FROM profiles, kept),
+cells AS (
+  SELECT i, j, sum(z[i] * z[j]) AS c
+  FROM scaled, (SELECT unnest(range(1, {WIDTH + 1})) AS i), (SELECT unnest(range(1, {WIDTH + 1})) AS j) GROUP BY i, j),
+matrix AS (SELECT list(r ORDER BY i) AS c FROM (SELECT i, list(c ORDER BY j) AS r FROM cells GROUP BY i)),
+first_power AS (
+  SELECT 0 AS step, c AS p FROM matrix
+  UNION ALL
+  SELECT step + 1, [[list_inner_product(a, b) / norm for b in p] for a in p]
+  FROM (SELECT step, p, list_sum([list_inner_product(a, a) for a in p]) AS norm FROM first_power) WHERE step < 18),
+first_axis AS (
+  SELECT [x / sqrt(list_inner_product(a, a)) for x in a] AS a
+  FROM (SELECT p[list_position([list_inner_product(a, a) for a in p], list_max([list_inner_product(a, a) for a in p]))] AS a
+        FROM first_power WHERE step = 18)),
+rest AS (
+  SELECT [[c[i][j] - w * a[i] * a[j] for j in range(1, {WIDTH + 1})] for i in range(1, {WIDTH + 1})] AS c
+  FROM (SELECT c, a, list_inner_product(a, [list_inner_product(r, a) for r in c]) AS w FROM matrix, first_axis)),
+second_power AS (
+  SELECT 0 AS step, c AS p FROM rest
+  UNION ALL
+  SELECT step + 1, [[list_inner_product(a, b) / norm for b in p] for a in p]
+  FROM (SELECT step, p, list_sum([list_inner_product(a, a) for a in p]) AS norm FROM second_power) WHERE step < 18),
+second_axis AS (
+  SELECT [x / sqrt(list_inner_product(a, a)) for x in a] AS a
+  FROM (SELECT p[list_position([list_inner_product(a, a) for a in p], list_max([list_inner_product(a, a) for a in p]))] AS a
+        FROM second_power WHERE step = 18)),
+signed AS (
+  SELECT n, [x * CASE WHEN a[list_position(size, list_max(size))] >= 0 THEN 1 ELSE -1 END for x in a] AS a
+  FROM (SELECT n, a, [round(abs(x), 9) for x in a] AS size
+        FROM (SELECT 1 AS n, a FROM first_axis UNION ALL SELECT 2, a FROM second_axis)))
+SELECT vec_id, compound AS "Metadata_Compound",
+       {r6("list_inner_product(z, (SELECT a FROM signed WHERE n = 1))")} AS component_1,
+       {r6("list_inner_product(z, (SELECT a FROM signed WHERE n = 2))")} AS component_2
+FROM scaled
+"""
 _COHORT_NULL = ["profiles", "numbered", "draws", "null_pairs"]
 
 
@@ -200,6 +269,15 @@ def all_sql() -> dict[str, str]:
             body=f"""SELECT "Metadata_Plate", {_MEDIANS[1]}, {_MEDIANS[0]}
             FROM cells GROUP BY ALL""",
         ),
+        "a1_median_near_constant": with_tables(
+            "cells",
+            body="""SELECT "Metadata_Plate",
+            round((median(1000.0::DOUBLE + (cell % 5) * 1.2e-13::DOUBLE) - 1000.0) * 1e13::DOUBLE, 3) AS "Cells_Near",
+            round(median((cell % 4) * 1e-310::DOUBLE) * 1e300::DOUBLE * 1e10::DOUBLE, 3) AS "Cells_Tiny",
+            median(CASE WHEN cell % 5 = 0 THEN '-inf'::DOUBLE WHEN cell % 5 < 3 THEN 'inf'::DOUBLE
+                   ELSE "Nuclei_Price" END) AS "Cells_Ends"
+            FROM cells GROUP BY ALL""",
+        ),
         "p1_infer_features_median": with_tables(
             "cells", body=f'SELECT "Metadata_Well", {", ".join(_MEDIANS)} FROM cells GROUP BY ALL'
         ),
@@ -257,6 +335,24 @@ def all_sql() -> dict[str, str]:
             LEFT JOIN (SELECT plate AS p, r, c, arg_max(value, well) AS value FROM placed GROUP BY ALL)
               ON p = plate AND r = g.row AND c = h.col""",
         ),
+        "a9_plate_shapes": with_tables("labelled", "parsed", "sized", body="SELECT * FROM sized"),
+        "p18_outlying_wells": with_tables(
+            "labelled",
+            "parsed",
+            "sized",
+            body="""SELECT plate, well, CASE WHEN r IS NULL OR c IS NULL THEN 'no well' ELSE 'beyond the plate' END AS reason
+            FROM parsed JOIN sized USING (plate) WHERE r IS NULL OR c IS NULL OR r >= n_rows OR c >= n_cols""",
+        ),
+        "j7_plate_grids": with_tables(
+            "labelled",
+            "parsed",
+            "sized",
+            body="""SELECT g.plate, g.row, g.col, value
+            FROM (SELECT plate, row, unnest(range(n_cols)) AS col
+                  FROM (SELECT plate, n_cols, unnest(range(n_rows)) AS row FROM sized)) g
+            LEFT JOIN (SELECT plate, r, c, arg_max(value, well) AS value FROM parsed GROUP BY ALL) v
+              ON v.plate = g.plate AND v.r = g.row AND v.c = g.col""",
+        ),
         "p7_parse_image_names": with_tables(
             *images,
             body="""SELECT *, ['DNA', 'Mito', 'AGP', 'RNA', 'ER']["ChannelNumber"] AS "Channel"
@@ -372,6 +468,13 @@ def all_sql() -> dict[str, str]:
             JOIN (SELECT vec_id, avg(x) AS m, stddev_pop(x) AS s FROM long GROUP BY vec_id)
               USING (vec_id) WHERE s > 0""",
         ),
+        "p19_flat_rows": with_tables(
+            "profiles",
+            "long",
+            body=f"""SELECT vec_id, (i - 1)::INT AS position, {r6('(x - m) / s')} AS z FROM long
+            JOIN (SELECT vec_id, avg(x) AS m, stddev_pop(x) AS s FROM long GROUP BY vec_id)
+              USING (vec_id) WHERE s > 0 AND vec_id % 10 <> 3""",
+        ),
         "a11_replicate_score": with_tables(
             "profiles",
             "long",
@@ -435,8 +538,47 @@ def all_sql() -> dict[str, str]:
             JOIN (SELECT * FROM long WHERE vec_id IN (SELECT vec_id FROM top)) b ON a.i = b.i
             GROUP BY ALL""",
         ),
+        "a19_nearest_profiles": with_tables(
+            "profiles",
+            "long",
+            "correlated",
+            body=f"""SELECT "left", rank::INT AS rank, "right", {r6('r')} AS r
+            FROM (SELECT *, row_number() OVER (PARTITION BY "left" ORDER BY round(r, 12) DESC, "right") AS rank
+                  FROM correlated) WHERE rank <= 5""",
+        ),
+        "a19_similar_profiles": with_tables(
+            "profiles",
+            "long",
+            "correlated",
+            body=f"""SELECT "left", "right", {r6('r')} AS r FROM correlated WHERE round(r, 12) >= 0.4""",
+        ),
         "w2_category_rank": """
             SELECT p_partkey, p_name, dense_rank() OVER (ORDER BY p_name) - 1 AS rank FROM part""",
+        "a20_pca2": with_tables("profiles", body=_PLANE),
+        "o1_strata_order": with_tables(
+            "cells",
+            body=f"""SELECT *, row_number() OVER (ORDER BY "Metadata_Plate" NULLS LAST, "Metadata_Well" NULLS LAST) - 1
+                AS position
+            FROM (SELECT nullif("Metadata_Plate", 'N') AS "Metadata_Plate", "Metadata_Well", {_MEDIANS[1]}
+                  FROM cells GROUP BY 1, 2)""",
+        ),
+        "o2_index_order": with_tables(
+            "image_table",
+            "site_index",
+            body="""SELECT "Metadata_Plate", "Metadata_Well", "Metadata_Site", "DNA",
+              row_number() OVER (ORDER BY "Metadata_Plate" NULLS LAST, "Metadata_Well" NULLS LAST,
+                try_cast("Metadata_Site" AS DOUBLE) NULLS LAST, "Metadata_Site" NULLS LAST, "DNA" NULLS LAST) - 1
+                AS position
+            FROM site_index""",
+        ),
+        "o3_site_order": with_tables(
+            *images,
+            "sets",
+            body="""SELECT "Metadata_Plate", "Metadata_Well", "Metadata_Site",
+              row_number() OVER (ORDER BY "Metadata_Plate" NULLS LAST, "Metadata_Well" NULLS LAST,
+                "Metadata_Site" NULLS LAST) - 1 AS position
+            FROM sets""",
+        ),
         "s2_image_table_csv": with_tables("image_table", body="SELECT * FROM image_table"),
         "s3_platemap_csv": with_tables(
             "whole_plate_map",
@@ -471,6 +613,21 @@ def all_sql() -> dict[str, str]:
             FROM lineitem""",
         "s10_npz_embeddings": f"""SELECT vec_id, CASE WHEN vec_id // 100 % 2 = 0 THEN 'x' END AS note,
             {r6('list_sum(embedding::DOUBLE[])')} AS total FROM embeddings""",
+        "f3_plate_from_name": f"""SELECT CASE WHEN s_nationkey % 2 = 1 THEN 'inside' ELSE 'P' END || s_nationkey
+            AS "Metadata_Plate", count(*) AS rows, {r6('max(s_acctbal)')} AS top, sum(s_nationkey)::BIGINT AS nations
+            FROM supplier GROUP BY s_nationkey""",
+        "s1_image_listing": f"""SELECT 'run_' || {_well("s_suppkey % 16", "s_suppkey % 24")} || '_s' || (s_suppkey % 9 + 1)
+                || '_w' || (s_suppkey % 7 + 1) || '_' || s_suppkey || '.tif' AS "FileName",
+              'S' AS "Metadata_Plate", {_well("s_suppkey % 16", "s_suppkey % 24")} AS "Well",
+              (s_suppkey % 9 + 1)::INT AS "Site", (s_suppkey % 7 + 1)::INT AS "ChannelNumber"
+            FROM supplier WHERE s_suppkey % 5 <> 0 AND s_suppkey % 7 < 5 AND s_suppkey % 11 <> 0""",
+        "a5_plates_of_tables": with_tables(
+            "image_table",
+            body="""SELECT 'T' || CASE WHEN p % 3 = 0 THEN p ELSE p - p % 3 + 1 END AS "table",
+              CASE WHEN count(DISTINCT p) = 1 THEN 'P' || min(p) END AS plate, count(DISTINCT p) AS plates,
+              false AS unnamed
+            FROM (SELECT substr("Metadata_Plate", 2)::BIGINT AS p FROM image_table) GROUP BY 1""",
+        ),
         "s11_profile_files": f"""SELECT o_orderstatus, count(*) AS rows,
             {r6('max(o_totalprice)')} AS top, max(o_custkey::VARCHAR) AS last_key
             FROM orders GROUP BY ALL""",

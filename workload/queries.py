@@ -15,13 +15,15 @@ from platewise.operators import index as X
 from platewise.operators import plates as P
 from platewise.operators import replicates as R
 from platewise.operators import similarity as S
-from platewise.operators.aggregate import aggregate_median
+from platewise.operators.aggregate import aggregate_median, strata_order
 from platewise.operators.embedding import embed
 from platewise.operators.features import clean_features, feature_table, spread, standardise
+from platewise.operators.neighbours import nearest_profiles, similar_profiles
 from platewise.operators.ranking import with_category_rank
 from platewise.operators.singlecell import cast_types, join_compartments, split_sources
 from platewise.operators.union import loose_union, strict_union
 from platewise.session import materialize, scratch_path
+from platewise.sinks.ordered import read_in_order, write_in_order
 from platewise.sinks.tables import (
     write_chunks,
     write_csv,
@@ -30,6 +32,7 @@ from platewise.sinks.tables import (
 )
 from platewise.sources.parquet import parquet_columns, read_parts, read_profiles
 from platewise.sources.embeddings import read_npz
+from platewise.sources.listing import list_files
 from platewise.sources.sqlite import read_sqlite_table
 from platewise.sources.tables import read_image_table, read_locations, read_platemap
 from workload import standins as D
@@ -80,6 +83,20 @@ def a1_median_hot_groups(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(aggregate_median(cells, [PLATE], features, max_group_rows=1000))
 
 
+def a1_median_near_constant(spark: SparkSession, sf: str) -> DataFrame:
+    """Hot groups of values that hardly differ, of very small ones and of infinite ones."""
+    number = F.col("Metadata_Cell") % 5
+    tiny = F.col("Metadata_Cell") % 4 * F.lit(1e-310)
+    ends = F.when(number == 0, -F.lit(float("inf"))).when(number < 3, F.lit(float("inf"))).otherwise(F.col("Nuclei_Price"))
+    cells = D.cells(spark, sf).withColumns(
+        {"Cells_Near": F.lit(1000.0) + number * F.lit(1.2e-13), "Cells_Tiny": tiny, "Cells_Ends": ends}
+    )
+    medians = aggregate_median(cells, [PLATE], ["Cells_Near", "Cells_Tiny", "Cells_Ends"], max_group_rows=100)
+    return medians.withColumn("Cells_Near", (F.col("Cells_Near") - 1000.0) * 1e13).withColumn(
+        "Cells_Tiny", F.col("Cells_Tiny") * 1e300 * 1e10
+    ).select(PLATE, *[F.round(c, 3).alias(c) for c in ("Cells_Near", "Cells_Tiny")], "Cells_Ends")
+
+
 def p1_infer_features_median(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(aggregate_median(D.cells(spark, sf), [WELL]))
 
@@ -134,6 +151,25 @@ def j7_plate_grid(spark: SparkSession, sf: str) -> DataFrame:
     return P.plate_grid(_well_counts(spark, sf))
 
 
+def _wells_by_plate(spark: SparkSession, sf: str) -> DataFrame:
+    """One value a plate and label; the tables have several rows of each."""
+    return D.plate_wells(spark, sf).groupBy("plate", "well").agg(F.count("*").alias("value"))
+
+
+def a9_plate_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    return P.plate_shapes(P.parse_wells(_wells_by_plate(spark, sf)))
+
+
+def p18_outlying_wells(spark: SparkSession, sf: str) -> DataFrame:
+    parsed = P.parse_wells(_wells_by_plate(spark, sf))
+    return P.outlying_wells(parsed, P.plate_shapes(parsed))
+
+
+def j7_plate_grids(spark: SparkSession, sf: str) -> DataFrame:
+    """Every plate in its own shape."""
+    return P.plate_grids(_wells_by_plate(spark, sf))
+
+
 # Images
 
 
@@ -184,6 +220,32 @@ def j2_unmatched_keys(spark: SparkSession, sf: str) -> DataFrame:
     return X.unmatched_wells(X.build_index(D.image_table(spark, sf)), D.plate_map(spark, sf))
 
 
+# Stored order
+
+
+def o1_strata_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Wells of medians as they lie in the written table, a null plate last."""
+    path = scratch_path(spark, "medians")
+    cells = D.cells(spark, sf).withColumn(PLATE, F.nullif(F.col(PLATE), F.lit("N")))
+    medians = aggregate_median(cells, [PLATE, WELL], ["Nuclei_Price"], ordered=False)
+    write_in_order(medians, path, strata_order([PLATE, WELL]))
+    return rounded(read_in_order(spark, path))
+
+
+def o2_index_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Sites of the index as they lie in the written table."""
+    path = scratch_path(spark, "index")
+    write_in_order(X.build_index(D.image_table(spark, sf)), path, X.index_order())
+    return read_in_order(spark, path).select(PLATE, WELL, SITE, "DNA", "position")
+
+
+def o3_site_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Image sets as they lie in the written table."""
+    path = scratch_path(spark, "sets")
+    write_in_order(I.image_sets(_images(spark, sf)), path, I.set_order())
+    return read_in_order(spark, path).select(PLATE, WELL, SITE, "position")
+
+
 # Single cells and unions
 
 
@@ -253,6 +315,14 @@ def a10_row_zscores(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(scaled.select("vec_id", F.posexplode(R.ZSCORES).alias("position", "z")))
 
 
+def p19_flat_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Row z-scores where some profiles do not vary and have none."""
+    flat = F.col("vec_id") % 10 == 3
+    wells = D.profiles(spark, sf).withColumns({f: F.when(flat, 1.5).otherwise(F.col(f)) for f in D.PROFILE_FEATURES})
+    scaled = R.row_zscores(feature_table(wells, ["vec_id"], D.PROFILE_FEATURES), ["vec_id"])
+    return rounded(scaled.select("vec_id", F.posexplode(R.ZSCORES).alias("position", "z")))
+
+
 def a11_replicate_score(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(R.replicate_scores(_zscores(spark, sf), "vec_id"))
 
@@ -297,6 +367,15 @@ def a19_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(S.compound_similarity(_cohort(spark, sf), row_id="vec_id"))
 
 
+def a19_nearest_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The five profiles of all that are most like each, without the whole matrix."""
+    return rounded(nearest_profiles(_cohort(spark, sf), "vec_id", 5))
+
+
+def a19_similar_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(similar_profiles(_cohort(spark, sf), "vec_id", 0.4))
+
+
 def w2_category_rank(spark: SparkSession, sf: str) -> DataFrame:
     part = D.table(spark, sf, "part").select("p_partkey", "p_name")
     return with_category_rank(part, "p_name")
@@ -331,20 +410,30 @@ def s3_platemap_csv(spark: SparkSession, sf: str) -> DataFrame:
     return read_platemap(spark, path)
 
 
+def _from_name(pattern: str) -> list[Column]:
+    """Parts of a row's file path."""
+    path = F.col("_metadata.file_path")
+    return [F.regexp_extract(path, pattern, i + 1) for i in range(pattern.count("("))]
+
+
 def k3_locations_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The files, found again by the name of their plate, well and site."""
     path = scratch_path(spark, "locations")
     nuclei = X.clean_locations(D.locations(spark, sf), keep=[PLATE, WELL, SITE])
     write_locations(nuclei, path)
-    kinds = f"{X.NUCLEI_X} bigint, {X.NUCLEI_Y} bigint, {PLATE} string, {WELL} string, {SITE} string"
-    return spark.read.schema(kinds).option("header", "true").csv(path)
+    reader = spark.read.schema(f"{X.NUCLEI_X} bigint, {X.NUCLEI_Y} bigint").option("header", "true")
+    plate, well, site = _from_name(r"/([^/]+)/([A-Z0-9]+)-([0-9]+)-Nuclei[.]csv$")
+    found = reader.csv(f"{path}/*/*-*-Nuclei.csv")
+    return found.select(X.NUCLEI_X, X.NUCLEI_Y, plate.alias(PLATE), well.alias(WELL), site.alias(SITE))
 
 
 def k4_chunk_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The lists of images, found again by the name of their chunk."""
     path = scratch_path(spark, "chunks")
     write_chunks(I.image_sets(_images(spark, sf)), path, CHUNK)
-    kinds = "FileName string, plate string, chunk bigint"
-    listed = spark.read.schema(kinds).option("header", "false").csv(f"{path}/images")
-    return listed.select(F.col("plate").alias(PLATE), "chunk", "FileName")
+    plate, chunk = _from_name(r"/([^/]+)/chunk([0-9]+)[.]images[.]txt$")
+    listed = spark.read.text(f"{path}/*/chunk*.images.txt")
+    return listed.select(plate.alias(PLATE), chunk.cast("bigint").alias("chunk"), F.col("value").alias("FileName"))
 
 
 def k4_chunk_tables(spark: SparkSession, sf: str) -> DataFrame:
@@ -353,10 +442,11 @@ def k4_chunk_tables(spark: SparkSession, sf: str) -> DataFrame:
     sets = I.image_sets(_images(spark, sf))
     write_chunks(sets, path, CHUNK)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sets.schema)
-    listed = spark.read.schema(f"{kinds}, plate string, chunk bigint").option("header", "true")
-    found = listed.csv(f"{path}/load_data")
+    _, chunk = _from_name(r"/([^/]+)/chunk([0-9]+)[.]load_data[.]csv$")
+    found = spark.read.schema(kinds).option("header", "true").csv(f"{path}/*/chunk*.load_data.csv")
     return found.select(
-        PLATE, WELL, SITE, "chunk", *[c for c in sets.columns if c.startswith(I.NAME_PREFIX)]
+        PLATE, WELL, SITE, chunk.cast("bigint").alias("chunk"),
+        *[c for c in sets.columns if c.startswith(I.NAME_PREFIX)],
     )
 
 
@@ -377,19 +467,40 @@ def u1_parquet_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def s11_profile_files(spark: SparkSession, sf: str) -> DataFrame:
-    from platewise.sources.parquet import find_parts
-
     path = scratch_path(spark, "profiles")
     for name, part in _order_parts(spark, sf).items():
         part.write.parquet(f"{path}/{name}")
-    files = [row.path for row in find_parts(spark, path).collect()]
-    return read_profiles(spark, files, "o_orderstatus").groupBy("o_orderstatus").agg(
+    return read_profiles(spark, path, "o_orderstatus").groupBy("o_orderstatus").agg(
         F.count("*").alias("rows"),
         r6(F.max("o_totalprice")).alias("top"),
         F.max("o_custkey").alias("last_key"),
     )
 
 
+def f3_plate_from_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Profile files of which every other one lacks the plate, which its name has then."""
+    path = scratch_path(spark, "named-profiles")
+    D.put_files(D.profile_files(spark, sf), path)
+    return read_profiles(spark, path).groupBy(PLATE).agg(
+        F.count("*").alias("rows"), r6(F.max("s_acctbal")).alias("top"), F.sum("s_nationkey").alias("nations")
+    )
+
+
+def s1_image_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Image files of nested folders, listed and parsed; other files are among them."""
+    path = scratch_path(spark, "plate")
+    D.put_files(D.supplier_images(spark, sf), path)
+    return I.parse_images(list_files(spark, path), plate="S").drop("path")
+
+
+def a5_plates_of_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The plate of each image table; some tables hold two."""
+    table = D.image_table(spark, sf)
+    number = F.substring(PLATE, 2, 20).cast("long")
+    held = F.concat(F.lit("T"), F.when(number % 3 == 0, number).otherwise(number - number % 3 + 1))
+    return X.plates_of_tables(table.withColumn("table", held), "table")
+
+
 def s4_locations_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "location-files")
     D.put_files(D.location_files(spark, sf), path)
@@ -422,6 +533,7 @@ _ALL = [
     a1_median_nan_skip,
     a1_median_null_group,
     a1_median_hot_groups,
+    a1_median_near_constant,
     p1_infer_features_median,
     a1_median_wide,
     a2_cells_per_well,
@@ -431,6 +543,9 @@ _ALL = [
     f2_row_letters,
     a9_grid_shape,
     j7_plate_grid,
+    a9_plate_shapes,
+    p18_outlying_wells,
+    j7_plate_grids,
     p7_parse_image_names,
     a3_pivot_channels,
     a4_incomplete_sets,
@@ -440,6 +555,9 @@ _ALL = [
     p11_round_locations,
     j1_platemap_left_join,
     j2_unmatched_keys,
+    o1_strata_order,
+    o2_index_order,
+    o3_site_order,
     j3_compartment_join,
     a6_skip_empty_sources,
     p5_cast_float,
@@ -448,6 +566,7 @@ _ALL = [
     p14_clean_features,
     a16_standardise,
     a10_row_zscores,
+    p19_flat_rows,
     a11_replicate_score,
     a11_replicate_score_blocks,
     j5_null_pairs,
@@ -457,6 +576,8 @@ _ALL = [
     a14_histogram,
     o4_top_activity,
     a19_similarity,
+    a19_nearest_profiles,
+    a19_similar_profiles,
     w2_category_rank,
     a20_pca2,
     s2_image_table_csv,
@@ -467,6 +588,9 @@ _ALL = [
     k5_lossless_parquet,
     u1_parquet_parts,
     s11_profile_files,
+    f3_plate_from_name,
+    s1_image_listing,
+    a5_plates_of_tables,
     s4_locations_csv,
     s9_sqlite_tables,
     s10_npz_embeddings,

@@ -273,3 +273,57 @@ def embedding_files(spark: SparkSession, sf: str) -> DataFrame:
     number = F.floor(F.col("vec_id") / FILE_VECTORS).alias("number")
     vectors = table(spark, sf, "embeddings").select(number, "vec_id", "embedding")
     return vectors.groupBy("number").applyInPandas(build, "file string, content binary")
+
+
+def profile_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A profile file per nation of suppliers; every other one names its plate by its file only."""
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        import io
+
+        nation = int(rows["s_nationkey"].iloc[0])
+        kept = rows[["s_suppkey", "s_nationkey", "s_acctbal"]]
+        if nation % 2:
+            kept = kept.assign(Metadata_Plate=f"inside{nation}", s_nationkey=kept["s_nationkey"].astype("int32"))
+        out = io.BytesIO()
+        kept.to_parquet(out, index=False)
+        return pd.DataFrame({"file": [f"P{nation}.normalized.parquet"], "content": [out.getvalue()]})
+
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    return rows.groupBy("s_nationkey").applyInPandas(build, "file string, content binary")
+
+
+def supplier_images(spark: SparkSession, sf: str) -> DataFrame:
+    """An image file per supplier, some of them thumbnails or no images at all."""
+    c = F.col
+    key = c("s_suppkey")
+    name = F.concat(
+        F.lit("run_"), well_name(key % 16, key % 24), F.lit("_s"), key % 9 + 1, F.lit("_w"), key % 7 + 1,
+        F.when(key % 5 == 0, "_thumb").otherwise(""), F.lit("_"), key, F.when(key % 11 == 0, ".txt").otherwise(".tif"),
+    )
+    folder = F.concat(F.lit("TimePoint_"), c("s_nationkey"))
+    return table(spark, sf, "supplier").select(
+        F.concat_ws("/", folder, name).alias("file"), F.lit(b"").alias("content")
+    )
+
+
+def plate_wells(spark: SparkSession, sf: str) -> DataFrame:
+    """Wells of plates of all formats: 96, 384 and 1,536 wells, a larger one, stray and bad labels."""
+    c = F.col
+    kind = c("l_orderkey") % 5
+    rows = F.when(kind == 0, 8).when(kind == 1, 16).when(kind == 2, 32).otherwise(44)
+    cols = F.when(kind == 0, 12).when(kind == 1, 24).when(kind == 2, 48).otherwise(60)
+    row = c("l_partkey") % rows
+    col = (c("l_suppkey") * 7 + c("l_linenumber") * 5 + c("l_orderkey")) % cols
+    letters = F.when(row < 26, F.chr(row + 65)).otherwise(F.concat(F.lit("A"), F.chr(row + 39)))
+    well = F.concat(letters, F.lpad((col + 1).cast("string"), 2, "0"))
+    label = (
+        F.when(kind == 4, F.concat(F.lit("?"), c("l_linenumber")))
+        .when(c("l_partkey") % 211 == 0, F.lit("ZZ99"))
+        .when(c("l_partkey") % 223 == 0, F.lit("empty"))
+        .when(c("l_partkey") % 227 == 0, F.lit(None).cast("string"))
+        .otherwise(well)
+    )
+    return table(spark, sf, "lineitem").select(
+        F.concat(F.lit("F"), kind).alias("plate"), label.alias("well"), c("l_quantity").alias("value")
+    )

@@ -36,8 +36,8 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the cluster for intermediate tables.
 
     ``spark.checkpoint.dir`` names it. Where it is unset, a session of one machine
-    takes a temporary folder, and a cluster a folder beside its warehouse, which all
-    executors reach.
+    takes a temporary folder, and a cluster a folder beside its warehouse, if that lies
+    in a store that all machines share. A folder of each machine's own would do for none.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -45,7 +45,10 @@ def scratch_root(spark: SparkSession) -> str:
     if re.match(r"local(\[|$)", spark.sparkContext.master):
         folder = tempfile.mkdtemp(prefix="platewise-")
     else:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-intermediate"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if re.match(r"(file:|/)", warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        folder = warehouse + "-intermediate"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

@@ -49,3 +49,21 @@ def test_report_goes_on_after_a_failed_job(spark, cohort):
     report = build_report(cells=broken, profiles=profiles)
     assert "disk gone" in report.skipped["plates"]
     assert report.embedding.count() == 48
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    class Session:
+        def __init__(self, master, **conf):
+            self.conf = Conf(conf)
+            self.sparkContext = type("Context", (), {"master": master})
+
+    with pytest.raises(ValueError, match="all machines share"):
+        scratch_root(Session("spark://host:7077", **{"spark.sql.warehouse.dir": "file:/opt/warehouse"}))
+    shared = Session("yarn", **{"spark.sql.warehouse.dir": "hdfs://names/warehouse"})
+    assert scratch_root(shared) == "hdfs://names/warehouse-intermediate"
+    assert scratch_root(Session("yarn", **{"spark.checkpoint.dir": "hdfs://names/x/"})) == "hdfs://names/x"
+    assert "platewise-" in scratch_root(Session("local[2]"))

@@ -173,7 +173,7 @@ def narrow(
     result = [*columns(keys), _FRAC, _LOWER, _UPPER]
     first, left, listed = True, None, False
     while True:
-        state = materialize(state, "brackets")
+        state, _ = settled(state, "brackets")
         done.append(state.where(F.col(_LOWER).isNotNull()).select(*result))
         state = state.where(F.col(_LOWER).isNull())
         hot, inside, total = state.agg(F.count("*"), F.max(_INSIDE), F.sum(_INSIDE)).first()
@@ -310,7 +310,9 @@ def percentile_of_large_keys(
 
     none = ranked.where(F.col(_N) == 0).select(*columns(keys), F.lit(None).cast("double").alias(alias))
     hits = ranked.where(F.col("__met") & (F.col(_N) > 0)).drop("__met")
-    solved = none.unionAll(narrow(hits, keys, alias, *_over_listed(counted, keys), max_group_rows))
+    # Ranking the counted values sorts them and buffers none, so the callers' limit need not hold.
+    few = max(max_group_rows, MAX_GROUP_ROWS)
+    solved = none.unionAll(narrow(hits, keys, alias, *_over_listed(counted, keys), few))
     missed = ranked.where(~F.col("__met")).select(*columns(keys))
     number = missed.count()
     if not number:

@@ -85,6 +85,6 @@ def settled(df: DataFrame, label: str = "table") -> tuple[DataFrame, int]:
     """
     found = df.limit(FEW_ROWS + 1).toArrow()
     if found.num_rows <= FEW_ROWS:
-        return df.sparkSession.createDataFrame(found.to_pylist(), df.schema), found.num_rows
+        return df.sparkSession.createDataFrame(found, df.schema), found.num_rows
     written = materialize(df, label)
     return written, written.count()

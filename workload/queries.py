@@ -423,7 +423,7 @@ def k3_locations_csv(spark: SparkSession, sf: str) -> DataFrame:
     write_locations(nuclei, path)
     reader = spark.read.schema(f"{X.NUCLEI_X} bigint, {X.NUCLEI_Y} bigint").option("header", "true")
     plate, well, site = _from_name(r"/([^/]+)/([A-Z0-9]+)-([0-9]+)-Nuclei[.]csv$")
-    found = reader.csv(f"{path}/*/*-*-Nuclei.csv")
+    found = reader.options(recursiveFileLookup="true", pathGlobFilter="*-*-Nuclei.csv").csv(path)
     return found.select(X.NUCLEI_X, X.NUCLEI_Y, plate.alias(PLATE), well.alias(WELL), site.alias(SITE))
 
 
@@ -432,7 +432,7 @@ def k4_chunk_files(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "chunks")
     write_chunks(I.image_sets(_images(spark, sf)), path, CHUNK)
     plate, chunk = _from_name(r"/([^/]+)/chunk([0-9]+)[.]images[.]txt$")
-    listed = spark.read.text(f"{path}/*/chunk*.images.txt")
+    listed = spark.read.options(recursiveFileLookup="true", pathGlobFilter="chunk*.images.txt").text(path)
     return listed.select(plate.alias(PLATE), chunk.cast("bigint").alias("chunk"), F.col("value").alias("FileName"))
 
 
@@ -443,7 +443,8 @@ def k4_chunk_tables(spark: SparkSession, sf: str) -> DataFrame:
     write_chunks(sets, path, CHUNK)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sets.schema)
     _, chunk = _from_name(r"/([^/]+)/chunk([0-9]+)[.]load_data[.]csv$")
-    found = spark.read.schema(kinds).option("header", "true").csv(f"{path}/*/chunk*.load_data.csv")
+    named = {"recursiveFileLookup": "true", "pathGlobFilter": "chunk*.load_data.csv"}
+    found = spark.read.schema(kinds).options(header="true", **named).csv(path)
     return found.select(
         PLATE, WELL, SITE, chunk.cast("bigint").alias("chunk"),
         *[c for c in sets.columns if c.startswith(I.NAME_PREFIX)],

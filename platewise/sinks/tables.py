@@ -49,9 +49,14 @@ def write_locations(
     path: str,
     max_file_rows: int | None = None,
     order: Sequence[str] = (NUCLEI_X, NUCLEI_Y),
+    *,
+    own_folders: bool = False,
 ) -> str:
     """Nuclei centres with a bare header, in files ``<plate>/<well>-<site>-Nuclei.csv``.
 
+    With ``own_folders`` each plate has a folder for all that is its own, and its files
+    are ``<plate>/locations/<plate>/<well>-<site>-Nuclei.csv``.
+
     A site's nuclei come in ``order``, so the same table gives the same bytes. A site is
     one task's, which streams it; with ``max_file_rows`` one of more nuclei is spread over
     several tasks and files, the further ones called ``<well>-<site>-Nuclei.<n>.csv``.
@@ -68,7 +73,8 @@ def write_locations(
         nuclei = join_null_safe(nuclei, small_side(large, found), keys, "left")
         number = F.pmod(F.xxhash64(*columns([NUCLEI_X, NUCLEI_Y])), F.coalesce("__files", F.lit(1)))
         share = F.when(number > 0, F.concat(F.lit("."), number)).otherwise("")
-    file = F.concat(_text(PLATE), F.lit("/"), _text(WELL), F.lit("-"), _text(SITE), F.lit("-Nuclei"), share, F.lit(".csv"))
+    within = F.concat(_text(PLATE), F.lit("/locations/")) if own_folders else F.lit("")
+    file = F.concat(within, _text(PLATE), F.lit("/"), _text(WELL), F.lit("-"), _text(SITE), F.lit("-Nuclei"), share, F.lit(".csv"))
     return write_named_files(
         nuclei,
         path,

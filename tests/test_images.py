@@ -87,9 +87,9 @@ def test_listing_keeps_empty_and_underscored_files(spark, plate, depth):
 def test_image_sets_from_a_folder(spark, plate, tmp_path):
     result = write_image_sets(spark, str(plate), str(tmp_path / "out"), chunk_size=1)
     assert result == ImageSetFiles("plateX", 2, 2)
-    table = spark.read.option("header", "true").csv(str(tmp_path / "out" / "load_data"))
+    table = spark.read.option("header", "true").csv(str(tmp_path / "out" / "load_data.csv"))
     assert [r.Metadata_Site for r in table.collect()] == ["1", "2"]
-    listed = spark.read.text(str(tmp_path / "out" / "chunks" / "images" / "plate=plateX" / "chunk=2"))
+    listed = spark.read.text(str(tmp_path / "out" / "chunks" / "chunk2.images.txt"))
     assert [r.value for r in listed.collect()] == [f"scan7_A02_s2_w{c}_z0.tif" for c in range(1, 6)]
-    chunk = spark.read.option("header", "true").csv(str(tmp_path / "out" / "chunks" / "load_data"))
-    assert {"Metadata_Plate", "plate", "chunk"} <= set(chunk.columns) and chunk.count() == 2
+    chunk = spark.read.option("header", "true").csv(str(tmp_path / "out" / "chunks" / "chunk*.load_data.csv"))
+    assert chunk.columns == table.columns and chunk.count() == 2

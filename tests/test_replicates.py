@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from platewise.columns import COMPOUND
+from platewise.operators import pairs as B
 from platewise.operators import replicates as R
 from platewise.operators.features import InsufficientData, feature_table
 from platewise.session import materialize
@@ -84,6 +86,66 @@ def test_threshold_over_all_pairs(spark, cohort, block, most):
     assert got == pytest.approx(np.percentile(r[upper], 95), abs=1e-12)
 
 
+@pytest.mark.parametrize("plates", [5, 20])
+def test_a_larger_cohort_copies_no_row_more_often(spark, cohort, monkeypatch, plates):
+    frame = cohort(plates=plates, wells=24, compounds=3, features=6)
+    frame.loc[20:, COMPOUND] = "cpd01"
+    z = materialize(R.row_zscores(table_of(spark, frame), ["row_id", COMPOUND]))
+    copies = []
+
+    def counted(*args):
+        cells = B.to_cells(*args)
+        copies.append(cells.groupBy("row_id").count().agg(R.F.max("count")).first()[0] or 0)
+        return cells
+
+    monkeypatch.setattr(R, "to_cells", counted)
+    scored = R.replicate_scores(z, "row_id", block_rows=4, large_block_rows=5, max_values=20)
+    got = {r[COMPOUND]: r.score for r in scored.collect()}
+    threshold = R.null_threshold_all(z, "row_id", large_block_rows=5, max_values=20).first().threshold
+    assert max(copies) == B.COPIES
+    r, want = brute_force(frame)
+    assert got == pytest.approx(want, abs=1e-12)
+    labels = frame[COMPOUND].to_numpy()
+    other = np.triu(labels[:, None] != labels[None, :], 1)
+    assert threshold == pytest.approx(np.percentile(r[other], 95), abs=1e-12)
+
+
+def test_blocks_grow_with_their_group_up_to_a_number_of_bytes(spark):
+    held = B.BLOCK_BYTES // (8 * 64)
+    cases = [(100, 40, 64, 3), (641, 40, 64, 16), (16 * held, 40, 64, 16), (40 * held, 40, 64, 40)]
+    # Blocks as asked may be larger than that.
+    cases += [(20_000, 8192, 1500, 3), (10 * held, held, 128, 10), (5, 40, 0, 1)]
+    for rows, block_rows, width, want in cases:
+        blocks = B.growing_block_count(R.F.lit(rows), block_rows, width)
+        assert spark.range(1).select(blocks).first()[0] == want
+
+
+@pytest.mark.parametrize("slab, span", [(512, 8192), (4, 7), (7, 4), (5, 1)])
+@pytest.mark.parametrize("label", [None, "label"])
+def test_correlations_by_parts_of_a_cell(slab, span, label):
+    rng = np.random.default_rng(3)
+    z, labels = rng.normal(size=(23, 5)), rng.integers(0, 3, 23)
+    for a, b in ((2, 2), (2, 4)):
+        block = np.full(23, 2) if a == b else np.where(np.arange(23) % 3 == 0, 2, 4)
+        cell = pa.table(
+            {
+                "row_id": np.arange(23),
+                "z": pa.array(z.tolist()),
+                "label": labels,
+                "__block": block,
+                "__cell_a": np.full(23, a),
+                "__cell_b": np.full(23, b),
+            }
+        )
+        got = np.concatenate(list(B.correlations(cell, "row_id", "z", slab, label, span)))
+        left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
+        wanted = left[:, None] < right[None, :] if a == b else np.ones((len(left), len(right)), dtype=bool)
+        if label:
+            wanted &= labels[left][:, None] != labels[right][None, :]
+        want = (z[left] @ z[right].T / 5)[wanted]
+        np.testing.assert_allclose(np.sort(got), np.sort(want), atol=1e-12)
+
+
 def test_null_pairs_draw_evenly_over_a_long_cohort(spark):
     rows = spark.range(200_000).select(
         R.F.col("id").alias("row_id"),
